@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The analytics this package rebuilds run over one static annual file in
+batch; there is no stream source, watermark, windowed or stateful operator
+to reproduce. Batch jobs re-run idempotently (full overwrite) instead.
+"""
