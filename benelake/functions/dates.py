@@ -15,8 +15,7 @@ def parse_date(col: Column | str, strict: bool = True) -> Column:
     value fails the job; blank/null stays null. ``strict=False`` maps bad
     values to null instead."""
     c = F.col(col) if isinstance(col, str) else col
-    fmt = F.lit(RAW_DATE_FORMAT)
-    return F.to_date(c, RAW_DATE_FORMAT) if strict else F.try_to_date(c, fmt)
+    return F.to_date(c, RAW_DATE_FORMAT) if strict else F.try_to_date(c, RAW_DATE_FORMAT)
 
 
 def age_exact(birth: Column | str) -> Column:
