@@ -49,11 +49,36 @@ def accepted_values(df: DataFrame, column: str, values: list, model: str = "") -
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str, model: str = "") -> DataFrame:
-    """Failures = child rows whose non-null key has no parent row
-    (a left-anti join; the parent side is reduced to its distinct keys)."""
+    """Failures = child rows whose non-null key has no parent row.
+
+    Both sides are reduced to distinct keys first (the child side carrying
+    a row count, combined map-side), so a key holding a third of the child
+    rows reaches the anti-join as one row - no skewed join partition."""
     keys = parent.select(F.col(field).alias("_k")).distinct()
-    orphans = child.filter(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_k"), "left_anti")
-    return _result(orphans.agg(F.count(F.lit(1)).alias("failures")), "relationships", model, column)
+    per_key = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_c")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    orphans = per_key.join(keys, F.col("_c") == F.col("_k"), "left_anti")
+    return _result(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures")), "relationships", model, column)
+
+
+def column_checks(df: DataFrame, model: str, not_null_cols: list[str] = (),
+                  accepted: dict[str, list] | None = None) -> DataFrame:
+    """Every not-null and accepted-values test of one model in a single
+    aggregate pass, one result row per test."""
+    checks = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null_cols]
+    for c, values in (accepted or {}).items():
+        bad = F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(values)), F.col(c))
+        checks.append(("accepted_values", c, F.count_distinct(bad)))
+    packed = F.array(
+        *[
+            F.struct(F.lit(t).alias("test"), F.lit(c).alias("column_name"), agg.cast("long").alias("failures"))
+            for t, c, agg in checks
+        ]
+    )
+    return df.agg(packed.alias("_r")).select(F.explode("_r").alias("r")).select(
+        "r.test", F.lit(model).alias("model"), "r.column_name", "r.failures"
+    )
 
 
 def run_suite(results: list[DataFrame]) -> DataFrame:
@@ -134,7 +159,20 @@ def check_contract(df: DataFrame, contract: T.StructType, model: str) -> None:
 
 def contract_not_null(df: DataFrame, contract: T.StructType, model: str) -> DataFrame:
     """The contract's not-null constraints as a suite result."""
-    return run_suite([not_null(df, f.name, model) for f in contract.fields if not f.nullable])
+    return run_suite([column_checks(df, model, [f.name for f in contract.fields if not f.nullable])])
+
+
+def not_null_metrics(contract: T.StructType) -> dict:
+    """Null counts of the contract's not-null columns, as aggregate
+    expressions to observe while the table is written."""
+    return {f"null:{f.name}": F.count_if(F.col(f.name).isNull()) for f in contract.fields if not f.nullable}
+
+
+def check_not_null_metrics(metrics: dict, model: str) -> None:
+    bad = {k.removeprefix("null:"): v for k, v in metrics.items() if k.startswith("null:") and v}
+    if bad:
+        lines = [f"not_null({model}.{c}): {n} failures" for c, n in bad.items()]
+        raise DataQualityError("contract not-null constraints failed:\n" + "\n".join(lines))
 
 
 def enforce_contract(df: DataFrame, contract: T.StructType, model: str) -> DataFrame:

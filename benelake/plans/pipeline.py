@@ -79,7 +79,10 @@ def run_lakehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces) -> RunRes
 
 
 def data_tests(models: dict[str, DataFrame], loaded_raw: DataFrame) -> DataFrame:
-    """The warehouse's column tests as one suite result."""
+    """The warehouse's 34 column tests as one suite result.
+
+    Not-null and accepted-values tests of a model share one aggregate pass
+    over it; unique and relationship tests each need their own grouping."""
     stg = models["stg_beneficiary_summary"]
     seed = models["ssa_state_codes"]
     conds = models["int_beneficiary_chronic_conditions"]
@@ -91,63 +94,80 @@ def data_tests(models: dict[str, DataFrame], loaded_raw: DataFrame) -> DataFrame
     q = quality
     return q.run_suite(
         [
+            q.column_checks(loaded_raw, "raw", ["DESYNPUF_ID"]),
             q.unique(loaded_raw, "DESYNPUF_ID", "raw"),
-            q.not_null(loaded_raw, "DESYNPUF_ID", "raw"),
+            q.column_checks(seed, "ssa_state_codes", ["state_code", "state_abbr"]),
             q.unique(seed, "state_code", "ssa_state_codes"),
-            q.not_null(seed, "state_code", "ssa_state_codes"),
             q.unique(seed, "state_abbr", "ssa_state_codes"),
-            q.not_null(seed, "state_abbr", "ssa_state_codes"),
+            q.column_checks(
+                stg,
+                "stg",
+                ["desynpuf_id", "birth_date", "state_code"],
+                {"sex_cd": ACCEPTED_SEX, "race_cd": ACCEPTED_RACE, "esrd_ind": ACCEPTED_ESRD},
+            ),
             q.unique(stg, "desynpuf_id", "stg"),
-            q.not_null(stg, "desynpuf_id", "stg"),
-            q.not_null(stg, "birth_date", "stg"),
-            q.accepted_values(stg, "sex_cd", ACCEPTED_SEX, "stg"),
-            q.accepted_values(stg, "race_cd", ACCEPTED_RACE, "stg"),
-            q.accepted_values(stg, "esrd_ind", ACCEPTED_ESRD, "stg"),
-            q.not_null(stg, "state_code", "stg"),
             q.relationships(stg, "state_code", seed, "state_code", "stg"),
-            q.not_null(conds, "desynpuf_id", "int_conditions"),
-            q.not_null(conds, "condition", "int_conditions"),
-            q.accepted_values(conds, "condition", list(CONDITION_LABELS.values()), "int_conditions"),
-            q.not_null(conds, "has_condition", "int_conditions"),
+            q.column_checks(
+                conds,
+                "int_conditions",
+                ["desynpuf_id", "condition", "has_condition"],
+                {"condition": list(CONDITION_LABELS.values())},
+            ),
+            q.column_checks(cost, "int_annual_cost", ["desynpuf_id", "total_cost_2008"]),
             q.unique(cost, "desynpuf_id", "int_annual_cost"),
-            q.not_null(cost, "desynpuf_id", "int_annual_cost"),
-            q.not_null(cost, "total_cost_2008", "int_annual_cost"),
+            q.column_checks(dim, "dim", ["desynpuf_id", "chronic_condition_count"], {"age_band": AGE_BAND_LABELS}),
             q.unique(dim, "desynpuf_id", "dim"),
-            q.not_null(dim, "desynpuf_id", "dim"),
-            q.accepted_values(dim, "age_band", AGE_BAND_LABELS, "dim"),
-            q.not_null(dim, "chronic_condition_count", "dim"),
+            q.column_checks(fct, "fct", ["desynpuf_id", "total_medicare_reimbursement"]),
             q.unique(fct, "desynpuf_id", "fct"),
-            q.not_null(fct, "desynpuf_id", "fct"),
             q.relationships(fct, "desynpuf_id", dim, "desynpuf_id", "fct"),
-            q.not_null(fct, "total_medicare_reimbursement", "fct"),
-            q.not_null(prev, "condition", "mart_prevalence"),
-            q.not_null(prev, "prevalence_rate", "mart_prevalence"),
+            q.column_checks(prev, "mart_prevalence", ["condition", "prevalence_rate"]),
+            q.column_checks(state, "mart_state_summary", ["state_code", "beneficiary_count"]),
             q.unique(state, "state_code", "mart_state_summary"),
-            q.not_null(state, "state_code", "mart_state_summary"),
-            q.not_null(state, "beneficiary_count", "mart_state_summary"),
         ]
     )
 
 
 def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_contracts: bool = True,
-                  run_tests: bool = True) -> RunResult:
-    """Seed -> staging -> intermediate -> marts (contract-checked, written),
-    then the data tests. The raw text is loaded with inferred-style types."""
+                  run_tests: bool = True, buckets: int | None = None) -> RunResult:
+    """Seed -> staging -> intermediate -> marts, then the data tests.
+
+    Marts are built in dependency order and each later mart reads the tables
+    already written (dim, fct), not their re-computed plans. dim and fct are
+    bucketed by ``desynpuf_id`` (``buckets``, default the shuffle partition
+    count) so joins between them - explorer, cost mix - need no shuffle.
+
+    Each mart's contract is checked on the plan before its write (names and
+    types, no job); its not-null constraints are observed during the write
+    itself, and a violating table is dropped before the error is raised.
+    Data tests run on the written marts."""
     ensure_namespaces(spark, ns)
     res = RunResult()
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     loaded = writers.overwrite_table(warehouse.inferred_load(raw), f"{ns.raw}.beneficiary_summary_typed")
     models = warehouse.register_models(spark, loaded)
+    written = dict(models)
+    bucketed = {"dim_beneficiary", "fct_beneficiary_annual_cost"}
     for name in warehouse.MART_NAMES:
-        df = models[name]
-        if enforce_contracts:
-            quality.check_contract(df, MART_CONTRACTS[name], name)
+        # Re-resolve the model now, so it reads the marts written before it.
+        df = spark.sql(dict(warehouse.MODELS)[name])
+        contract = MART_CONTRACTS[name]
         table = f"{ns.marts}.{name}"
-        written, res.counts[name] = writers.write_and_count(df, table)
         if enforce_contracts:
-            quality.raise_on_failures(quality.contract_not_null(written, MART_CONTRACTS[name], name))
+            quality.check_contract(df, contract, name)
+        metrics = quality.not_null_metrics(contract) if enforce_contracts else {}
+        bucket_by = (buckets, "desynpuf_id") if name in bucketed else None
+        written[name], m = writers.write_observed(df, table, metrics, bucket_by)
+        res.counts[name] = int(m["rows"])
+        if enforce_contracts:
+            try:
+                quality.check_not_null_metrics(m, name)
+            except quality.DataQualityError:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+                raise
+        written[name].createOrReplaceTempView(name)
         res.tables[name] = table
     if run_tests:
-        res.extra["tests"] = quality.raise_on_failures(data_tests(models, loaded))
+        res.extra["tests"] = quality.raise_on_failures(data_tests(written, loaded))
     return res
 
 

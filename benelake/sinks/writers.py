@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,10 +37,23 @@ def overwrite_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None
     return df.sparkSession.table(name)
 
 
+def write_observed(
+    df: DataFrame, name: str, metrics: dict[str, Column] | None = None, bucket_by: tuple[int, str] | None = None
+) -> tuple[DataFrame, dict]:
+    """Write a table and collect ``rows`` plus any extra aggregate
+    ``metrics`` in the same pass (``DataFrame.observe``): no second job
+    over the data just to count it."""
+    obs = Observation(f"write:{name}")
+    aggs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (metrics or {}).items()]
+    table = overwrite_table(df.observe(obs, *aggs), name, bucket_by)
+    return table, dict(obs.get)
+
+
 def write_and_count(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write, then count the *written* table (not a re-run of the plan)."""
-    table = overwrite_table(df, name)
-    return table, table.count()
+    """Write, returning the table read back and the number of rows written
+    (observed during the write)."""
+    table, m = write_observed(df, name)
+    return table, int(m["rows"])
 
 
 def load_with_count_check(df: DataFrame, name: str, expected_rows: int) -> int:
