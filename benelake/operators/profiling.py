@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money
+from .quantiles import exact_quantiles
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -90,27 +91,25 @@ def describe_measures(value: Column, scale: int = 4, mean_decimals: int | None =
 def describe(df: DataFrame, columns: list[str], scale: int = 4, exact: bool = True,
              mean_decimals: int | None = 2) -> DataFrame:
     """Transposed describe: one row per column - count, mean, std, min,
-    interpolated quartiles, max.
+    linearly interpolated quartiles, max.
 
-    ``percentile`` is exact: its buffer holds one entry per distinct value
-    per group, combined map-side. That is bounded for coded/whole-dollar
-    columns; for high-cardinality columns at scale pass ``exact=False``
-    (``percentile_approx``)."""
+    ``exact`` quartiles use ``operators.quantiles.exact_quantiles`` (a
+    distributed rank computation; no task holds a whole column); otherwise
+    ``percentile_approx``."""
     long = to_long(df, columns, "double")
     v = F.col("value")
+    stats = long.groupBy("column_name").agg(*describe_measures(v, scale, mean_decimals))
+    names = ["p25", "p50", "p75"]
     if exact:
-        q = F.percentile(v, F.array(*[F.lit(p) for p in PERCENTILES]))
+        q = exact_quantiles(long, "column_name", "value", list(PERCENTILES), names)
     else:
-        q = F.percentile_approx(v, F.array(*[F.lit(p) for p in PERCENTILES]), 100000)
-    agg = long.groupBy("column_name").agg(*describe_measures(v, scale, mean_decimals), q.alias("_q"))
-    return agg.select(
-        "column_name",
-        "count",
-        "mean",
-        "std",
-        "min",
-        *[F.round(F.col("_q")[i], scale).alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
-        "max",
+        approx = F.percentile_approx(v, F.array(*[F.lit(p) for p in PERCENTILES]), 100000)
+        q = long.groupBy("column_name").agg(approx.alias("_q")).select(
+            "column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]
+        )
+    joined = stats.join(q, "column_name", "left")
+    return joined.select(
+        "column_name", "count", "mean", "std", "min", *[F.round(F.col(n), scale).alias(n) for n in names], "max"
     )
 
 

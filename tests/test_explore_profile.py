@@ -155,3 +155,27 @@ def test_model_fixture_compare(spark):
     fx = quality.fixture_frame(spark, [{"DESYNPUF_ID": "a", "SP_STATE_CODE": "5"}], RAW_SCHEMA)
     assert fx.first()["BENE_BIRTH_DT"] is None
     assert quality.compare_rows(fx, [{"DESYNPUF_ID": "a", "SP_STATE_CODE": "5"}], "DESYNPUF_ID") == []
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_exact_quantiles_match_numpy(spark, partitions):
+    import numpy as np
+
+    from benelake.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(7)
+    groups = {
+        "ties": rng.integers(0, 5, 300).astype(float),
+        "hot": np.concatenate([np.full(200, 42.0), rng.normal(0, 10, 400).round(2)]),
+        "single": np.array([3.5]),
+        "pair": np.array([1.0, 2.0]),
+        "wide": rng.normal(100, 50, 1000).round(2),
+    }
+    rows = [(g, float(v)) for g, vals in groups.items() for v in vals] + [("ties", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ps = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = {r["g"]: r for r in exact_quantiles(df, "g", "v", ps, partitions=partitions).collect()}
+    for g, vals in groups.items():
+        want = np.quantile(vals, ps)
+        for i, p in enumerate(ps):
+            assert got[g][f"q{i}"] == pytest.approx(want[i], abs=1e-9), (g, p)
