@@ -97,3 +97,13 @@ def state_options(df: DataFrame) -> DataFrame:
 
 
 DISPLAY_LABELS = CONDITION_DISPLAY_LABELS
+
+
+def kpi_display(kpi_row: DataFrame) -> DataFrame:
+    """KPI card text: thousands separators, whole dollars (the numeric
+    columns stay numeric in ``kpis``; this is presentation only)."""
+    return kpi_row.select(
+        F.format_number("beneficiaries", 0).alias("beneficiaries"),
+        F.concat(F.lit("$"), F.format_number("total_cost", 0)).alias("total_cost"),
+        F.concat(F.lit("$"), F.format_number("avg_cost", 0)).alias("avg_cost"),
+    )

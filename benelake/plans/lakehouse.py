@@ -95,3 +95,9 @@ def gold_prevalence(silver: DataFrame) -> DataFrame:
     )
     long = unpivot_flags(base, ["state_abbr", "state_name", "total_medicare_reimbursement"], CONDITION_LABELS)
     return prevalence_by_group(long, ["condition", "state_abbr", "state_name"], "total_medicare_reimbursement")
+
+
+def ordered_prevalence(prevalence: DataFrame) -> DataFrame:
+    """The prevalence table in report order (a saved table keeps no order,
+    so order on read)."""
+    return prevalence.orderBy(F.asc("condition"), F.asc_nulls_first("state_abbr"))
