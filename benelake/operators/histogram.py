@@ -36,10 +36,12 @@ def histogram(df: DataFrame, value: str, max_bins: int = 40) -> DataFrame:
     x = F.col(value).cast("double")
     stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
     step = stats.select(nice_step(F.col("lo"), F.col("hi"), max_bins).alias("step")).scalar()
-    binned = df.filter(x.isNotNull()).select(F.floor(x / step).alias("bin"))
-    counted = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    # The scalar subquery appears once; later expressions use the column.
+    with_step = df.filter(x.isNotNull()).select(x.alias("_x"), step.alias("_step"))
+    binned = with_step.select(F.floor(F.col("_x") / F.col("_step")).alias("bin"), "_step")
+    counted = binned.groupBy("bin", "_step").agg(F.count(F.lit(1)).alias("count"))
     return counted.select(
-        (F.col("bin") * step).alias("bin_start"),
-        ((F.col("bin") + 1) * step).alias("bin_end"),
+        (F.col("bin") * F.col("_step")).alias("bin_start"),
+        ((F.col("bin") + 1) * F.col("_step")).alias("bin_end"),
         "count",
     )
