@@ -1,7 +1,7 @@
 """Benchmark: headline queries and the full pipeline on TESTDATA.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list; default the headline set), BENCH_REPEAT (2).
+BENCH_QUERIES (comma list; default the headline set), BENCH_REPEAT (3).
 Each query is executed with the ``noop`` sink (whole plan runs, nothing is
 collected); the reported per-query time is the best of the repeats (warm),
 the first run is reported as ``cold``. The headline metric is the wall time
@@ -60,7 +60,7 @@ def _run(df) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     keys = [k for k in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if k]
     scratch = tempfile.mkdtemp(prefix="benelake-bench-")
     spark = build_session(

@@ -7,12 +7,21 @@ re-runs the current stage, and lineage never grows across stages.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality, reconcile as rec
-from ..schemas import ACCEPTED_ESRD, ACCEPTED_RACE, ACCEPTED_SEX, AGE_BAND_LABELS, CONDITION_LABELS, MART_CONTRACTS
+from ..schemas import (
+    ACCEPTED_ESRD,
+    ACCEPTED_RACE,
+    ACCEPTED_SEX,
+    AGE_BAND_LABELS,
+    CONDITION_LABELS,
+    MART_CONTRACTS,
+    RAW_COLUMNS,
+)
 from ..sinks import writers
 from . import lakehouse, warehouse
 
@@ -45,14 +54,29 @@ def ensure_namespaces(spark: SparkSession, ns: Namespaces) -> None:
 
 def run_ingest(spark: SparkSession, raw: DataFrame, ns: Namespaces, min_expected_rows: int,
                source_path: str | None = None) -> RunResult:
-    """Gate -> manifest -> full-refresh load with a row-count post-check."""
+    """Gate -> manifest -> full-refresh load with a row-count post-check.
+
+    The raw file is parsed once: it lands in a staging table (row count
+    observed during that write), the gate runs on the columnar copy (its
+    duplicate check reads only the id column), and only a passing landing is
+    promoted to the raw table, whose row count is checked against the gate's.
+    A failing landing is dropped; the previous raw table is left untouched."""
     ensure_namespaces(spark, ns)
-    gate = quality.validate_landing(raw, min_expected_rows)
-    result = RunResult(extra={"gate": gate})
+    missing = sorted(set(RAW_COLUMNS) - set(raw.columns))
+    if missing:
+        raise quality.DataQualityError(f"Raw file missing expected columns: {missing}")
+    landing = f"{ns.raw}.beneficiary_summary__landing"
+    landed, m = writers.write_observed(raw, landing)
+    try:
+        gate = quality.validate_landing(landed, min_expected_rows)
+    except quality.DataQualityError:
+        spark.sql(f"DROP TABLE IF EXISTS {landing}")
+        raise
+    result = RunResult(extra={"gate": gate, "landed_rows": int(m["rows"])})
     if source_path:
         result.extra["manifest"] = [r.asDict() for r in writers.manifest(spark, source_path, gate["row_count"]).collect()]
     table = f"{ns.raw}.beneficiary_summary"
-    result.counts["raw"] = writers.load_with_count_check(raw, table, gate["row_count"])
+    result.counts["raw"] = writers.promote_table(spark, landing, table, gate["row_count"])
     result.tables["raw"] = table
     return result
 
@@ -172,14 +196,20 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
 
 
 def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None, min_expected_rows: int = 0,
-             tolerance: float = 1.0, source_path: str | None = None) -> RunResult:
-    """Ingest, both paths, then reconcile gold cost summary against the fact
-    table (raises on mismatch)."""
+             tolerance: float = 1.0, source_path: str | None = None, parallel: bool = True) -> RunResult:
+    """Ingest, then the two paths (independent Spark actions, submitted from
+    two driver threads so the scheduler overlaps them), then reconcile the
+    gold cost summary against the fact table (raises on mismatch)."""
     ns = ns or Namespaces()
     ingest = run_ingest(spark, raw, ns, min_expected_rows, source_path)
     landed = spark.table(ingest.tables["raw"])
-    lake = run_lakehouse(spark, landed, ns)
-    wh = run_warehouse(spark, landed, ns)
+    if parallel:
+        with ThreadPoolExecutor(max_workers=2, thread_name_prefix="benelake-path") as pool:
+            lake_f = pool.submit(run_lakehouse, spark, landed, ns)
+            wh_f = pool.submit(run_warehouse, spark, landed, ns)
+            lake, wh = lake_f.result(), wh_f.result()
+    else:
+        lake, wh = run_lakehouse(spark, landed, ns), run_warehouse(spark, landed, ns)
     agreed = rec.reconcile(
         spark.table(lake.tables["gold_cost"]), spark.table(wh.tables["fct_beneficiary_annual_cost"]), tolerance
     )

@@ -56,6 +56,17 @@ def write_and_count(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return table, int(m["rows"])
 
 
+def promote_table(spark: SparkSession, source: str, target: str, expected_rows: int) -> int:
+    """Replace ``target`` with the already-written ``source`` table (a
+    metadata rename, no data copy) and check the promoted row count."""
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"ALTER TABLE {source} RENAME TO {target}")
+    n = spark.table(target).count()
+    if n != expected_rows:
+        raise LoadCheckError(f"table {target} has {n} rows, expected {expected_rows}")
+    return n
+
+
 def load_with_count_check(df: DataFrame, name: str, expected_rows: int) -> int:
     """Full-refresh load, then verify the written table's row count."""
     table, n = write_and_count(df, name)

@@ -61,7 +61,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_documented():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"warehouse_data_tests", "manifest"}
+    assert set(q) - set(o) == {"manifest"}
 
 
 @pytest.mark.parametrize("key", ["silver_enrich", "mart_prevalence", "cohort_histogram", "describe_money",
@@ -80,3 +80,17 @@ def test_oracle_agreement(spark, key):
         return sorted(tuple(repr(r[i]) if not hasattr(r[i], "isoformat") else r[i].isoformat() for i in idx) for r in rows)
 
     assert norm([tuple(r) for r in sdf.collect()], sdf.columns) == norm(res.fetchall(), res.columns)
+
+
+def test_failed_landing_keeps_previous_raw(spark):
+    ns = pipeline.Namespaces(raw="l_raw", bronze="l_b", silver="l_s", gold="l_g", marts="l_m")
+    good = _clean(member_raw(spark, SF))
+    first = pipeline.run_ingest(spark, good, ns, min_expected_rows=1)
+    n = first.counts["raw"]
+    dup = good.unionByName(good.limit(3))
+    with pytest.raises(quality.DataQualityError, match="duplicate DESYNPUF_ID"):
+        pipeline.run_ingest(spark, dup, ns, min_expected_rows=1)
+    assert spark.table("l_raw.beneficiary_summary").count() == n
+    assert not spark.catalog.tableExists("l_raw.beneficiary_summary__landing")
+    with pytest.raises(quality.DataQualityError, match="missing expected columns"):
+        pipeline.run_ingest(spark, good.drop("BENE_DEATH_DT"), ns, min_expected_rows=1)
