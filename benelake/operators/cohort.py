@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, money
-from ..schemas import CONDITION_DISPLAY_LABELS, FLAG_COLUMNS
+from ..schemas import FLAG_COLUMNS
 
 STATUSES = ("All", "Alive", "Deceased")
 
@@ -96,9 +96,6 @@ def state_options(df: DataFrame) -> DataFrame:
     return df.select("state_abbr").filter(F.col("state_abbr").isNotNull()).distinct().orderBy("state_abbr")
 
 
-DISPLAY_LABELS = CONDITION_DISPLAY_LABELS
-
-
 def kpi_display(kpi_row: DataFrame) -> DataFrame:
     """KPI card text: thousands separators, whole dollars (the numeric
     columns stay numeric in ``kpis``; this is presentation only)."""

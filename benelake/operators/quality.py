@@ -15,9 +15,6 @@ from pyspark.sql import types as T
 
 from ..schemas import ID_COLUMN, MIN_EXPECTED_ROWS, RAW_COLUMNS
 
-RESULT_SCHEMA = "test string, model string, column_name string, failures long"
-
-
 class DataQualityError(ValueError):
     pass
 

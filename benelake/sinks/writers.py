@@ -30,6 +30,11 @@ def overwrite_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None
     downstream stages start from storage instead of recomputing the plan.
     ``bucket_by=(n, key)`` buckets the table so later joins on ``key``
     between tables bucketed alike need no shuffle."""
+    if bucket_by:
+        # Hash-partition on the bucket key first: Spark's bucket id is the
+        # same murmur3 hash, so each task writes exactly one bucket file
+        # instead of every task writing a file per bucket.
+        df = df.repartition(bucket_by[0], bucket_by[1])
     writer = df.write.mode("overwrite").format("parquet")
     if bucket_by:
         writer = writer.bucketBy(bucket_by[0], bucket_by[1]).sortBy(bucket_by[1])

@@ -71,3 +71,23 @@ def test_ordered_prevalence_and_display(spark):
     d = cohort.kpi_display(k).first()
     # Half-to-even at whole dollars, as Python's "{:,.0f}" formats.
     assert (d["beneficiaries"], d["total_cost"], d["avg_cost"]) == ("1,234", "$1,234,568", f"${1000.5:,.0f}")
+
+
+def test_bucketed_write_one_file_per_bucket(spark, tmp_dir):
+    from benelake.sinks import writers
+
+    writers.ensure_database(spark, "bk")
+    df = spark.range(5000).selectExpr("CAST(id AS STRING) AS desynpuf_id", "id % 7 AS v").repartition(13)
+    writers.overwrite_table(df, "bk.t", bucket_by=(4, "desynpuf_id"))
+    loc = spark.sql("DESCRIBE TABLE EXTENDED bk.t").filter("col_name = 'Location'").first()["data_type"]
+    files = [f for f in os.listdir(loc.replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) == 4 and spark.table("bk.t").count() == 5000
+
+
+def test_scale_conf():
+    from benelake.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40))
+    assert int(conf["spark.sql.shuffle.partitions"]) == 50_000
+    assert scale_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
