@@ -155,10 +155,11 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
                   run_tests: bool = True, buckets: int | None = None) -> RunResult:
     """Seed -> staging -> intermediate -> marts, then the data tests.
 
+    The typed raw load, dim and fct are bucketed by the beneficiary id
+    (``buckets``, default the shuffle partition count), so the marts' joins
+    and later dim x fct x staging joins (explorer, cost mix) need no shuffle.
     Marts are built in dependency order and each later mart reads the tables
-    already written (dim, fct), not their re-computed plans. dim and fct are
-    bucketed by ``desynpuf_id`` (``buckets``, default the shuffle partition
-    count) so joins between them - explorer, cost mix - need no shuffle.
+    already written (dim, fct), not their re-computed plans.
 
     Each mart's contract is checked on the plan before its write (names and
     types, no job); its not-null constraints are observed during the write
@@ -167,7 +168,12 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
     ensure_namespaces(spark, ns)
     res = RunResult()
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    loaded = writers.overwrite_table(warehouse.inferred_load(raw), f"{ns.raw}.beneficiary_summary_typed")
+    # The typed load is bucketed by the beneficiary id: staging, cost and
+    # dim are projections of it, so every beneficiary-grain join of the
+    # marts and the explorer finds both sides bucketed alike (no exchange).
+    loaded = writers.overwrite_table(
+        warehouse.inferred_load(raw), f"{ns.raw}.beneficiary_summary_typed", bucket_by=(buckets, "DESYNPUF_ID")
+    )
     models = warehouse.register_models(spark, loaded)
     written = dict(models)
     bucketed = {"dim_beneficiary", "fct_beneficiary_annual_cost"}
