@@ -319,6 +319,24 @@ def q_value_counts_state_top10(spark, d):
     return profiling.value_counts(_member(spark, d), "SP_STATE_CODE", 10)
 
 
+DEMOGRAPHIC_CODES = ["BENE_SEX_IDENT_CD", "BENE_RACE_CD", "BENE_ESRD_IND"]
+
+
+def q_value_counts_demographics(spark, d):
+    long = profiling.to_long(_member(spark, d), DEMOGRAPHIC_CODES, "string").filter(F.col("value").isNotNull())
+    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
+def q_describe_total_cost(spark, d):
+    b = _bronze(spark, d).select(money.total(*MEDICARE_PAID).alias("total_cost"))
+    return profiling.describe(b, ["total_cost"])
+
+
+def q_describe_age(spark, d):
+    b = _bronze(spark, d).select(dates.age_days365("BENE_BIRTH_DT").alias("age_2008"))
+    return profiling.describe(b, ["age_2008"])
+
+
 def q_nunique(spark, d):
     return profiling.distinct_counts(read_table(spark, d, "customer"))
 
@@ -546,10 +564,13 @@ QUERIES: dict[str, Query] = {
     "value_counts_top10": q_value_counts_top10,
     "value_counts_priority": q_value_counts_priority,
     "value_counts_state_top10": q_value_counts_state_top10,
+    "value_counts_demographics": q_value_counts_demographics,
     "nunique": q_nunique,
     "describe_money": q_describe_money,
     "describe_months": q_describe_months,
     "describe_lineitem": q_describe_lineitem,
+    "describe_total_cost": q_describe_total_cost,
+    "describe_age": q_describe_age,
     "negative_amounts": q_negative_amounts,
     "zero_negative_share": q_zero_negative_share,
     "acctbal_signs": q_acctbal_signs,
