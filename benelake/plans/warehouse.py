@@ -106,13 +106,13 @@ FROM stg_beneficiary_summary
 _COUNT_SQL = " + ".join(f"CAST({flag} AS BIGINT)" for flag in FLAG_COLUMNS)
 
 DIM_SQL = f"""
-WITH with_state AS (
+WITH seeded AS (
     SELECT /*+ BROADCAST(ssa) */ b.*, ssa.state_abbr, ssa.state_name
     FROM stg_beneficiary_summary AS b
     LEFT JOIN ssa_state_codes AS ssa ON b.state_code = ssa.state_code
 ),
-with_age AS (
-    SELECT *, CAST(2008 - year(birth_date) AS BIGINT) AS age_2008 FROM with_state
+aged AS (
+    SELECT *, CAST(2008 - year(birth_date) AS BIGINT) AS age_2008 FROM seeded
 )
 SELECT
     desynpuf_id,
@@ -133,7 +133,7 @@ SELECT
         ELSE '85+'
     END AS age_band,
     ({_COUNT_SQL}) AS chronic_condition_count
-FROM with_age
+FROM aged
 """
 
 FCT_SQL = """
