@@ -3,6 +3,7 @@
     python -m benelake.jobs lakehouse --input raw.csv --bronze-output B --silver-output S [--gold-output G]
     python -m benelake.jobs sample --input raw.csv --output DIR
     python -m benelake.jobs full --input raw.csv [--min-rows N] [--manifest-output M]
+    python -m benelake.jobs profile --input raw.csv --output DIR
 
 The session comes from ``SparkSession.builder`` (the cluster launcher sets
 master and ``spark.checkpoint.dir``); every write is a full overwrite.
@@ -17,7 +18,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .plans import lakehouse, pipeline, sample
+from .plans import lakehouse, pipeline, profile, sample
 from .schemas import MIN_EXPECTED_ROWS
 from .session import build_session
 from .sinks import writers
@@ -51,6 +52,16 @@ def run_sample(spark: SparkSession, input_path: str, output: str) -> dict:
     return sample.sample_report(raw, spark.read.schema(raw.schema).option("header", True).csv(output)).first().asDict()
 
 
+def run_profile(spark: SparkSession, input_path: str, output: str) -> dict:
+    """Write every profiling view (each small) as JSON under ``output``."""
+    raw = csv_src.read_raw_csv(spark, input_path)
+    out = {}
+    for name, df in profile.profile_report(raw).items():
+        df.coalesce(1).write.mode("overwrite").json(f"{output}/{name}")
+        out[name] = f"{output}/{name}"
+    return out
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="benelake.jobs")
     sub = parser.add_subparsers(dest="cmd", required=True)
@@ -66,6 +77,9 @@ def main(argv: list[str] | None = None) -> int:
     fu.add_argument("--input", required=True)
     fu.add_argument("--min-rows", type=int, default=MIN_EXPECTED_ROWS)
     fu.add_argument("--manifest-output")
+    pr = sub.add_parser("profile")
+    pr.add_argument("--input", required=True)
+    pr.add_argument("--output", required=True)
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -73,6 +87,8 @@ def main(argv: list[str] | None = None) -> int:
         result = run_lakehouse_paths(spark, args.input, args.bronze_output, args.silver_output, args.gold_output)
     elif args.cmd == "sample":
         result = run_sample(spark, args.input, args.output)
+    elif args.cmd == "profile":
+        result = run_profile(spark, args.input, args.output)
     else:
         raw = csv_src.read_raw_csv(spark, args.input)
         run = pipeline.run_full(spark, raw, min_expected_rows=args.min_rows, source_path=args.input)

@@ -91,3 +91,15 @@ def test_scale_conf():
     assert int(conf["spark.sql.shuffle.partitions"]) == 50_000
     assert scale_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
     assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_profile_job(spark, tmp_dir):
+    src = _member_csv(spark, tmp_dir)
+    out = jobs.run_profile(spark, src, os.path.join(tmp_dir, "profile"))
+    assert len(out) == 18
+    shape = spark.read.json(out["shape"]).first()
+    assert shape["rows"] == member_raw(spark, SF).count() and shape["columns"] == 32
+    nulls = {r["column_name"] for r in spark.read.json(out["null_counts"]).collect()}
+    assert "BENE_DEATH_DT" in nulls and "SP_STRKETIA" in nulls
+    domains = spark.read.json(out["flag_domains"]).select("value").distinct().collect()
+    assert {r[0] for r in domains} <= {"1", "2"}
