@@ -15,6 +15,11 @@ the whole column. Here instead:
 
 Every step is a bounded task: a range partition, a per-group one-row join,
 or a per-group aggregate of at most two rows per requested quantile.
+
+The value-count table is read by several branches (partition totals, rank
+lookup), so it is checkpointed once (``materialize``) into the session's
+``spark.checkpoint.dir``: the input is scanned once, and every branch sees
+the same rows and range partitioning.
 """
 
 from __future__ import annotations
@@ -24,6 +29,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (lineage cut,
+    survives executor loss); never a local checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
 
 def _target_cols(n: Column, ps: list[float]) -> list[Column]:
     cols = []
@@ -38,13 +52,15 @@ def _target_cols(n: Column, ps: list[float]) -> list[Column]:
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, ps: list[float], names: list[str] | None = None,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, materialize_counts: bool = True) -> DataFrame:
     """One row per group: ``group`` plus one column per quantile in ``ps``
     (null values ignored; groups without values are absent)."""
     names = names or [f"q{i}" for i in range(len(ps))]
     if len(names) != len(ps) or any(not 0.0 <= p <= 1.0 or math.isnan(p) for p in ps):
         raise ValueError("need one name per quantile and quantiles in [0, 1]")
     counted = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_cnt"))
+    if materialize_counts:
+        counted = materialize(counted)
     ranged = counted.repartitionByRange(partitions, group, value) if partitions else counted.repartitionByRange(
         group, value
     )
