@@ -40,17 +40,60 @@ def main(argv):
     from benelake.queries import QUERIES
     from benelake.session import build_session
 
+    import tempfile
+
+    scratch = tempfile.mkdtemp(prefix="benelake-plans-")
     spark = build_session("local[8]", shuffle_partitions=8,
-                          extra_conf={"spark.sql.autoBroadcastJoinThreshold": "-1"})
+                          extra_conf={"spark.sql.autoBroadcastJoinThreshold": "-1",
+                                      "spark.sql.warehouse.dir": os.path.join(scratch, "wh"),
+                                      "spark.driver.extraJavaOptions": f"-Dderby.system.home={scratch}"})
     print("# Plan census\n")
     print(f"Physical plans of the registered queries on `{sf_dir}` with automatic broadcast joins **disabled** "
           "(the shape at 100 TB, where no input table is small); `tools/plan_report.py` regenerates this file.\n")
     print("| query | " + " | ".join(k for k, _ in COUNTS) + " |")
     print("|---|" + "---|" * len(COUNTS))
-    for key, fn in QUERIES.items():
-        plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    def row(name, df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
         cells = [str(len(re.findall(p, plan))) for _, p in COUNTS]
-        print(f"| {key} | " + " | ".join(cells) + " |")
+        print(f"| {name} | " + " | ".join(cells) + " |")
+
+    for key, fn in QUERIES.items():
+        row(key, fn(spark, sf_dir))
+
+    # Pipeline stages as they run in production: each reads the tables the
+    # previous stage wrote (typed raw, dim and fct bucketed by the id).
+    from pyspark.sql import functions as F
+
+    from benelake.operators import cohort
+    from benelake.plans import explore, lakehouse, pipeline, tiles, warehouse
+    from benelake.sources.adapter import member_raw
+
+    raw = member_raw(spark, sf_dir)
+    state = F.when(F.col("SP_STATE_CODE") == "40", F.lit("54")).otherwise(F.col("SP_STATE_CODE"))
+    raw = raw.fillna({"SP_STRKETIA": "2"}).withColumn("SP_STATE_CODE", state)
+    ns = pipeline.Namespaces()
+    ing = pipeline.run_ingest(spark, raw, ns, 0)
+    landed = spark.table(ing.tables["raw"])
+    lake = pipeline.run_lakehouse(spark, landed, ns)
+    pipeline.run_warehouse(spark, landed, ns, run_tests=False)
+    print("\n## Pipeline stages (reading written tables)\n")
+    print("| stage | " + " | ".join(k for k, _ in COUNTS) + " |")
+    print("|---|" + "---|" * len(COUNTS))
+    bronze = spark.table(lake.tables["bronze"])
+    silver = spark.table(lake.tables["silver"])
+    row("silver <- bronze", lakehouse.to_silver(bronze))
+    row("gold_cost <- silver", lakehouse.gold_cost_summary(silver))
+    row("gold_prevalence <- silver", lakehouse.gold_prevalence(silver))
+    for name in ("dim_beneficiary", "fct_beneficiary_annual_cost", "mart_state_cost_summary",
+                 "mart_chronic_condition_prevalence"):
+        row(f"{name} <- typed raw (bucketed)", spark.sql(dict(warehouse.MODELS)[name]))
+    dim = spark.table("medicare_marts.dim_beneficiary")
+    fct = spark.table("medicare_marts.fct_beneficiary_annual_cost")
+    stg = spark.table("stg_beneficiary_summary")
+    ex = explore.from_marts(dim, fct, stg)
+    row("explorer <- dim x fct x stg", ex)
+    row("cohort KPIs <- explorer", cohort.kpis(cohort.cohort_filter(ex, ["CA"], ["65-74"], ["has_chf"], "Alive")))
+    row("cost mix <- fct x dim", tiles.cost_mix(tiles.cost_mix_source(fct, dim)))
     spark.stop()
 
 
