@@ -179,3 +179,12 @@ def test_exact_quantiles_match_numpy(spark, partitions):
         want = np.quantile(vals, ps)
         for i, p in enumerate(ps):
             assert got[g][f"q{i}"] == pytest.approx(want[i], abs=1e-9), (g, p)
+
+
+def test_persisted_explorer_views(frames):
+    ex = explore.persist_explorer(frames[3])
+    try:
+        assert cohort.kpis(ex).first()["beneficiaries"] == ex.count()
+        assert ex.storageLevel.useMemory
+    finally:
+        ex.unpersist()
