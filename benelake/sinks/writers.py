@@ -42,6 +42,14 @@ def overwrite_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None
     return df.sparkSession.table(name)
 
 
+def create_table_as_select(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
+    """Create-or-replace a table from a SQL query (the session catalog has no
+    ``CREATE OR REPLACE TABLE ... AS SELECT``, so drop then create)."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet AS {select_sql}")
+    return spark.table(name)
+
+
 def write_observed(
     df: DataFrame, name: str, metrics: dict[str, Column] | None = None, bucket_by: tuple[int, str] | None = None
 ) -> tuple[DataFrame, dict]:

@@ -103,3 +103,24 @@ def test_profile_job(spark, tmp_dir):
     assert "BENE_DEATH_DT" in nulls and "SP_STRKETIA" in nulls
     domains = spark.read.json(out["flag_domains"]).select("value").distinct().collect()
     assert {r[0] for r in domains} <= {"1", "2"}
+
+
+def test_text_csv_na_tokens(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "na.csv")
+    with open(path, "w") as fh:
+        fh.write("a,b\nNA,1\n,2\nx,NULL\n")
+    plain = csv_src.read_text_csv(spark, path).collect()
+    assert [r["a"] for r in plain] == ["NA", None, "x"]
+    pandas_like = csv_src.read_text_csv(spark, path, csv_src.PANDAS_NA_TOKENS).collect()
+    assert [r["a"] for r in pandas_like] == [None, None, "x"] and pandas_like[2]["b"] is None
+
+
+def test_create_table_as_select(spark):
+    from benelake.sinks import writers
+
+    writers.ensure_database(spark, "ctas")
+    spark.range(10).createOrReplaceTempView("ctas_src")
+    t = writers.create_table_as_select(spark, "ctas.t", "SELECT id, id * 2 AS twice FROM ctas_src WHERE id < 5")
+    assert t.count() == 5
+    t2 = writers.create_table_as_select(spark, "ctas.t", "SELECT id FROM ctas_src")
+    assert t2.count() == 10 and t2.columns == ["id"]
