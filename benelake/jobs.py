@@ -93,7 +93,7 @@ def main(argv: list[str] | None = None) -> int:
         raw = csv_src.read_raw_csv(spark, args.input)
         run = pipeline.run_full(spark, raw, min_expected_rows=args.min_rows, source_path=args.input)
         if args.manifest_output:
-            writers.write_manifest(writers.manifest(spark, args.input, run.counts["raw"]), args.manifest_output)
+            writers.write_manifest(spark.table(run.tables["manifest"]), args.manifest_output)
         result = {"counts": run.counts, "reconciled": run.extra["reconciled"]}
     print(json.dumps(result, default=str))
     return 0

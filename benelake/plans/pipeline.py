@@ -74,7 +74,12 @@ def run_ingest(spark: SparkSession, raw: DataFrame, ns: Namespaces, min_expected
         raise
     result = RunResult(extra={"gate": gate, "landed_rows": int(m["rows"])})
     if source_path:
-        result.extra["manifest"] = [r.asDict() for r in writers.manifest(spark, source_path, gate["row_count"]).collect()]
+        # One manifest row per landed data file, written as a table (hashing
+        # runs on the executors; nothing per-file passes through the driver).
+        manifest_table = f"{ns.raw}.landing_manifest"
+        _, files = writers.write_and_count(writers.manifest(spark, source_path, gate["row_count"]), manifest_table)
+        result.tables["manifest"] = manifest_table
+        result.extra["manifest_files"] = files
     table = f"{ns.raw}.beneficiary_summary"
     result.counts["raw"] = writers.promote_table(spark, landing, table, gate["row_count"])
     result.tables["raw"] = table
@@ -219,6 +224,8 @@ def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None,
     agreed = rec.reconcile(
         spark.table(lake.tables["gold_cost"]), spark.table(wh.tables["fct_beneficiary_annual_cost"]), tolerance
     )
-    out = RunResult(counts={**ingest.counts, **lake.counts, **wh.counts}, tables={**ingest.tables, **lake.tables, **wh.tables})
+    out = RunResult(
+        counts={**ingest.counts, **lake.counts, **wh.counts}, tables={**ingest.tables, **lake.tables, **wh.tables}
+    )
     out.extra = {"reconciled": agreed, **ingest.extra}
     return out

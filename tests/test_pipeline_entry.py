@@ -94,3 +94,16 @@ def test_failed_landing_keeps_previous_raw(spark):
     assert not spark.catalog.tableExists("l_raw.beneficiary_summary__landing")
     with pytest.raises(quality.DataQualityError, match="missing expected columns"):
         pipeline.run_ingest(spark, good.drop("BENE_DEATH_DT"), ns, min_expected_rows=1)
+
+
+def test_ingest_writes_manifest_table(spark, tmp_path):
+    ns = pipeline.Namespaces(raw="mf_raw", bronze="mf_b", silver="mf_s", gold="mf_g", marts="mf_m")
+    src = str(tmp_path / "landed_csv")
+    good = _clean(member_raw(spark, SF))
+    good.repartition(3).write.mode("overwrite").option("header", True).csv(src)
+    from benelake.sources import csv as csv_src
+
+    res = pipeline.run_ingest(spark, csv_src.read_raw_csv(spark, src), ns, 1, source_path=src)
+    assert res.extra["manifest_files"] == 3
+    rows = spark.table(res.tables["manifest"]).collect()
+    assert {r["row_count"] for r in rows} == {res.counts["raw"]} and all(len(r["sha256"]) == 64 for r in rows)
