@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, dates, money
-from ..operators.dedupe import dedupe_any
+from ..operators.dedupe import dedupe_any, dedupe_first
 from ..operators.prevalence import prevalence_by_group
 from ..operators.unpivot import unpivot_flags
 from ..schemas import (
@@ -59,9 +59,15 @@ def enrich(df: DataFrame) -> DataFrame:
     return df.withColumns(derived)
 
 
-def to_silver(bronze: DataFrame) -> DataFrame:
+def to_silver(bronze: DataFrame, stable: bool = False) -> DataFrame:
     """Dedupe on the beneficiary id (before the projections: fewer columns in
-    the aggregate), then decode and enrich."""
+    the aggregate), then decode and enrich. The survivor of a duplicated id
+    is arbitrary (as ``dropDuplicates``); ``stable=True`` keeps the copy that
+    sorts first over all columns, the same on every run and layout."""
+    if stable:
+        # Order copies by their data columns; the ingest instant is carried.
+        order = [c for c in bronze.columns if c not in (ID_COLUMN, "_ingested_at")]
+        return enrich(dedupe_first(bronze, [ID_COLUMN], order))
     return enrich(dedupe_any(bronze, [ID_COLUMN]))
 
 

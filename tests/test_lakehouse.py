@@ -165,3 +165,13 @@ def test_prevalence_drops_null_flags(raw_rows):
 def test_silver_column_count(raw_rows):
     assert len(_silver(raw_rows()).columns) == 52
     assert all(c in _silver(raw_rows()).columns for c in FLAG_COLUMNS)
+
+
+def test_stable_dedupe_keeps_first_copy(raw_rows):
+    raw = raw_rows({"MEDREIMB_IP": "9.00"}, {"MEDREIMB_IP": "1.00"}, {"DESYNPUF_ID": "other"})
+    s = lakehouse.to_silver(lakehouse.to_bronze(raw), stable=True)
+    got = {r["DESYNPUF_ID"]: r["MEDREIMB_IP"] for r in s.collect()}
+    assert got == {"SYN0000001": 1.0, "other": 0.0}
+    assert s.columns == _silver(raw).columns
+    ts = {r["_ingested_at"] for r in s.collect()}
+    assert len(ts) == 1 and None not in ts
