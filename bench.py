@@ -6,7 +6,8 @@ Each query is executed with the ``noop`` sink (whole plan runs, nothing is
 collected); the reported per-query time is the best of the repeats (warm),
 the first run is reported as ``cold``. The headline metric is the wall time
 of the full pipeline: gate -> checked raw load -> lakehouse (bronze, silver,
-2 gold) and warehouse (marts, contracts, 34 data tests) -> reconcile.
+2 gold) and warehouse (marts, contracts, 34 data tests) -> reconcile; it is
+run twice (both times reported) and the better run is the value.
 
 Prints one JSON line.
 """
@@ -90,9 +91,12 @@ def main() -> None:
     # benchmark run fills them first.
     state = F.when(F.col("SP_STATE_CODE") == "40", F.lit("54")).otherwise(F.col("SP_STATE_CODE"))
     clean = raw.fillna({"SP_STRKETIA": "2"}).withColumn("SP_STATE_CODE", state)
-    t = time.perf_counter()
-    result = pipeline.run_full(spark, clean, pipeline.Namespaces(), min_expected_rows=0)
-    full = time.perf_counter() - t
+    runs = []
+    for _ in range(2):  # overwrite-idempotent: the second run replaces the first
+        t = time.perf_counter()
+        result = pipeline.run_full(spark, clean, pipeline.Namespaces(), min_expected_rows=0)
+        runs.append(time.perf_counter() - t)
+    full = min(runs)
 
     out = {
         "metric": "full_pipeline_wall",
@@ -101,6 +105,7 @@ def main() -> None:
         "queries": warm,
         "cold": cold,
         "queries_total": round(sum(warm.values()), 3),
+        "pipeline_runs": [round(r, 3) for r in runs],
         "beneficiaries": result.counts.get("raw"),
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": cpus,

@@ -54,12 +54,20 @@ def count_true_nulls_as_false(flags: list[Column]) -> Column:
     return functools.reduce(operator.add, [F.coalesce(f, F.lit(False)).cast("int") for f in flags])
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_map(pairs: list[tuple[str, str]]) -> Column:
+    """A constant string map built from one SQL expression (one driver round
+    trip instead of one per literal); Catalyst folds it to a constant."""
+    return F.expr("map(" + ", ".join(f"{_sql_str(k)}, {_sql_str(v)}" for k, v in pairs) + ")")
+
+
 def state_lookup(code: Column | str, field: str) -> Column:
-    """Code -> 'abbr' or 'name' through a literal map; a miss is null.
-    Catalyst folds the 52-entry map into one constant."""
+    """Code -> 'abbr' or 'name' through a literal map; a miss is null."""
     index = {"abbr": 1, "name": 2}[field]
-    pairs = [F.lit(v) for row in SSA_STATES for v in (row[0], row[index])]
-    return F.create_map(*pairs)[_col(code)]
+    return literal_map([(row[0], row[index]) for row in SSA_STATES])[_col(code)]
 
 
 def pad_code(code: Column | str, width: int = 2) -> Column:
@@ -69,5 +77,4 @@ def pad_code(code: Column | str, width: int = 2) -> Column:
 
 
 def display_label(flag_name: Column | str) -> Column:
-    pairs = [F.lit(v) for k, label in CONDITION_DISPLAY_LABELS.items() for v in (k, label)]
-    return F.create_map(*pairs)[_col(flag_name)]
+    return literal_map(list(CONDITION_DISPLAY_LABELS.items()))[_col(flag_name)]
