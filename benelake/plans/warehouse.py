@@ -7,9 +7,9 @@ inlines into each mart's plan; marts are saved tables in ``plans.pipeline``.
 
 Plan notes for scale:
 * the marts' joins are equi-joins on the unique beneficiary id (uniqueness is
-  a checked test), so they plan as sort-merge joins with no skewed key, or
-  as AQE broadcasts when a side is measured small at run time.
-  ``distribute=True`` hash-distributes staging by the id once instead.
+  a checked test), so no join key is skewed; in the pipeline the typed raw
+  table they all derive from is bucketed by the id, so the joins need no
+  exchange at all (``plans.pipeline.run_warehouse``).
 * the state seed is 52 rows, fixed by definition - the only broadcast.
 * the prevalence mart joins at beneficiary grain and unpivots afterwards
   (11x fewer rows through the joins), then uses GROUPING SETS: one pass,
@@ -209,19 +209,14 @@ MODELS: list[tuple[str, str]] = [
 MART_NAMES = ["dim_beneficiary", "fct_beneficiary_annual_cost", "mart_state_cost_summary", "mart_chronic_condition_prevalence"]
 
 
-def register_models(spark: SparkSession, loaded_raw: DataFrame, distribute: bool = False) -> dict[str, DataFrame]:
+def register_models(spark: SparkSession, loaded_raw: DataFrame) -> dict[str, DataFrame]:
     """Register seed, staging, intermediate and mart models as temp views in
     dependency order; return each model's DataFrame.
 
-    ``loaded_raw`` is the typed raw table (see ``inferred_load``). With
-    ``distribute`` staging is hash-distributed by ``desynpuf_id`` so that the
-    marts' joins on it need no further exchange.
-    """
+    ``loaded_raw`` is the typed raw table (see ``inferred_load``)."""
     state_seed(spark).createOrReplaceTempView("ssa_state_codes")
     loaded_raw.createOrReplaceTempView("wh_raw_beneficiary_summary")
     staging = STAGING_SQL.format(raw="wh_raw_beneficiary_summary")
-    if distribute:
-        staging += "DISTRIBUTE BY desynpuf_id\n"
     out = {"ssa_state_codes": spark.table("ssa_state_codes")}
     stg = spark.sql(staging)
     stg.createOrReplaceTempView("stg_beneficiary_summary")
@@ -233,6 +228,6 @@ def register_models(spark: SparkSession, loaded_raw: DataFrame, distribute: bool
     return out
 
 
-def build_from_raw(spark: SparkSession, raw_text: DataFrame, distribute: bool = False) -> dict[str, DataFrame]:
+def build_from_raw(spark: SparkSession, raw_text: DataFrame) -> dict[str, DataFrame]:
     """Convenience: raw text -> inferred load -> all models."""
-    return register_models(spark, inferred_load(raw_text), distribute)
+    return register_models(spark, inferred_load(raw_text))
