@@ -1,8 +1,8 @@
 """Equal-width histogram with "nice" bin steps.
 
 Step rule (our choice; only the bin cap is given): the smallest step on the
-1-2-5 ladder (1, 2, 5, 10, 20, 50, ...) that covers the value range in at
-most ``max_bins`` bins. Bins start at multiples of the step.
+1-2-5 ladder (1, 2, 5, 10, 20, 50, ...) whose bins, aligned to multiples of
+the step, cover the value range in at most ``max_bins`` bins.
 
 Two passes, both distributed: a global min/max aggregate (one row) feeds
 the step as a scalar subquery, then values are bucketed and counted with a
@@ -14,18 +14,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LADDER = (1, 2, 5, 10)
+LADDER = (1, 2, 5, 10, 20, 50)
 
 
 def nice_step(lo: Column, hi: Column, max_bins: int) -> Column:
     """Step expression over the range [lo, hi]."""
     span = F.when(hi - lo > 0, hi - lo).when(F.abs(lo) > 0, F.abs(lo)).otherwise(F.lit(1.0))
-    exponent = F.floor(F.log10(span / F.lit(float(max_bins))))
-    base = F.pow(F.lit(10.0), exponent)
+    base = F.pow(F.lit(10.0), F.floor(F.log10(span / F.lit(float(max_bins)))))
     step = None
     for m in reversed(LADDER):
         candidate = base * F.lit(float(m))
-        fits = F.ceil(span / candidate) <= max_bins
+        fits = F.floor(hi / candidate) - F.floor(lo / candidate) + 1 <= max_bins
         step = candidate if step is None else F.when(fits, candidate).otherwise(step)
     return step
 
