@@ -4,7 +4,6 @@ same input gives the same table and never duplicates rows."""
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -98,12 +97,12 @@ def manifest(spark: SparkSession, path: str, row_count: int | None = None) -> Da
     ``(file, sha256, bytes, row_count, ingested_at)``. Hashing runs on the
     executors (one file per row, part files for folders)."""
     files = spark.read.format("binaryFile").load(path)
-    if os.path.isdir(path):
-        files = files.filter(~F.element_at(F.split("path", "/"), -1).startswith("_"))
-        files = files.filter(~F.element_at(F.split("path", "/"), -1).startswith("."))
+    name = F.element_at(F.split("path", "/"), -1)
+    # Skip markers and hidden files (_SUCCESS, .crc) on any file system.
+    files = files.filter(~name.startswith("_") & ~name.startswith("."))
     now = _dt.datetime.now(_dt.UTC).isoformat()
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+        name.alias("file"),
         F.sha2(F.col("content"), 256).alias("sha256"),
         F.col("length").alias("bytes"),
         F.lit(row_count).cast("long").alias("row_count"),
