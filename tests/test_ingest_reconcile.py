@@ -137,3 +137,8 @@ def test_duplicates_break_reconcile(spark, raw_rows):
     fct = warehouse.build_from_raw(spark, raw)["fct_beneficiary_annual_cost"]
     with pytest.raises(reconcile.ReconciliationError, match="beneficiary_count"):
         reconcile.reconcile(gold, fct)
+
+
+def test_reconcile_null_total_reported():
+    with pytest.raises(ValueError, match="warehouse=null"):
+        reconcile.compare(BASE, {**BASE, "total_medicare_reimbursement": None})
