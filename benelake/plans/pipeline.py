@@ -47,6 +47,17 @@ class RunResult:
     extra: dict = field(default_factory=dict)
 
 
+def bucket_count(rows: int | None, cap: int, row_bytes: int = 400, target_bytes: int = 256 << 20,
+                 floor: int = 8) -> int:
+    """Buckets for a beneficiary-grain table: about ``target_bytes`` per
+    bucket file (a wide shuffle-partition setting must not split a table
+    into thousands of tiny files), at least ``floor`` for parallelism, at
+    most ``cap``."""
+    if rows is None:
+        return cap
+    return max(min(floor, cap), min(cap, -(-rows * row_bytes // target_bytes)))
+
+
 def ensure_namespaces(spark: SparkSession, ns: Namespaces) -> None:
     for db in ns.all():
         writers.ensure_database(spark, db)
@@ -157,11 +168,11 @@ def data_tests(models: dict[str, DataFrame], loaded_raw: DataFrame) -> DataFrame
 
 
 def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_contracts: bool = True,
-                  run_tests: bool = True, buckets: int | None = None) -> RunResult:
+                  run_tests: bool = True, buckets: int | None = None, rows_hint: int | None = None) -> RunResult:
     """Seed -> staging -> intermediate -> marts, then the data tests.
 
     The typed raw load, dim and fct are bucketed by the beneficiary id
-    (``buckets``, default the shuffle partition count), so the marts' joins
+    (``buckets``; by default sized from ``rows_hint``, see ``bucket_count``), so the marts' joins
     and later dim x fct x staging joins (explorer, cost mix) need no shuffle.
     Marts are built in dependency order and each later mart reads the tables
     already written (dim, fct), not their re-computed plans.
@@ -172,7 +183,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
     Data tests run on the written marts."""
     ensure_namespaces(spark, ns)
     res = RunResult()
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or bucket_count(rows_hint, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # The typed load is bucketed by the beneficiary id: staging, cost and
     # dim are projections of it, so every beneficiary-grain join of the
     # marts and the explorer finds both sides bucketed alike (no exchange).
@@ -217,10 +228,11 @@ def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None,
     if parallel:
         with ThreadPoolExecutor(max_workers=2, thread_name_prefix="benelake-path") as pool:
             lake_f = pool.submit(run_lakehouse, spark, landed, ns)
-            wh_f = pool.submit(run_warehouse, spark, landed, ns)
+            wh_f = pool.submit(run_warehouse, spark, landed, ns, rows_hint=ingest.counts["raw"])
             lake, wh = lake_f.result(), wh_f.result()
     else:
-        lake, wh = run_lakehouse(spark, landed, ns), run_warehouse(spark, landed, ns)
+        lake = run_lakehouse(spark, landed, ns)
+        wh = run_warehouse(spark, landed, ns, rows_hint=ingest.counts["raw"])
     agreed = rec.reconcile(
         spark.table(lake.tables["gold_cost"]), spark.table(wh.tables["fct_beneficiary_annual_cost"]), tolerance
     )

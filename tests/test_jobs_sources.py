@@ -124,3 +124,12 @@ def test_create_table_as_select(spark):
     assert t.count() == 5
     t2 = writers.create_table_as_select(spark, "ctas.t", "SELECT id FROM ctas_src")
     assert t2.count() == 10 and t2.columns == ["id"]
+
+
+def test_bucket_count_follows_table_size():
+    from benelake.plans.pipeline import bucket_count
+
+    assert bucket_count(116_352, 50_000) == 8  # small table: the parallelism floor
+    assert bucket_count(65_000_000, 50_000) == 97  # ~26 GB at 400 B/row -> 256 MB buckets
+    assert bucket_count(10**12, 50_000) == 50_000  # capped by the shuffle partitions
+    assert bucket_count(None, 200) == 200 and bucket_count(10, 4) == 4
