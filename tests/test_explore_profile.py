@@ -192,3 +192,23 @@ def test_persisted_explorer_views(frames):
         assert ex.storageLevel.useMemory
     finally:
         ex.unpersist()
+
+
+@pytest.mark.parametrize("which", [2, 3])
+def test_explorer_deceased_count_matches_raw(frames, which):
+    raw, ex = frames[0], frames[which]
+    assert ex.filter("is_deceased").count() == raw.filter(F.col("BENE_DEATH_DT").isNotNull()).count()
+
+
+@pytest.mark.parametrize("which", [2, 3])
+def test_explorer_row_recomputed_from_raw(frames, which):
+    from benelake.schemas import CONDITION_FLAGS
+
+    raw, ex = frames[0], frames[which]
+    first = raw.orderBy("DESYNPUF_ID").first()
+    row = ex.filter(F.col("desynpuf_id") == first["DESYNPUF_ID"]).first()
+    if all(first[c] is not None for c in CONDITION_FLAGS):
+        assert row["chronic_condition_count"] == sum(first[c] == "1" for c in CONDITION_FLAGS)
+    want = float(first["MEDREIMB_IP"]) + float(first["MEDREIMB_OP"]) + float(first["MEDREIMB_CAR"])
+    assert row["total_medicare_reimbursement"] == pytest.approx(want)
+    assert row["is_deceased"] == (first["BENE_DEATH_DT"] is not None)
