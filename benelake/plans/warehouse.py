@@ -18,6 +18,8 @@ Plan notes for scale:
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -209,25 +211,59 @@ MODELS: list[tuple[str, str]] = [
 MART_NAMES = ["dim_beneficiary", "fct_beneficiary_annual_cost", "mart_state_cost_summary", "mart_chronic_condition_prevalence"]
 
 
-def register_models(spark: SparkSession, loaded_raw: DataFrame) -> dict[str, DataFrame]:
-    """Register seed, staging, intermediate and mart models as temp views in
-    dependency order; return each model's DataFrame.
+# Which models each model's SQL reads (besides the raw table).
+DEPENDS: dict[str, list[str]] = {
+    "int_beneficiary_chronic_conditions": ["stg_beneficiary_summary"],
+    "int_beneficiary_annual_cost": ["stg_beneficiary_summary"],
+    "dim_beneficiary": ["stg_beneficiary_summary", "ssa_state_codes"],
+    "fct_beneficiary_annual_cost": ["int_beneficiary_annual_cost"],
+    "mart_state_cost_summary": ["dim_beneficiary", "int_beneficiary_annual_cost"],
+    "mart_chronic_condition_prevalence": [
+        "stg_beneficiary_summary", "dim_beneficiary", "int_beneficiary_annual_cost",
+    ],
+}
+
+
+class Models(Mapping):
+    """Model name -> DataFrame, each registered as a temp view. Seed and
+    staging are built up front; every other model is analysed on first
+    access, after the models it reads, so a query plans only what it uses."""
+
+    def __init__(self, spark: SparkSession, built: dict[str, DataFrame]):
+        self._spark = spark
+        self._built = built
+        self._sql = dict(MODELS)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            if name not in self._sql:
+                raise KeyError(name)
+            for dep in DEPENDS[name]:
+                self[dep]
+            df = self._spark.sql(self._sql[name])
+            df.createOrReplaceTempView(name)
+            self._built[name] = df
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(["ssa_state_codes", "stg_beneficiary_summary", *self._sql])
+
+    def __len__(self) -> int:
+        return 2 + len(self._sql)
+
+
+def register_models(spark: SparkSession, loaded_raw: DataFrame) -> Models:
+    """Register seed and staging as temp views and return the model mapping
+    (intermediate models and marts are built on access, in dependency order).
 
     ``loaded_raw`` is the typed raw table (see ``inferred_load``)."""
     state_seed(spark).createOrReplaceTempView("ssa_state_codes")
     loaded_raw.createOrReplaceTempView("wh_raw_beneficiary_summary")
-    staging = STAGING_SQL.format(raw="wh_raw_beneficiary_summary")
-    out = {"ssa_state_codes": spark.table("ssa_state_codes")}
-    stg = spark.sql(staging)
+    stg = spark.sql(STAGING_SQL.format(raw="wh_raw_beneficiary_summary"))
     stg.createOrReplaceTempView("stg_beneficiary_summary")
-    out["stg_beneficiary_summary"] = stg
-    for name, sql in MODELS:
-        df = spark.sql(sql)
-        df.createOrReplaceTempView(name)
-        out[name] = df
-    return out
+    return Models(spark, {"ssa_state_codes": spark.table("ssa_state_codes"), "stg_beneficiary_summary": stg})
 
 
-def build_from_raw(spark: SparkSession, raw_text: DataFrame) -> dict[str, DataFrame]:
+def build_from_raw(spark: SparkSession, raw_text: DataFrame) -> Models:
     """Convenience: raw text -> inferred load -> all models."""
     return register_models(spark, inferred_load(raw_text))
