@@ -7,6 +7,7 @@ re-runs the current stage, and lineage never grows across stages.
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -221,23 +222,37 @@ def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None,
              tolerance: float = 1.0, source_path: str | None = None, parallel: bool = True) -> RunResult:
     """Ingest, then the two paths (independent Spark actions, submitted from
     two driver threads so the scheduler overlaps them), then reconcile the
-    gold cost summary against the fact table (raises on mismatch)."""
+    gold cost summary against the fact table (raises on mismatch). Stage
+    wall times are returned in ``extra["stage_seconds"]``."""
     ns = ns or Namespaces()
+    clock = {}
+    t = time.perf_counter()
     ingest = run_ingest(spark, raw, ns, min_expected_rows, source_path)
+    clock["ingest"] = time.perf_counter() - t
     landed = spark.table(ingest.tables["raw"])
+    t = time.perf_counter()
     if parallel:
         with ThreadPoolExecutor(max_workers=2, thread_name_prefix="benelake-path") as pool:
-            lake_f = pool.submit(run_lakehouse, spark, landed, ns)
-            wh_f = pool.submit(run_warehouse, spark, landed, ns, rows_hint=ingest.counts["raw"])
-            lake, wh = lake_f.result(), wh_f.result()
+            lake_f = pool.submit(_timed, run_lakehouse, spark, landed, ns)
+            wh_f = pool.submit(_timed, run_warehouse, spark, landed, ns, rows_hint=ingest.counts["raw"])
+            (lake, clock["lakehouse"]), (wh, clock["warehouse"]) = lake_f.result(), wh_f.result()
     else:
-        lake = run_lakehouse(spark, landed, ns)
-        wh = run_warehouse(spark, landed, ns, rows_hint=ingest.counts["raw"])
+        lake, clock["lakehouse"] = _timed(run_lakehouse, spark, landed, ns)
+        wh, clock["warehouse"] = _timed(run_warehouse, spark, landed, ns, rows_hint=ingest.counts["raw"])
+    clock["paths"] = time.perf_counter() - t
+    t = time.perf_counter()
     agreed = rec.reconcile(
         spark.table(lake.tables["gold_cost"]), spark.table(wh.tables["fct_beneficiary_annual_cost"]), tolerance
     )
+    clock["reconcile"] = time.perf_counter() - t
     out = RunResult(
         counts={**ingest.counts, **lake.counts, **wh.counts}, tables={**ingest.tables, **lake.tables, **wh.tables}
     )
-    out.extra = {"reconciled": agreed, **ingest.extra}
+    out.extra = {"reconciled": agreed, "stage_seconds": {k: round(v, 3) for k, v in clock.items()}, **ingest.extra}
     return out
+
+
+def _timed(fn, *args, **kwargs):
+    t = time.perf_counter()
+    result = fn(*args, **kwargs)
+    return result, time.perf_counter() - t
