@@ -9,6 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from benelake.operators import quality
 from benelake.plans import explore, pipeline, tiles, warehouse
 from benelake.queries import QUERIES
 from benelake.sources.adapter import member_raw
@@ -57,5 +58,9 @@ def test_bucketed_pipeline_joins_need_no_exchange(spark):
         mart = spark.sql(dict(warehouse.MODELS)["mart_state_cost_summary"])
         # only the final aggregate shuffles; the dim x cost join does not
         assert len(re.findall(r"Exchange hashpartitioning", _plan(mart))) == 1
+        # id-keyed data tests group and join bucketed scans without a shuffle
+        for check in (quality.unique(dim, "desynpuf_id", "dim"), quality.unique(fct, "desynpuf_id", "fct"),
+                      quality.relationships(fct, "desynpuf_id", dim, "desynpuf_id", "fct")):
+            assert "Exchange hashpartitioning" not in _plan(check)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
