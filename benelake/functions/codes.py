@@ -40,10 +40,6 @@ def flag_from_text(raw: Column | str) -> Column:
     return _col(raw) == F.lit("1")
 
 
-def flag_from_int(raw: Column | str) -> Column:
-    return _col(raw) == F.lit(1)
-
-
 def count_true(flags: list[str]) -> Column:
     """Row-wise count of true flags; one null flag makes the count null."""
     return functools.reduce(operator.add, [_col(f).cast("int") for f in flags])

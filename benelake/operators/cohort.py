@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, money
+from .unpivot import wide_to_long
 from ..schemas import FLAG_COLUMNS
 
 STATUSES = ("All", "Alive", "Deceased")
@@ -80,7 +81,7 @@ def prevalence(cohort: DataFrame, labelled: bool = False) -> DataFrame:
     wide = cohort.agg(
         *[money.ratio(F.sum(F.col(c).cast("int")), F.count(F.col(c)), 4).alias(c) for c in FLAG_COLUMNS]
     )
-    long = wide.unpivot([], FLAG_COLUMNS, "condition", "prevalence")
+    long = wide_to_long(wide, FLAG_COLUMNS, "condition", "prevalence")
     if labelled:
         long = long.select(codes.display_label("condition").alias("condition"), "prevalence")
     return long

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, money
+from ..operators.unpivot import wide_to_long
 from ..schemas import ALL_STATES_LABEL
 
 
@@ -61,7 +62,7 @@ def cost_mix(source: DataFrame) -> DataFrame:
     """IP / OP / carrier split as ``(component, amount)`` rows."""
     parts = {"inpatient": "medreimb_ip", "outpatient": "medreimb_op", "carrier": "medreimb_car"}
     wide = source.agg(*[money.money_sum(c).alias(k) for k, c in parts.items()])
-    return wide.unpivot([], list(parts), "component", "amount")
+    return wide_to_long(wide, list(parts), "component", "amount")
 
 
 def cost_by_band(source: DataFrame) -> DataFrame:

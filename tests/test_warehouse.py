@@ -117,3 +117,12 @@ def test_state_summary_totals(spark, raw_rows):
     assert (r["beneficiary_count"], r["total_medicare_reimbursement"]) == (2, 20.01)
     # 20.01 / 2 = 10.005: half-up on the exact decimal.
     assert r["avg_medicare_reimbursement_per_beneficiary"] == 10.01
+
+
+def test_enforce_contract(spark, raw_rows):
+    m = _models(spark, raw_rows())
+    ok = quality.enforce_contract(m["mart_state_cost_summary"], MART_CONTRACTS["mart_state_cost_summary"], "s")
+    assert ok.count() == 1
+    nulls = m["dim_beneficiary"].withColumn("chronic_condition_count", F.lit(None).cast("bigint"))
+    with pytest.raises(quality.DataQualityError, match="chronic_condition_count"):
+        quality.enforce_contract(nulls, MART_CONTRACTS["dim_beneficiary"], "dim_beneficiary")
