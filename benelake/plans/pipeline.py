@@ -99,17 +99,21 @@ def run_ingest(spark: SparkSession, raw: DataFrame, ns: Namespaces, min_expected
 
 
 def run_lakehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces) -> RunResult:
-    """raw -> bronze -> silver -> two gold tables, each read back from storage."""
+    """raw -> bronze -> silver -> two gold tables, each stage read back from
+    storage; the gold tables are written concurrently."""
     ensure_namespaces(spark, ns)
     res = RunResult()
     bronze, res.counts["bronze"] = writers.write_and_count(lakehouse.to_bronze(raw), f"{ns.bronze}.beneficiary_summary")
     silver, res.counts["silver"] = writers.write_and_count(lakehouse.to_silver(bronze), f"{ns.silver}.beneficiary")
-    _, res.counts["gold_cost"] = writers.write_and_count(
-        lakehouse.gold_cost_summary(silver), f"{ns.gold}.beneficiary_cost_summary"
-    )
-    _, res.counts["gold_prevalence"] = writers.write_and_count(
-        lakehouse.gold_prevalence(silver), f"{ns.gold}.chronic_condition_prevalence"
-    )
+    # The two gold tables read only silver: submit them together.
+    with ThreadPoolExecutor(max_workers=2, thread_name_prefix="benelake-gold") as pool:
+        cost_f = pool.submit(
+            writers.write_and_count, lakehouse.gold_cost_summary(silver), f"{ns.gold}.beneficiary_cost_summary"
+        )
+        prev_f = pool.submit(
+            writers.write_and_count, lakehouse.gold_prevalence(silver), f"{ns.gold}.chronic_condition_prevalence"
+        )
+        res.counts["gold_cost"], res.counts["gold_prevalence"] = cost_f.result()[1], prev_f.result()[1]
     res.tables = {
         "bronze": f"{ns.bronze}.beneficiary_summary",
         "silver": f"{ns.silver}.beneficiary",
