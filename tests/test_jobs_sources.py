@@ -133,3 +133,12 @@ def test_bucket_count_follows_table_size():
     assert bucket_count(65_000_000, 50_000) == 97  # ~26 GB at 400 B/row -> 256 MB buckets
     assert bucket_count(10**12, 50_000) == 50_000  # capped by the shuffle partitions
     assert bucket_count(None, 200) == 200 and bucket_count(10, 4) == 4
+
+
+def test_cli_main_sample(spark, tmp_dir, capsys):
+    import json
+
+    src = _member_csv(spark, tmp_dir)
+    assert jobs.main(["sample", "--input", src, "--output", os.path.join(tmp_dir, "cli_sample")]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["source_rows"] == member_raw(spark, SF).count() and report["sample_rows"] > 0
