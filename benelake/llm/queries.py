@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from benelake.llm.decontaminate import find_contamination
 from benelake.llm.substring_dedup import remove_repeats
 from benelake.llm.tables import table
 
@@ -16,8 +18,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
 }
 
 #: DuckDB SQL, where SQL states the same rows within the time of the check.
