@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benelake.llm.decontaminate import find_contamination
+from benelake.llm.language_id import fit_languages, predict_languages
 from benelake.llm.substring_dedup import remove_repeats
 from benelake.llm.tables import table
+from benelake.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,9 +27,33 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
 
 
+def remainder(column: str, divisor: int) -> Column:
+    """crc32 of the id as text modulo ``divisor``; of a null id: -1."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(-1))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = remainder("doc_id", 3) == 1
+    model = fit_toxicity(docs.where(~held_out).join(labels, "doc_id"))
+    found = score_toxicity(docs, model, sentences=None)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 3) == 1
+    filters = fit_languages(docs.where(~held_out))
+    found = predict_languages(docs.drop("lang"), filters)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op7_toxicity": op7_toxicity,
+    "op10_language_id": op10_language_id,
 }
 
 #: DuckDB SQL, where SQL states the same rows within the time of the check.

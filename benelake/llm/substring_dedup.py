@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from benelake.llm import packed, text
-from benelake.llm.tables import free_name, partitions, text_bytes
+from benelake.llm.tables import free_name, partitions, text_bytes, written
 
 SLICE_BYTES = 4 << 20  # text of a slice of documents
 GROUP_SUFFIXES = 1 << 20  # suffixes that a group should hold at most
@@ -75,10 +75,9 @@ def _heavy_prefixes(docs: DataFrame, column: str, window: int, groups: int) -> n
                     break
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(counts))], ["prefix", "n"])
 
-    counted = docs.select(column).mapInArrow(count, "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
-    total = counted.where("prefix = 0")
-    share = counted.where("prefix <> 0").crossJoin(F.broadcast(total.select(F.col("n").alias("total"))))  # one row
-    rows = share.where(f"n * {4 * groups} >= total").select("prefix").collect()
+    counted = written(docs.select(column).mapInArrow(count, "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n")))
+    total = counted.where("prefix = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = counted.where((F.col("prefix") != 0) & (F.col("n") * 4 * groups >= total)).select("prefix").collect()
     return np.sort(np.array([r[0] for r in rows], np.int64).view(text.U64))
 
 
@@ -183,8 +182,17 @@ def remove_repeats(
     at = free_name(docs, "slice")
     dealt = docs.withColumn(at, F.pmod(F.xxhash64(id_column, column), F.lit(slices)).cast("int"))
 
+    added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+    added += [T.StructField(name, T.StringType()) for name in (kept_text, kept_sha256) if name]
+    names = [f.name.lower() for f in added]
+    carried = [f for f in docs.schema.fields if f.name.lower() not in names]
+    body = free_name(docs, "body") if column.lower() in names else column
+    carry = dealt.select(at, *[F.col(f"`{f.name}`") for f in carried], *([F.col(column).alias(body)] if body != column else []))
+    if id_column.lower() in names:
+        raise ValueError(f"{id_column} can't be replaced")
+
     def send(table: pa.Table) -> pa.Table:
-        own = _Slice(table, id_column, column, window, heavy, groups)
+        own = _Slice(table, id_column, body, window, heavy, groups)
         number = table.column(at)[0].as_py()
         return pa.table({
             "part": pa.array([g for g, _ in own.parts], pa.int32()),
@@ -193,21 +201,12 @@ def remove_repeats(
             "smallest": pa.array([packed.pack(own.smallest[i]) for _, i in own.parts], pa.binary()),
         })
 
-    sent = dealt.select(id_column, column, at).groupBy(at).applyInArrow(send, "part int, slice int, paths binary, smallest binary")
+    # the same exchange of the texts serves both uses of ``carry``
+    sent = carry.groupBy(at).applyInArrow(send, "part int, slice int, paths binary, smallest binary")
     told = sent.groupBy("part").applyInArrow(_compare, "slice int, part int, bits binary")
 
-    added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
-    added += [T.StructField(name, T.StringType()) for name in (kept_text, kept_sha256) if name]
-    names = [f.name.lower() for f in added]
-    carried = [f for f in docs.schema.fields if f.name.lower() not in names]
-    carry = dealt.select(at, *[F.col(f"`{f.name}`") for f in carried]) if column.lower() not in names else dealt.withColumn(free_name(docs, "body"), F.col(column))
-    body = column if column.lower() not in names else carry.columns[-1]
-    key = id_column
-    if id_column.lower() in names:
-        raise ValueError(f"{id_column} can't be replaced")
-
     def strip(table: pa.Table, bits: pa.Table) -> pa.Table:
-        own = _Slice(table, key, body, window, heavy, groups)
+        own = _Slice(table, id_column, body, window, heavy, groups)
         earlier = np.zeros(len(own.paths), bool)
         answers = dict(zip(bits.column("part").to_pylist(), bits.column("bits").to_pylist(), strict=True))
         for part, i in own.parts:

@@ -16,7 +16,8 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SEGMENT = 4 << 20
+SEGMENT = 1 << 20
+BLOCK = 4 << 20  # text of a block of rows
 _BASE = 0x9E3779B97F4A7C15  # odd: has an inverse modulo 2**64
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
 
@@ -51,7 +52,7 @@ def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(base, max(16, int(n).bit_length()))
+    return _powers(base, max(21, int(n).bit_length()))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -97,7 +98,7 @@ def row_blocks(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def batches(stream: Iterator[pa.RecordBatch], column: str, most: int = SEGMENT) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def batches(stream: Iterator[pa.RecordBatch], column: str, most: int = BLOCK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Arrow batches cut to blocks of rows of bounded text, with the bytes and
     offsets of ``column``."""
     for batch in stream:
