@@ -1,9 +1,10 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's score is a logistic function of
-the hashed words in it (each word and its first few bytes, so that inflected
-forms share evidence); a document is toxic unless every sentence is clean:
-P = 1 - product of (1 - P(sentence)), the noisy-or. Only documents carry
+the distinct hashed words in it (each word and its first few bytes, so that
+inflected forms share evidence), and 0 if none of them is evidence; a document
+is toxic unless every sentence is clean: P = 1 - product of (1 - P(sentence)),
+the noisy-or. Only documents carry
 labels; the gradient of the noisy-or likelihood deals the blame out to the
 sentences, and scoring names those that offend.
 
@@ -66,10 +67,16 @@ class ToxicityModel:
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights, bias
 
-    def sentences(self, bags: _Bags) -> np.ndarray:
-        if not len(bags.first):
-            return np.zeros(0)
-        return np.add.reduceat(self.weights[bags.features].sum(1), bags.first) + self.bias
+    def sentences(self, bags: _Bags) -> tuple[np.ndarray, np.ndarray]:
+        """The sentences with evidence, and their logistic scores."""
+        weights = self.weights[bags.features]
+        at, _ = np.nonzero(weights)
+        pairs = np.unique(bags.sentence[at].astype(np.int64) << FEATURE_BITS | bags.features[weights != 0])
+        owner = pairs >> FEATURE_BITS
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        if not len(first):
+            return np.zeros(0, np.int64), np.zeros(0)
+        return owner[first], np.add.reduceat(self.weights[pairs & ((1 << FEATURE_BITS) - 1)].astype(float), first) + self.bias
 
 
 def _evidence(bags_features: np.ndarray, sentence: np.ndarray, codes: np.ndarray, toxic: np.ndarray, certainty: float) -> tuple[np.ndarray, np.ndarray]:
@@ -109,9 +116,12 @@ def _fit(features: np.ndarray, sentence: np.ndarray, codes: np.ndarray, rows: np
     place[used] = np.arange(len(used))
     place = place[features]
     at, _ = np.nonzero(place >= 0)
-    index, owner = place[place >= 0], sentence[at]
+    pairs = np.unique(sentence[at].astype(np.int64) * len(used) + place[place >= 0])
+    index, owner = pairs % len(used), pairs // len(used)
+    with_evidence, owner = np.unique(owner, return_inverse=True)  # other sentences score 0
+    rows = rows[with_evidence]
     kinds = features.shape[1]
-    weights, bias = ratio / kinds, -5.0
+    weights, bias = ratio / kinds, -3.0
     pull = weights.copy()
     squares, bias_squares = np.full(len(used), 1e-6), 1e-6
     cost = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())) / n
@@ -186,15 +196,16 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, column: str = "text",
         own = shared.value
         for batch, data, offsets in text.batches(stream, column):
             bags = _Bags(data, offsets)
-            z = own.sentences(bags)
+            sentence, z = own.sentences(bags)
+            rows = bags.rows[sentence]
             out = [batch.column(batch.schema.get_field_index(f.name)) for f in carried]
-            out.append(pa.array(-np.expm1(np.bincount(bags.rows, _log_clean(z), batch.num_rows)) + 0.0))
+            out.append(pa.array(-np.expm1(np.bincount(rows, _log_clean(z), batch.num_rows)) + 0.0))
             if sentences:
                 p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-                bad = np.flatnonzero(p >= OFFENDING)
+                bad, p = sentence[p >= OFFENDING], p[p >= OFFENDING]
                 last = np.append(bags.first[1:], len(bags.sentence))[bad] - 1
                 base = offsets[bags.rows[bad]]
-                items = pa.StructArray.from_arrays([pa.array(bags.words.starts[bags.first[bad]] - base), pa.array(bags.words.ends[last] - base), pa.array(p[bad])], ["first", "end", "score"])
+                items = pa.StructArray.from_arrays([pa.array(bags.words.starts[bags.first[bad]] - base), pa.array(bags.words.ends[last] - base), pa.array(p)], ["first", "end", "score"])
                 out.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(bags.rows[bad], np.arange(batch.num_rows + 1)), pa.int32()), items))
             yield pa.RecordBatch.from_arrays(out, schema.names)
 
