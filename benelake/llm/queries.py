@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benelake.llm.decontaminate import find_contamination
+from benelake.llm.jaccard_join import near_duplicate_components
 from benelake.llm.language_id import fit_languages, predict_languages
 from benelake.llm.substring_dedup import remove_repeats
 from benelake.llm.tables import table
@@ -32,6 +33,11 @@ def remainder(column: str, divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(-1))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicate_components(docs, shingle=3, share=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -52,6 +58,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op10_language_id": op10_language_id,
 }
