@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from benelake.llm.decontaminate import find_contamination
 from benelake.llm.jaccard_join import near_duplicate_components
 from benelake.llm.language_id import fit_languages, predict_languages
+from benelake.llm.quality import fit_quality, score_quality, with_statistics
 from benelake.llm.substring_dedup import remove_repeats
-from benelake.llm.tables import table
+from benelake.llm.tables import table, written
 from benelake.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -33,6 +34,16 @@ def remainder(column: str, divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(-1))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    held_out = remainder("doc_id", 5) == 0
+    stats = written(with_statistics(docs))  # one pass over the texts
+    model = fit_quality(stats.where(~held_out).join(labels, "doc_id"))
+    found = score_quality(stats, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicate_components(docs, shingle=3, share=90).select("doc_id", "n_shingles", "component_id")
@@ -58,6 +69,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op10_language_id": op10_language_id,
