@@ -11,6 +11,7 @@ from benelake.llm.decontaminate import find_contamination
 from benelake.llm.html_extract import extract_text
 from benelake.llm.jaccard_join import near_duplicate_components
 from benelake.llm.language_id import fit_languages, predict_languages
+from benelake.llm.packing import pack_documents
 from benelake.llm.quality import fit_quality, score_quality, with_statistics
 from benelake.llm.substring_dedup import remove_repeats
 from benelake.llm.tables import table, written
@@ -23,6 +24,19 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a vocabulary file of the public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), end=2, most=1024)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -54,7 +68,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     held_out = remainder("doc_id", 3) == 1
-    model = fit_toxicity(docs.where(~held_out).join(labels, "doc_id"))
+    model = fit_toxicity(docs, labels.where(~held_out))
     found = score_toxicity(docs, model, sentences=None)
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
@@ -74,6 +88,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,

@@ -8,9 +8,10 @@ the noisy-or. Only documents carry
 labels; the gradient of the noisy-or likelihood deals the blame out to the
 sentences, and scoring names those that offend.
 
-The model is fitted on at most ``sample_bytes`` of labelled text (half of it
-for each label, chosen by a hash of the id; all of it if there is less), a
-bound that holds for the driver's memory too. Everything is scored.
+The model is fitted on about ``sample_rows`` labelled texts of ``sample_bytes``
+in all (half of it for each label, chosen by a hash of the id; all there are if
+there are fewer), a bound that holds for the driver's memory too, and only
+their ids are broadcast. Everything is scored.
 
 Edge cases: a null or empty text has no sentence and gets score 0; without
 labels of both kinds every score is 0; a row labelled more than once counts
@@ -28,7 +29,8 @@ from pyspark.sql import types as T
 
 from benelake.llm import packed, text
 
-SAMPLE_BYTES = 24 << 20
+SAMPLE_ROWS = 8000
+SAMPLE_BYTES = 12 << 20
 FEATURE_BITS = 18
 PREFIXES = (4, 5, 6)
 ROUNDS = 80
@@ -88,13 +90,18 @@ def _evidence(bags_features: np.ndarray, sentence: np.ndarray, codes: np.ndarray
     same[1:] = (codes[order][1:] != codes[order][:-1]) | (toxic[order][1:] != toxic[order][:-1])
     counted = np.zeros(len(codes), bool)
     counted[order[same]] = True
-    size = text.U64(1 << FEATURE_BITS)
-    pairs = np.sort((sentence.astype(text.U64)[:, None] * size + bags_features.astype(text.U64))[counted[sentence]].ravel())
-    pairs = pairs[np.concatenate((pairs[:1] == pairs[:1], pairs[1:] != pairs[:-1]))]
-    feature, kind = (pairs % size).astype(np.int64), toxic[(pairs // size).astype(np.int64)]
-    n1, n0 = (np.bincount(feature[kind == k], minlength=int(size)) for k in (1, 0))
+    size = 1 << FEATURE_BITS
+    words = counted[sentence]
+    owner = sentence[words].astype(np.int64) << FEATURE_BITS
+    n1, n0 = np.zeros(size), np.zeros(size)
+    for k in range(bags_features.shape[1]):  # features of different kinds do not meet but by chance
+        pairs = np.sort(owner | bags_features[words, k])
+        pairs = pairs[np.concatenate((pairs[:1] == pairs[:1], pairs[1:] != pairs[:-1]))]
+        feature, kind = pairs & (size - 1), toxic[pairs >> FEATURE_BITS]
+        n1 += np.bincount(feature[kind == 1], minlength=size)
+        n0 += np.bincount(feature[kind == 0], minlength=size)
     m1, m0 = (int((counted & (toxic == k)).sum()) for k in (1, 0))
-    ratio = np.log((n1 + 0.5) / (m1 - n1 + 0.5)) - np.log((n0 + 0.5) / (m0 - n0 + 0.5))
+    ratio = np.log((n1 + 0.5) / np.maximum(m1 - n1 + 0.5, 0.5)) - np.log((n0 + 0.5) / np.maximum(m0 - n0 + 0.5, 0.5))
     # Chernoff bound of the chance that a word dealt at random over all
     # sentences falls so often into those of toxic documents
     base, own = m1 / (m1 + m0), n1 / np.maximum(n1 + n0, 1)
@@ -141,16 +148,23 @@ def _fit(features: np.ndarray, sentence: np.ndarray, codes: np.ndarray, rows: np
     return ToxicityModel(out, float(bias))
 
 
-def fit_toxicity(labelled: DataFrame, id_column: str = "doc_id", column: str = "text", label: str = "toxic", sample_bytes: int = SAMPLE_BYTES, rounds: int = ROUNDS) -> ToxicityModel:
-    """Model from rows with a text and a 0/1 label."""
-    rows = labelled.select(F.col(id_column).alias("id"), F.col(column).alias("text"), F.col(label).cast("int").alias("label")).where("text is not null and label in (0, 1)")
-    totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
-    if len(totals) < 2 or not all(totals.values()):
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, rounds: int = ROUNDS) -> ToxicityModel:
+    """Model from the texts of ``docs`` that have a 0/1 label in ``labels``."""
+    known = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label")).where("id is not null and label in (0, 1)")
+    # the share of each label's rows that is expected to give half the sample
+    shares = {r["label"]: min(1.0, sample_rows / 2 / r["count"]) for r in known.groupBy("label").count().collect()}
+    if len(shares) < 2:
         return ToxicityModel(np.zeros(1 << FEATURE_BITS, np.float32), -60.0)
-    # the share of each label's rows that is expected to fill half the sample
-    shares = {k: min(1.0, sample_bytes / 2 / n) for k, n in totals.items()}
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = rows.where(((F.col("label") == 1) & (place < shares[1])) | ((F.col("label") == 0) & (place < shares[0])))
+    texts = docs.select(F.col(id_column).alias("id"), F.col(column).alias("text")).where("text is not null")
+
+    def sample():
+        ids = known.where(((F.col("label") == 1) & (place < shares[1])) | ((F.col("label") == 0) & (place < shares[0])))
+        return texts.join(F.broadcast(ids), "id").select("id", "text", "label")  # about sample_rows ids
+
+    for r in sample().groupBy("label").agg(F.sum(F.octet_length("text")).alias("n")).collect():
+        shares[r["label"]] *= min(1.0, sample_bytes / 2 / max(r["n"], 1))  # long texts: fewer of them
+    chosen = sample()
 
     def extract(stream):
         for batch, data, offsets in text.batches(stream, "text"):
