@@ -15,6 +15,7 @@ from benelake.llm.packing import pack_documents
 from benelake.llm.quality import fit_quality, score_quality, with_statistics
 from benelake.llm.substring_dedup import remove_repeats
 from benelake.llm.tables import table, written
+from benelake.llm.token_files import read_token_files, write_token_files
 from benelake.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -78,6 +79,12 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder, manifest = write_token_files(docs, tokenizer_path("word_bpe_49k.json"), end=2)
+    return read_token_files(spark, folder, manifest)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = remainder("doc_id", 3) == 1
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_html_extraction": op8_html_extraction,
+    "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
 }
 
