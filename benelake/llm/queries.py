@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benelake.llm.decontaminate import find_contamination
+from benelake.llm.fingerprints import compare_edited
 from benelake.llm.html_extract import extract_text
 from benelake.llm.jaccard_join import near_duplicate_components
 from benelake.llm.language_id import fit_languages, predict_languages
@@ -65,6 +66,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_components(docs, shingle=3, share=90).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_toxicity": op7_toxicity,
     "op8_html_extraction": op8_html_extraction,
     "op9_token_files": op9_token_files,
