@@ -1,13 +1,84 @@
-"""The corpus pipeline: each stage reads what the one before kept."""
+"""The corpus pipeline: toxic documents go, one document of each group of near
+copies stays, long repeated passages are cut, documents with benchmark text go,
+and what is left is packed into sequences.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one
+before kept; all but the last return the columns of ``documents``. Other
+columns are carried, rows without an id are kept unless a stage's own finding
+rejects them, and an empty table passes through every stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from benelake.llm.decontaminate import find_contamination
+from benelake.llm.jaccard_join import near_duplicate_components
+from benelake.llm.packing import pack_documents
+from benelake.llm.queries import tokenizer_path
+from benelake.llm.substring_dedup import remove_repeats
 from benelake.llm.tables import table, written
+from benelake.llm.toxicity import fit_toxicity, score_toxicity
+
+TOXIC = 0.7  # score from which a document goes
+SHINGLE, SIMILAR = 5, 80  # words; least Jaccard similarity in percent
+PASSAGE = 50  # words of the shortest passage that counts as repeated
+SEQUENCE = 1024  # tokens
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that score ``TOXIC`` or more, by a model of all
+    labelled documents."""
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs.withColumn("toxic_score", F.lit(0.0)), model, score="toxic_score", sentences=None)
+    return scored.where(F.col("toxic_score") < TOXIC).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep of each group of near copies the document with the smallest id. A
+    document without words, or without an id, is a group of its own."""
+    found = near_duplicate_components(docs, shingle=SHINGLE, share=SIMILAR)
+    kept = found.where(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select(docs.columns)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    if repeated:  # rows of one id are one document: the others would shuffle for nothing
+        kept = kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    return kept
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages of ``PASSAGE`` words or more that a document with a smaller
+    id holds too. Other texts stay as they are; a document of which nothing is
+    left goes."""
+    found = remove_repeats(docs, window=PASSAGE, kept_text="kept_text")
+    cut = F.col("n_removed") > 0
+    text = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
+    size = F.when(cut, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    left = found.where(~cut | (F.col("n_removed") < F.col("n_words")))
+    return left.select(*[text.alias(c) if c == "text" else size.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold text of a benchmark item."""
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(~F.col("contaminated")).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokenise and pack: a row for each piece with its sequence and offset."""
+    return pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), end=2, most=SEQUENCE)
+
 
-STAGES = []
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
+#: Models and exact set joins are not stated in SQL; tests compare each stage
+#: with a plain version.
 ORACLE_SQL = None
 
 
@@ -17,6 +88,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
-    for _, stage in STAGES[-1:]:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
