@@ -3,7 +3,8 @@
 A page is read once into a tree of its block elements; the inline text between
 two block boundaries is a paragraph. Each paragraph passes points for its
 length and commas to its parent element, half of them to the grandparent, a
-third to the next. A container's score is discounted by its link density. The
+third to the next, both less the share of linked text; a container's score is
+discounted by its link density again. The
 best container is kept with those siblings that score well too or hold running
 text; inside ``article`` or ``main`` the whole of that element is the container.
 
@@ -183,7 +184,7 @@ def _best(blocks: list[tuple[_Node, str, int]]) -> str:
     """Score the containers of the blocks and keep the best one's."""
     scored: dict[int, _Node] = {}
     for own, text, linked in blocks:
-        points = 1 + text.count(",") + min(len(text) / 100, 3)
+        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - min(linked / len(text), 1))
         at = own if own.tag in ("div", "section", "article", "main", "body", "#") else own.parent
         for share in (1, 2, 3):
             if at is None or at.tag == "#":

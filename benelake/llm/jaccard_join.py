@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 
 from benelake.llm import packed, text
 from benelake.llm.components import components
-from benelake.llm.tables import partitions, text_bytes, written
+from benelake.llm.tables import free_name, partitions, text_bytes, written
 
 SLICE_BYTES = 4 << 20
 BITMAP = 8  # 64-bit words of a signature
@@ -314,7 +314,7 @@ def near_duplicate_components(docs: DataFrame, id_column: str = "doc_id", column
 
     # every row gets its class's component
     named = reps.select("c1", "c2", F.col("id").alias("rep")).join(labels, F.col("rep") == labels["id"], "left").select("c1", "c2", F.coalesce("label", "rep").alias("component"))
-    known = sets.join(named, ["c1", "c2"], "left").select(F.col("id").alias("own_id"), "key", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component")).distinct()
-    rows = docs.withColumn("__key", own_key)
-    joined = rows.join(known, (rows["__key"] == known["key"]) & rows[id_column].cast("long").eqNullSafe(known["own_id"]))
-    return joined.select(*carried, F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    own, key, size, component = (free_name(docs, x) for x in ("own_id", "own_key", "own_size", "own_component"))
+    known = sets.join(named, ["c1", "c2"], "left").select(F.col("id").alias(own), F.col("key").alias(key), F.col("n").alias(size), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias(component)).distinct()
+    joined = docs.join(known, (own_key == F.col(key)) & F.col(id_column).cast("long").eqNullSafe(F.col(own)))
+    return joined.select(*carried, F.col(size).alias("n_shingles"), F.col(component).alias("component_id"))

@@ -120,7 +120,7 @@ class _Slice:
         self.by_group = np.argsort(group, kind="stable")
         group = group[self.by_group]
         cuts = np.flatnonzero(np.concatenate((group[:1] == group[:1], group[1:] != group[:-1])))
-        self.parts = [(int(group[a]), self.by_group[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(group)), strict=True)]
+        self.parts = [(int(group[a]), self.by_group[a:b]) for a, b in zip(cuts, [*cuts[1:], len(group)], strict=False)]
 
 
 def _compare(table: pa.Table) -> pa.Table:

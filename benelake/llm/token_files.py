@@ -21,8 +21,8 @@ A file holds, all numbers little-endian:
 A checksum is the CRC-32 of a block's ids (4 bytes each) followed by its code.
 
 Edge cases: a null or empty text is its end id alone; a null id sorts first;
-rows of equal ids stay separate, ordered by a hash of the text; no rows give
-files without documents. A damaged or cut file raises.
+rows of equal ids stay separate, ordered by a hash of the text; no rows give no
+file or files without documents. A damaged or cut file raises.
 """
 
 from __future__ import annotations
@@ -158,6 +158,9 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, with
     importable(spark)
     counts = {r["number"]: r["n_ids"] for r in manifest.select("number", "n_ids").collect()}  # a number for each file
     before = np.concatenate(([0], np.cumsum([counts.get(i, 0) for i in range(max(counts, default=-1) + 1)]))).astype(np.int64)
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
+    if not counts:
+        return spark.createDataFrame([], schema)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "ids-*.bin").load(folder)
     number = F.regexp_extract("path", r"ids-(\d+)\.bin$", 1).cast("int").alias("number")
 
@@ -177,5 +180,4 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, with
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(out, names)
 
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     return files.select(number, "content").mapInArrow(read, schema)
