@@ -47,7 +47,7 @@ from benelake.llm.components import components
 from benelake.llm.tables import free_name, partitions, text_bytes, written
 
 SLICE_BYTES = 4 << 20
-BITMAP = 8  # 64-bit words of a signature
+BITMAP = 32  # 64-bit words of a signature
 LEADER_ROUNDS = 2
 TILE_ROWS = 200_000  # rows of the tiles that one task takes
 
