@@ -4,6 +4,7 @@
     python -m benelake.jobs sample --input raw.csv --output DIR
     python -m benelake.jobs full --input raw.csv [--min-rows N] [--manifest-output M]
     python -m benelake.jobs profile --input raw.csv --output DIR
+    python -m benelake.jobs explore --output DIR [--namespace N]
 
 The session comes from ``SparkSession.builder`` (the cluster launcher sets
 master and ``spark.checkpoint.dir``); every write is a full overwrite.
@@ -18,7 +19,8 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .plans import lakehouse, pipeline, profile, sample
+from .operators import cohort
+from .plans import explore, lakehouse, pipeline, profile, sample
 from .schemas import MIN_EXPECTED_ROWS
 from .session import build_session
 from .sinks import writers
@@ -53,15 +55,27 @@ def run_sample(spark: SparkSession, input_path: str, output: str) -> dict:
 
 
 def run_profile(spark: SparkSession, input_path: str, output: str) -> dict:
-    """Write every profiling view (each small) as JSON under ``output``."""
-    raw = csv_src.read_raw_csv(spark, input_path)
+    """Write every profiling view as JSON under ``output``; the CSV is parsed
+    once, into ``output/_landing``."""
+    writers.overwrite_parquet(csv_src.read_raw_csv(spark, input_path), f"{output}/_landing")
+    raw = spark.read.parquet(f"{output}/_landing")
     out = {}
     for name, df in profile.profile_report(raw).items():
-        df.coalesce(1).write.mode("overwrite").json(f"{output}/{name}")
+        df.write.mode("overwrite").json(f"{output}/{name}")
         out[name] = f"{output}/{name}"
     return out
 
 
+def run_explore(spark: SparkSession, namespace: str, output: str) -> dict:
+    """Figures of all beneficiaries and by state, from the marts that an
+    earlier run left in the catalog."""
+    frame = explore.load_explorer(spark, "marts", namespace=namespace)
+    views = {"kpis": cohort.kpis(frame), "states": cohort.state_table(frame)}
+    for name, df in views.items():
+        df.write.mode("overwrite").json(f"{output}/{name}")
+    return {name: f"{output}/{name}" for name in views}
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="benelake.jobs")
     sub = parser.add_subparsers(dest="cmd", required=True)
@@ -80,6 +94,9 @@ def main(argv: list[str] | None = None) -> int:
     pr = sub.add_parser("profile")
     pr.add_argument("--input", required=True)
     pr.add_argument("--output", required=True)
+    ex = sub.add_parser("explore")
+    ex.add_argument("--namespace", default=pipeline.Namespaces.marts)
+    ex.add_argument("--output", required=True)
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -89,6 +106,8 @@ def main(argv: list[str] | None = None) -> int:
         result = run_sample(spark, args.input, args.output)
     elif args.cmd == "profile":
         result = run_profile(spark, args.input, args.output)
+    elif args.cmd == "explore":
+        result = run_explore(spark, args.namespace, args.output)
     else:
         raw = csv_src.read_raw_csv(spark, args.input)
         run = pipeline.run_full(spark, raw, min_expected_rows=args.min_rows, source_path=args.input)

@@ -61,6 +61,19 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
     return ordered.limit(top) if top else ordered
 
 
+def value_counts_by_column(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column_name, value, count)`` of the non-null values of several
+    columns, in one pass."""
+    long = to_long(df, columns, "string").filter(F.col("value").isNotNull())
+    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
+def text_shares(df: DataFrame, columns: list[str], text: str) -> DataFrame:
+    """``(column_name, prevalence)``: share of rows that hold ``text``."""
+    wide = df.agg(*[money.share(F.col(c) == text).alias(c) for c in columns])
+    return wide.unpivot([], columns, "column_name", "prevalence")
+
+
 def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Exact distinct non-null counts, ``(column_name, n_distinct)``."""
     cols = columns or df.columns
@@ -68,47 +81,26 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return wide.unpivot([], cols, "column_name", "n_distinct")
 
 
-def describe_measures(value: Column, scale: int = 4, mean_decimals: int | None = 2) -> list[Column]:
-    """count, mean, std (sample), min, max.
-
-    With ``mean_decimals`` the mean is computed exactly on
-    ``decimal(18, mean_decimals)`` (right for amounts and counts, and
-    independent of row order); ``None`` uses a double mean."""
-    if mean_decimals is None:
-        mean = F.round(F.avg(value), scale)
-    else:
-        v = value.cast(f"decimal(18,{mean_decimals})")
-        mean = money.ratio(F.sum(v), F.count(v), scale)
+def describe_measures(value: Column, scale: int = 4) -> list[Column]:
+    """count, mean, std (sample), min, max of doubles, at their own scale."""
     return [
         F.count(value).alias("count"),
-        mean.alias("mean"),
+        F.round(F.avg(value), scale).alias("mean"),
         F.round(F.stddev_samp(value), scale).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     ]
 
 
-def describe(df: DataFrame, columns: list[str], scale: int = 4, exact: bool = True,
-             mean_decimals: int | None = 2) -> DataFrame:
+def describe(df: DataFrame, columns: list[str], scale: int = 4) -> DataFrame:
     """Transposed describe: one row per column - count, mean, std, min,
-    linearly interpolated quartiles, max.
-
-    ``exact`` quartiles use ``operators.quantiles.exact_quantiles`` (a
-    distributed rank computation; no task holds a whole column); otherwise
-    ``percentile_approx``."""
+    linearly interpolated quartiles (``operators.quantiles``: exact, and no
+    task holds a whole column), max."""
     long = to_long(df, columns, "double")
-    v = F.col("value")
-    stats = long.groupBy("column_name").agg(*describe_measures(v, scale, mean_decimals))
+    stats = long.groupBy("column_name").agg(*describe_measures(F.col("value"), scale))
     names = ["p25", "p50", "p75"]
-    if exact:
-        q = exact_quantiles(long, "column_name", "value", list(PERCENTILES), names)
-    else:
-        approx = F.percentile_approx(v, F.array(*[F.lit(p) for p in PERCENTILES]), 100000)
-        q = long.groupBy("column_name").agg(approx.alias("_q")).select(
-            "column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]
-        )
-    joined = stats.join(q, "column_name", "left")
-    return joined.select(
+    quartiles = exact_quantiles(long, "column_name", "value", list(PERCENTILES), names)
+    return stats.join(quartiles, "column_name", "left").select(
         "column_name", "count", "mean", "std", "min", *[F.round(F.col(n), scale).alias(n) for n in names], "max"
     )
 

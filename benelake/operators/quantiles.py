@@ -16,10 +16,10 @@ the whole column. Here instead:
 Every step is a bounded task: a range partition, a per-group one-row join,
 or a per-group aggregate of at most two rows per requested quantile.
 
-The value-count table is read by several branches (partition totals, rank
-lookup), so it is checkpointed once (``materialize``) into the session's
-``spark.checkpoint.dir``: the input is scanned once, and every branch sees
-the same rows and range partitioning.
+The range-partitioned counts are read by several branches (partition totals,
+rank lookup), so they are checkpointed once with their partition number
+(``materialize``) into the session's ``spark.checkpoint.dir``: the input is
+scanned once, and every branch sees the same rows and ranges.
 """
 
 from __future__ import annotations
@@ -52,33 +52,27 @@ def _target_cols(n: Column, ps: list[float]) -> list[Column]:
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, ps: list[float], names: list[str] | None = None,
-                    partitions: int | None = None, materialize_counts: bool = True) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """One row per group: ``group`` plus one column per quantile in ``ps``
     (null values ignored; groups without values are absent)."""
     names = names or [f"q{i}" for i in range(len(ps))]
     if len(names) != len(ps) or any(not 0.0 <= p <= 1.0 or math.isnan(p) for p in ps):
         raise ValueError("need one name per quantile and quantiles in [0, 1]")
     counted = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    if materialize_counts:
-        counted = materialize(counted)
-    ranged = counted.repartitionByRange(partitions, group, value) if partitions else counted.repartitionByRange(
-        group, value
-    )
-    ranged = ranged.withColumn("_pid", F.spark_partition_id())
+    ranged = counted.repartitionByRange(partitions, group, value) if partitions else counted.repartitionByRange(group, value)
+    # The partition number is written with the rows: every branch below reads
+    # the same rows in the same ranges, whatever exchanges Spark reuses.
+    ranged = materialize(ranged.withColumn("_pid", F.spark_partition_id()))
     in_part = Window.partitionBy("_pid", group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local_end", F.sum("_cnt").over(in_part))
 
-    totals = local.groupBy("_pid", group).agg(F.sum("_cnt").alias("_part_total"))
+    # partitions x groups rows: offsets of the partitions, targets of the groups
+    totals = ranged.groupBy("_pid", group).agg(F.sum("_cnt").alias("_part_total"))
     before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_part_total").over(before), F.lit(0))).select(
-        "_pid", group, "_offset"
-    )
-    per_group = totals.groupBy(group).agg(F.sum("_part_total").alias("_n"))
-    targets = per_group.select(group, *_target_cols(F.col("_n"), ps))
-
-    ranked = local.join(offsets, ["_pid", group]).withColumn("_end", F.col("_offset") + F.col("_local_end"))
-    ranked = ranked.withColumn("_start", F.col("_end") - F.col("_cnt"))
-    matched = ranked.join(targets, group)
+    whole = Window.partitionBy(group)
+    placed = totals.select("_pid", group, F.coalesce(F.sum("_part_total").over(before), F.lit(0)).alias("_offset"), F.sum("_part_total").over(whole).alias("_n"))
+    matched = local.join(placed, ["_pid", group]).withColumn("_end", F.col("_offset") + F.col("_local_end"))
+    matched = matched.withColumn("_start", F.col("_end") - F.col("_cnt")).select("*", *_target_cols(F.col("_n"), ps))
 
     def at(rank: str) -> Column:
         return F.max(F.when((F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end")), F.col(value)))

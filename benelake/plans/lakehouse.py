@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import codes, dates, money
 from ..operators.dedupe import dedupe_any, dedupe_first
 from ..operators.prevalence import prevalence_by_group
-from ..operators.unpivot import unpivot_flags
 from ..schemas import (
     BENEFICIARY_PAID,
     CONDITION_FLAGS,
@@ -93,14 +92,10 @@ def gold_cost_summary(silver: DataFrame) -> DataFrame:
 
 
 def gold_prevalence(silver: DataFrame) -> DataFrame:
-    """Condition x state prevalence. Unpivot is an ``Expand`` feeding the
-    partial aggregate in the same stage, so only condition x state partial
-    rows are shuffled - never 11x the beneficiaries."""
-    base = silver.select(
-        "state_abbr", "state_name", money.total(*MEDICARE_PAID).alias("total_medicare_reimbursement"), *FLAG_COLUMNS
-    )
-    long = unpivot_flags(base, ["state_abbr", "state_name", "total_medicare_reimbursement"], CONDITION_LABELS)
-    return prevalence_by_group(long, ["condition", "state_abbr", "state_name"], "total_medicare_reimbursement")
+    """Condition x state prevalence: one aggregate per state, then one row per
+    condition; only state-grain partial rows are shuffled."""
+    base = silver.select("state_abbr", "state_name", money.total(*MEDICARE_PAID).alias("total_medicare_reimbursement"), *FLAG_COLUMNS)
+    return prevalence_by_group(base, ["state_abbr", "state_name"], CONDITION_LABELS, "total_medicare_reimbursement")
 
 
 def ordered_prevalence(prevalence: DataFrame) -> DataFrame:

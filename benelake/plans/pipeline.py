@@ -8,6 +8,7 @@ re-runs the current stage, and lineage never grows across stages.
 from __future__ import annotations
 
 import time
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -21,9 +22,11 @@ from ..schemas import (
     AGE_BAND_LABELS,
     CONDITION_LABELS,
     MART_CONTRACTS,
+    MIN_EXPECTED_ROWS,
     RAW_COLUMNS,
 )
 from ..sinks import writers
+from ..sources.csv import read_raw_csv
 from . import lakehouse, warehouse
 
 
@@ -31,11 +34,11 @@ from . import lakehouse, warehouse
 class Namespaces:
     """Database names for each layer."""
 
-    raw: str = "medicare_raw"
+    raw: str = "claims_raw"
     bronze: str = "bronze"
     silver: str = "silver"
     gold: str = "gold"
-    marts: str = "medicare_marts"
+    marts: str = "claims_marts"
 
     def all(self) -> list[str]:
         return [self.raw, self.bronze, self.silver, self.gold, self.marts]
@@ -48,15 +51,11 @@ class RunResult:
     extra: dict = field(default_factory=dict)
 
 
-def bucket_count(rows: int | None, cap: int, row_bytes: int = 400, target_bytes: int = 256 << 20,
-                 floor: int = 8) -> int:
+def bucket_count(rows: int, row_bytes: int = 400, target_bytes: int = 256 << 20, floor: int = 8) -> int:
     """Buckets for a beneficiary-grain table: about ``target_bytes`` per
-    bucket file (a wide shuffle-partition setting must not split a table
-    into thousands of tiny files), at least ``floor`` for parallelism, at
-    most ``cap``."""
-    if rows is None:
-        return cap
-    return max(min(floor, cap), min(cap, -(-rows * row_bytes // target_bytes)))
+    bucket file however large the table is, at least ``floor`` for
+    parallelism. Only the data's size counts, no session setting."""
+    return max(floor, -(-rows * row_bytes // target_bytes))
 
 
 def ensure_namespaces(spark: SparkSession, ns: Namespaces) -> None:
@@ -64,32 +63,30 @@ def ensure_namespaces(spark: SparkSession, ns: Namespaces) -> None:
         writers.ensure_database(spark, db)
 
 
-def run_ingest(spark: SparkSession, raw: DataFrame, ns: Namespaces, min_expected_rows: int,
+def run_ingest(spark: SparkSession, raw: DataFrame, ns: Namespaces, min_expected_rows: int = MIN_EXPECTED_ROWS,
                source_path: str | None = None) -> RunResult:
-    """Gate -> manifest -> full-refresh load with a row-count post-check.
+    """Gate -> manifest -> full-refresh load with a row-count check.
 
-    The raw file is parsed once: it lands in a staging table (row count
-    observed during that write), the gate runs on the columnar copy (its
-    duplicate check reads only the id column), and only a passing landing is
-    promoted to the raw table, whose row count is checked against the gate's.
-    A failing landing is dropped; the previous raw table is left untouched."""
+    The raw file is parsed once into a landing table; the gate runs on that
+    columnar copy (its duplicate check reads only the id column), and only a
+    passing landing takes the place of the raw table. A failing landing is
+    dropped and the previous raw table is left untouched."""
     ensure_namespaces(spark, ns)
-    missing = sorted(set(RAW_COLUMNS) - set(raw.columns))
-    if missing:
-        raise quality.DataQualityError(f"Raw file missing expected columns: {missing}")
+    quality.require_columns(raw, RAW_COLUMNS)
     landing = f"{ns.raw}.beneficiary_summary__landing"
-    landed, m = writers.write_observed(raw, landing)
+    landed = writers.overwrite_table(raw, landing)
     try:
         gate = quality.validate_landing(landed, min_expected_rows)
     except quality.DataQualityError:
         spark.sql(f"DROP TABLE IF EXISTS {landing}")
         raise
-    result = RunResult(extra={"gate": gate, "landed_rows": int(m["rows"])})
+    result = RunResult(extra={"gate": gate, "landed_rows": gate["row_count"]})
     if source_path:
         # One manifest row per landed data file, written as a table (hashing
         # runs on the executors; nothing per-file passes through the driver).
         manifest_table = f"{ns.raw}.landing_manifest"
-        _, files = writers.write_and_count(writers.manifest(spark, source_path, gate["row_count"]), manifest_table)
+        listed = writers.manifest(spark, source_path, read_raw_csv(spark, source_path))
+        _, files = writers.write_and_count(listed, manifest_table)
         result.tables["manifest"] = manifest_table
         result.extra["manifest_files"] = files
     table = f"{ns.raw}.beneficiary_summary"
@@ -123,106 +120,101 @@ def run_lakehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces) -> RunRes
     return res
 
 
-def data_tests(models: dict[str, DataFrame], loaded_raw: DataFrame) -> DataFrame:
-    """The warehouse's 34 column tests as one suite result.
-
-    Not-null and accepted-values tests of a model share one aggregate pass
-    over it; unique and relationship tests each need their own grouping."""
-    stg = models["stg_beneficiary_summary"]
-    seed = models["ssa_state_codes"]
-    conds = models["int_beneficiary_chronic_conditions"]
-    cost = models["int_beneficiary_annual_cost"]
-    dim = models["dim_beneficiary"]
-    fct = models["fct_beneficiary_annual_cost"]
-    prev = models["mart_chronic_condition_prevalence"]
-    state = models["mart_state_cost_summary"]
-    q = quality
-    return q.run_suite(
-        [
-            q.column_checks(loaded_raw, "raw", ["DESYNPUF_ID"]),
-            q.unique(loaded_raw, "DESYNPUF_ID", "raw"),
-            q.column_checks(seed, "ssa_state_codes", ["state_code", "state_abbr"]),
-            q.unique(seed, "state_code", "ssa_state_codes"),
-            q.unique(seed, "state_abbr", "ssa_state_codes"),
-            q.column_checks(
-                stg,
-                "stg",
-                ["desynpuf_id", "birth_date", "state_code"],
-                {"sex_cd": ACCEPTED_SEX, "race_cd": ACCEPTED_RACE, "esrd_ind": ACCEPTED_ESRD},
-            ),
-            q.unique(stg, "desynpuf_id", "stg"),
-            q.relationships(stg, "state_code", seed, "state_code", "stg"),
-            q.column_checks(
-                conds,
-                "int_conditions",
-                ["desynpuf_id", "condition", "has_condition"],
-                {"condition": list(CONDITION_LABELS.values())},
-            ),
-            q.column_checks(cost, "int_annual_cost", ["desynpuf_id", "total_cost_2008"]),
-            q.unique(cost, "desynpuf_id", "int_annual_cost"),
-            q.column_checks(dim, "dim", ["desynpuf_id", "chronic_condition_count"], {"age_band": AGE_BAND_LABELS}),
-            q.unique(dim, "desynpuf_id", "dim"),
-            q.column_checks(fct, "fct", ["desynpuf_id", "total_medicare_reimbursement"]),
-            q.unique(fct, "desynpuf_id", "fct"),
-            q.relationships(fct, "desynpuf_id", dim, "desynpuf_id", "fct"),
-            q.column_checks(prev, "mart_prevalence", ["condition", "prevalence_rate"]),
-            q.column_checks(state, "mart_state_summary", ["state_code", "beneficiary_count"]),
-            q.unique(state, "state_code", "mart_state_summary"),
+def model_tests(name: str, models: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """The column tests of one model (``raw``: the loaded raw table). Not-null
+    and accepted-values tests share one aggregate pass; unique and
+    relationship tests each need their own grouping."""
+    q, df = quality, models[name]
+    if name == "raw":
+        return [q.column_checks(df, "raw", ["DESYNPUF_ID"]), q.unique(df, "DESYNPUF_ID", "raw")]
+    if name == "ssa_state_codes":
+        return [q.column_checks(df, name, ["state_code", "state_abbr"]), q.unique(df, "state_code", name), q.unique(df, "state_abbr", name)]
+    if name == "stg_beneficiary_summary":
+        accepted = {"sex_cd": ACCEPTED_SEX, "race_cd": ACCEPTED_RACE, "esrd_ind": ACCEPTED_ESRD}
+        return [
+            q.column_checks(df, "stg", ["desynpuf_id", "birth_date", "state_code"], accepted),
+            q.unique(df, "desynpuf_id", "stg"),
+            q.relationships(df, "state_code", models["ssa_state_codes"], "state_code", "stg"),
         ]
-    )
+    if name == "int_beneficiary_chronic_conditions":
+        return [q.column_checks(df, "int_conditions", ["desynpuf_id", "condition", "has_condition"], {"condition": list(CONDITION_LABELS.values())})]
+    if name == "int_beneficiary_annual_cost":
+        return [q.column_checks(df, "int_annual_cost", ["desynpuf_id", "total_cost_2008"]), q.unique(df, "desynpuf_id", "int_annual_cost")]
+    if name == "dim_beneficiary":
+        return [q.column_checks(df, "dim", ["desynpuf_id", "chronic_condition_count"], {"age_band": AGE_BAND_LABELS}), q.unique(df, "desynpuf_id", "dim")]
+    if name == "fct_beneficiary_annual_cost":
+        return [
+            q.column_checks(df, "fct", ["desynpuf_id", "total_medicare_reimbursement"]),
+            q.unique(df, "desynpuf_id", "fct"),
+            q.relationships(df, "desynpuf_id", models["dim_beneficiary"], "desynpuf_id", "fct"),
+        ]
+    if name == "mart_chronic_condition_prevalence":
+        return [q.column_checks(df, "mart_prevalence", ["condition", "prevalence_rate"])]
+    return [q.column_checks(df, "mart_state_summary", ["state_code", "beneficiary_count"]), q.unique(df, "state_code", "mart_state_summary")]
+
+
+UPSTREAM = ["ssa_state_codes", *warehouse.VIEW_NAMES]
+
+
+def data_tests(models: Mapping[str, DataFrame]) -> DataFrame:
+    """All 34 column tests of the warehouse as one suite result."""
+    return quality.run_suite([t for name in ("raw", *UPSTREAM, *warehouse.MART_NAMES) for t in model_tests(name, models)])
 
 
 def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_contracts: bool = True,
-                  run_tests: bool = True, buckets: int | None = None, rows_hint: int | None = None) -> RunResult:
-    """Seed -> staging -> intermediate -> marts, then the data tests.
-
-    The typed raw load, dim and fct are bucketed by the beneficiary id
-    (``buckets``; by default sized from ``rows_hint``, see ``bucket_count``), so the marts' joins
-    and later dim x fct x staging joins (explorer, cost mix) need no shuffle.
-    Marts are built in dependency order and each later mart reads the tables
-    already written (dim, fct), not their re-computed plans.
-
-    Each mart's contract is checked on the plan before its write (names and
-    types, no job); its not-null constraints are observed during the write
-    itself, and a violating table is dropped before the error is raised.
-    Data tests run on the written marts."""
+                  run_tests: bool = True, buckets: int | None = None) -> RunResult:
+    """Seed -> staging -> intermediate -> marts, each model tested before
+    anything reads it.
+
+    The id tests of the raw rows come first: they aggregate before they
+    shuffle, so a blank or repeated id that holds many rows stops the run
+    before the bucketed load would gather them in one task. The typed load,
+    dim and fct are bucketed by the id (``buckets``; by default from the row
+    count), so the marts' joins and later joins of them need no shuffle.
+
+    A mart is written aside; its contract (names and types on the plan,
+    not-null constraints on the written rows) and its data tests are checked
+    there, and only then it takes the place of the published one. A failing
+    mart is dropped, the published tables stay, and later marts are not built.
+    Staging and intermediate models stay as views of the marts' namespace."""
     ensure_namespaces(spark, ns)
     res = RunResult()
-    buckets = buckets or bucket_count(rows_hint, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # The typed load is bucketed by the beneficiary id: staging, cost and
-    # dim are projections of it, so every beneficiary-grain join of the
-    # marts and the explorer finds both sides bucketed alike (no exchange).
-    loaded = writers.overwrite_table(
-        warehouse.inferred_load(raw), f"{ns.raw}.beneficiary_summary_typed", bucket_by=(buckets, "DESYNPUF_ID")
-    )
+    passed: list[dict] = []
+
+    def test(name: str, models: Mapping[str, DataFrame]) -> None:
+        if run_tests:
+            passed.extend(quality.raise_on_failures(quality.run_suite(model_tests(name, models))))
+
+    test("raw", {"raw": raw})
+    buckets = buckets or bucket_count(raw.count())
+    typed = f"{ns.raw}.beneficiary_summary_typed"
+    loaded = writers.replace_table(warehouse.inferred_load(raw), typed, bucket_by=(buckets, "DESYNPUF_ID"))
     models = warehouse.register_models(spark, loaded)
-    written = dict(models)
+    for name in UPSTREAM:
+        test(name, models)
+    warehouse.create_views(spark, ns.marts, typed)
     bucketed = {"dim_beneficiary", "fct_beneficiary_annual_cost"}
     for name in warehouse.MART_NAMES:
-        # Re-resolve the model now, so it reads the marts written before it.
-        df = spark.sql(dict(warehouse.MODELS)[name])
-        contract = MART_CONTRACTS[name]
-        table = f"{ns.marts}.{name}"
+        contract, table = MART_CONTRACTS[name], f"{ns.marts}.{name}"
+        staged = writers.staged_name(table)
         if enforce_contracts:
-            quality.check_contract(df, contract, name)
-        metrics = quality.not_null_metrics(contract) if enforce_contracts else {}
+            quality.check_contract(models[name], contract, name)
         bucket_by = (buckets, "desynpuf_id") if name in bucketed else None
-        written[name], m = writers.write_observed(df, table, metrics, bucket_by)
-        res.counts[name] = int(m["rows"])
-        if enforce_contracts:
-            try:
-                quality.check_not_null_metrics(m, name)
-            except quality.DataQualityError:
-                spark.sql(f"DROP TABLE IF EXISTS {table}")
-                raise
-        written[name].createOrReplaceTempView(name)
-        res.tables[name] = table
-    if run_tests:
-        res.extra["tests"] = quality.raise_on_failures(data_tests(written, loaded))
+        written = writers.overwrite_table(models[name], staged, bucket_by)
+        try:
+            found = writers.measured(written, quality.not_null_metrics(contract) if enforce_contracts else {})
+            quality.check_not_null_metrics(found, name)
+            test(name, models.having(**{name: written}))
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            raise
+        models = models.having(**{name: writers.publish(spark, staged, table)})
+        res.counts[name], res.tables[name] = int(found["rows"]), table
+    res.extra["tests"] = passed
     return res
 
 
-def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None, min_expected_rows: int = 0,
+def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None, min_expected_rows: int = MIN_EXPECTED_ROWS,
              tolerance: float = 1.0, source_path: str | None = None, parallel: bool = True) -> RunResult:
     """Ingest, then the two paths (independent Spark actions, submitted from
     two driver threads so the scheduler overlaps them), then reconcile the
@@ -238,11 +230,11 @@ def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None,
     if parallel:
         with ThreadPoolExecutor(max_workers=2, thread_name_prefix="benelake-path") as pool:
             lake_f = pool.submit(_timed, run_lakehouse, spark, landed, ns)
-            wh_f = pool.submit(_timed, run_warehouse, spark, landed, ns, rows_hint=ingest.counts["raw"])
+            wh_f = pool.submit(_timed, run_warehouse, spark, landed, ns)
             (lake, clock["lakehouse"]), (wh, clock["warehouse"]) = lake_f.result(), wh_f.result()
     else:
         lake, clock["lakehouse"] = _timed(run_lakehouse, spark, landed, ns)
-        wh, clock["warehouse"] = _timed(run_warehouse, spark, landed, ns, rows_hint=ingest.counts["raw"])
+        wh, clock["warehouse"] = _timed(run_warehouse, spark, landed, ns)
     clock["paths"] = time.perf_counter() - t
     t = time.perf_counter()
     agreed = rec.reconcile(

@@ -25,7 +25,6 @@ def profile_report(raw: DataFrame) -> dict[str, DataFrame]:
     typed = to_bronze(raw)
     total = money.total(*MEDICARE_PAID)
     age = dates.age_days365("BENE_BIRTH_DT")
-    flags_wide = raw.agg(*[money.share(F.col(c) == "1").alias(c) for c in SP_COLUMNS])
     report = {
         "shape": profiling.shape(raw),
         "null_counts": profiling.null_counts(raw),
@@ -33,9 +32,8 @@ def profile_report(raw: DataFrame) -> dict[str, DataFrame]:
         "flag_domains": profiling.domains(raw, SP_COLUMNS),
         "state_top10": profiling.value_counts(raw, "SP_STATE_CODE", 10),
         "distinct_states": profiling.distinct_counts(raw, ["SP_STATE_CODE"]),
-        "flag_prevalence": flags_wide.unpivot([], SP_COLUMNS, "column_name", "prevalence").orderBy(
-            F.desc("prevalence"), F.asc("column_name")
-        ),
+        "flag_prevalence": profiling.text_shares(raw, SP_COLUMNS, "1").orderBy(F.desc("prevalence"), F.asc("column_name")),
+        "coded_counts": profiling.value_counts_by_column(raw, CODED_COLUMNS),
         "flag_count": profiling.describe(
             raw.select(codes.count_true_nulls_as_false([F.col(c) == "1" for c in SP_COLUMNS]).alias("flag_count")),
             ["flag_count"],
@@ -48,6 +46,4 @@ def profile_report(raw: DataFrame) -> dict[str, DataFrame]:
         "age": profiling.describe(typed.select(age.alias("age_2008")), ["age_2008"]),
         "under_65": typed.agg(money.share(age < 65).alias("under65_share")),
     }
-    for c in CODED_COLUMNS:
-        report[f"counts_{c}"] = profiling.value_counts(raw, c)
     return report

@@ -2,8 +2,9 @@
 
 Written independently of ``plans.lakehouse`` (own decode, own state seed as a
 joined table, own age rule) so that reconciling the two paths means
-something. Staging and intermediate models are temp views that Catalyst
-inlines into each mart's plan; marts are saved tables in ``plans.pipeline``.
+something. A model's SQL names its inputs by placeholders that are bound to
+frames, never to names of the session; ``plans.pipeline`` saves the marts as
+tables and keeps the other models as views of a namespace.
 
 Plan notes for scale:
 * the marts' joins are equi-joins on the unique beneficiary id (uniqueness is
@@ -11,9 +12,8 @@ Plan notes for scale:
   table they all derive from is bucketed by the id, so the joins need no
   exchange at all (``plans.pipeline.run_warehouse``).
 * the state seed is 52 rows, fixed by definition - the only broadcast.
-* the prevalence mart joins at beneficiary grain and unpivots afterwards
-  (11x fewer rows through the joins), then uses GROUPING SETS: one pass,
-  partial aggregation per map task, one small shuffle.
+* the prevalence mart joins at beneficiary grain and aggregates per state
+  before it unpivots some 53 rows: no row of a beneficiary is expanded.
 """
 
 from __future__ import annotations
@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import (
+    AGE_BANDS,
     ALL_STATES_LABEL,
     CONDITION_FLAGS,
     CONDITION_LABELS,
     FLAG_COLUMNS,
     MONEY_COLUMNS,
     RAW_COLUMNS,
+    REFERENCE_YEAR,
     SSA_STATES,
     STATE_SEED_SCHEMA,
 )
@@ -83,7 +85,7 @@ _UNPIVOT_IN = ",\n        ".join(f"{flag} AS {label}" for flag, label in CONDITI
 
 INT_CONDITIONS_SQL = f"""
 SELECT desynpuf_id, state_code, condition, has_condition
-FROM (SELECT desynpuf_id, state_code, {", ".join(FLAG_COLUMNS)} FROM stg_beneficiary_summary)
+FROM (SELECT desynpuf_id, state_code, {", ".join(FLAG_COLUMNS)} FROM {{stg}})
 UNPIVOT EXCLUDE NULLS (
     has_condition FOR condition IN (
         {_UNPIVOT_IN}
@@ -102,40 +104,32 @@ SELECT
     benres_op,
     benres_car,
     benres_ip + benres_op + benres_car AS total_beneficiary_responsibility_2008
-FROM stg_beneficiary_summary
+FROM {stg}
 """
 
 _COUNT_SQL = " + ".join(f"CAST({flag} AS BIGINT)" for flag in FLAG_COLUMNS)
 
+_AGE = f"{REFERENCE_YEAR} - year(b.birth_date)"
+_BAND = "CASE " + " ".join(f"WHEN {_AGE} < {upper} THEN '{label}'" for upper, label in AGE_BANDS[:-1]) + f" ELSE '{AGE_BANDS[-1][1]}' END"
+
+# One row per beneficiary: staging with its state's names, age and band.
 DIM_SQL = f"""
-WITH seeded AS (
-    SELECT /*+ BROADCAST(ssa) */ b.*, ssa.state_abbr, ssa.state_name
-    FROM stg_beneficiary_summary AS b
-    LEFT JOIN ssa_state_codes AS ssa ON b.state_code = ssa.state_code
-),
-aged AS (
-    SELECT *, CAST(2008 - year(birth_date) AS BIGINT) AS age_2008 FROM seeded
-)
-SELECT
-    desynpuf_id,
-    birth_date,
-    death_date,
-    (death_date IS NOT NULL) AS is_deceased,
-    CAST(sex_cd AS BIGINT) AS sex_cd,
-    CAST(race_cd AS BIGINT) AS race_cd,
-    esrd_ind,
-    state_code,
-    state_abbr,
-    state_name,
-    age_2008,
-    CASE
-        WHEN age_2008 < 65 THEN 'Under 65'
-        WHEN age_2008 < 75 THEN '65-74'
-        WHEN age_2008 < 85 THEN '75-84'
-        ELSE '85+'
-    END AS age_band,
-    ({_COUNT_SQL}) AS chronic_condition_count
-FROM aged
+SELECT /*+ BROADCAST(s) */
+    b.desynpuf_id,
+    b.birth_date,
+    b.death_date,
+    isnotnull(b.death_date) AS is_deceased,
+    CAST(b.sex_cd AS BIGINT) AS sex_cd,
+    CAST(b.race_cd AS BIGINT) AS race_cd,
+    b.esrd_ind,
+    b.state_code,
+    s.state_abbr,
+    s.state_name,
+    CAST({_AGE} AS BIGINT) AS age_2008,
+    {_BAND} AS age_band,
+    {_COUNT_SQL} AS chronic_condition_count
+FROM {{stg}} AS b
+LEFT JOIN {{ssa}} AS s USING (state_code)
 """
 
 FCT_SQL = """
@@ -150,7 +144,7 @@ SELECT
     benres_op,
     benres_car,
     total_beneficiary_responsibility_2008 AS total_beneficiary_responsibility
-FROM int_beneficiary_annual_cost
+FROM {cost}
 """
 
 MART_STATE_SUMMARY_SQL = """
@@ -163,107 +157,125 @@ SELECT
     CAST(ROUND(try_divide(SUM(CAST(cost.total_cost_2008 AS DECIMAL(18,2))),
                           CAST(COUNT(cost.total_cost_2008) AS DECIMAL(20,0))), 2) AS DOUBLE)
         AS avg_medicare_reimbursement_per_beneficiary
-FROM dim_beneficiary AS b
-LEFT JOIN int_beneficiary_annual_cost AS cost ON b.desynpuf_id = cost.desynpuf_id
+FROM {dim} AS b
+LEFT JOIN {cost} AS cost ON b.desynpuf_id = cost.desynpuf_id
 GROUP BY b.state_code, b.state_abbr, b.state_name
 """
 
-_STG_FLAGS = ", ".join(f"s.{flag}" for flag in FLAG_COLUMNS)
+_KNOWN = ",\n        ".join(
+    f"COUNT(s.{flag}) AS known_{flag}, COUNT_IF(s.{flag}) AS with_{flag}, "
+    f"SUM(CASE WHEN s.{flag} THEN CAST(c.total_cost_2008 AS DECIMAL(18,2)) END) AS paid_{flag}, "
+    f"COUNT(CASE WHEN s.{flag} THEN c.total_cost_2008 END) AS payers_{flag}"
+    for flag in FLAG_COLUMNS
+)
+_STACK = ", ".join(f"'{label}', known_{flag}, with_{flag}, paid_{flag}, payers_{flag}" for flag, label in CONDITION_LABELS.items())
 
+# One aggregate per state over the beneficiaries, without expanding them; the
+# conditions and the total over all states come from its few rows.
 MART_PREVALENCE_SQL = f"""
-WITH beneficiary AS (
-    SELECT s.desynpuf_id, b.state_abbr, b.state_name, cost.total_cost_2008, {_STG_FLAGS}
-    FROM stg_beneficiary_summary AS s
-    LEFT JOIN dim_beneficiary AS b ON s.desynpuf_id = b.desynpuf_id
-    LEFT JOIN int_beneficiary_annual_cost AS cost ON s.desynpuf_id = cost.desynpuf_id
+WITH by_state AS (
+    SELECT
+        d.state_abbr,
+        d.state_name,
+        {_KNOWN}
+    FROM {{stg}} AS s
+    LEFT JOIN {{dim}} AS d ON s.desynpuf_id = d.desynpuf_id
+    LEFT JOIN {{cost}} AS c ON s.desynpuf_id = c.desynpuf_id
+    GROUP BY d.state_abbr, d.state_name
 ),
-conditions AS (
-    SELECT * FROM beneficiary
-    UNPIVOT EXCLUDE NULLS (
-        has_condition FOR condition IN (
-            {_UNPIVOT_IN}
-        )
-    )
+by_condition AS (
+    SELECT state_abbr, state_name, t.*
+    FROM by_state
+    LATERAL VIEW stack({len(FLAG_COLUMNS)}, {_STACK}) t AS condition, known, positive, paid, payers
+    WHERE t.known > 0
 )
 SELECT
     condition,
-    CASE WHEN grouping(state_abbr) = 1 THEN CAST(NULL AS STRING) ELSE state_abbr END AS state_abbr,
+    CASE WHEN grouping(state_abbr) = 0 THEN state_abbr END AS state_abbr,
     CASE WHEN grouping(state_name) = 1 THEN '{ALL_STATES_LABEL}' ELSE state_name END AS state_name,
-    COUNT(*) AS total_beneficiaries_in_state,
-    CAST(SUM(CAST(has_condition AS BIGINT)) AS BIGINT) AS beneficiaries_with_condition,
-    CAST(ROUND(try_divide(CAST(SUM(CAST(has_condition AS BIGINT)) AS DECIMAL(30,4)),
-                          CAST(COUNT(*) AS DECIMAL(20,0))), 4) AS DOUBLE) AS prevalence_rate,
-    CAST(ROUND(try_divide(SUM(CASE WHEN has_condition THEN CAST(total_cost_2008 AS DECIMAL(18,2)) END),
-                          CAST(COUNT(CASE WHEN has_condition THEN total_cost_2008 END) AS DECIMAL(20,0))), 2)
-         AS DOUBLE) AS avg_total_cost_with_condition
-FROM conditions
+    SUM(known) AS total_beneficiaries_in_state,
+    SUM(positive) AS beneficiaries_with_condition,
+    CAST(ROUND(try_divide(CAST(SUM(positive) AS DECIMAL(30,4)), CAST(SUM(known) AS DECIMAL(20,0))), 4) AS DOUBLE)
+        AS prevalence_rate,
+    CAST(ROUND(try_divide(CAST(SUM(paid) AS DECIMAL(28,2)), CAST(SUM(payers) AS DECIMAL(20,0))), 2) AS DOUBLE)
+        AS avg_total_cost_with_condition
+FROM by_condition
 GROUP BY GROUPING SETS ((condition, state_abbr, state_name), (condition))
 """
 
-MODELS: list[tuple[str, str]] = [
-    ("int_beneficiary_chronic_conditions", INT_CONDITIONS_SQL),
-    ("int_beneficiary_annual_cost", INT_ANNUAL_COST_SQL),
-    ("dim_beneficiary", DIM_SQL),
-    ("fct_beneficiary_annual_cost", FCT_SQL),
-    ("mart_state_cost_summary", MART_STATE_SUMMARY_SQL),
-    ("mart_chronic_condition_prevalence", MART_PREVALENCE_SQL),
-]
-MART_NAMES = ["dim_beneficiary", "fct_beneficiary_annual_cost", "mart_state_cost_summary", "mart_chronic_condition_prevalence"]
-
-
-# Which models each model's SQL reads (besides the raw table).
-DEPENDS: dict[str, list[str]] = {
-    "int_beneficiary_chronic_conditions": ["stg_beneficiary_summary"],
-    "int_beneficiary_annual_cost": ["stg_beneficiary_summary"],
-    "dim_beneficiary": ["stg_beneficiary_summary", "ssa_state_codes"],
-    "fct_beneficiary_annual_cost": ["int_beneficiary_annual_cost"],
-    "mart_state_cost_summary": ["dim_beneficiary", "int_beneficiary_annual_cost"],
-    "mart_chronic_condition_prevalence": [
-        "stg_beneficiary_summary", "dim_beneficiary", "int_beneficiary_annual_cost",
-    ],
+# Each model's SQL and the models that its placeholders stand for.
+MODELS: dict[str, tuple[str, dict[str, str]]] = {
+    "stg_beneficiary_summary": (STAGING_SQL, {"raw": "raw"}),
+    "int_beneficiary_chronic_conditions": (INT_CONDITIONS_SQL, {"stg": "stg_beneficiary_summary"}),
+    "int_beneficiary_annual_cost": (INT_ANNUAL_COST_SQL, {"stg": "stg_beneficiary_summary"}),
+    "dim_beneficiary": (DIM_SQL, {"stg": "stg_beneficiary_summary", "ssa": "ssa_state_codes"}),
+    "fct_beneficiary_annual_cost": (FCT_SQL, {"cost": "int_beneficiary_annual_cost"}),
+    "mart_state_cost_summary": (MART_STATE_SUMMARY_SQL, {"dim": "dim_beneficiary", "cost": "int_beneficiary_annual_cost"}),
+    "mart_chronic_condition_prevalence": (
+        MART_PREVALENCE_SQL,
+        {"stg": "stg_beneficiary_summary", "dim": "dim_beneficiary", "cost": "int_beneficiary_annual_cost"},
+    ),
 }
+VIEW_NAMES = ["stg_beneficiary_summary", "int_beneficiary_chronic_conditions", "int_beneficiary_annual_cost"]
+MART_NAMES = ["dim_beneficiary", "fct_beneficiary_annual_cost", "mart_state_cost_summary", "mart_chronic_condition_prevalence"]
+MODEL_NAMES = ["ssa_state_codes", *MODELS]
 
 
 class Models(Mapping):
-    """Model name -> DataFrame, each registered as a temp view. Seed and
-    staging are built up front; every other model is analysed on first
-    access, after the models it reads, so a query plans only what it uses."""
+    """Model name -> DataFrame, each bound to the frames that it reads: two
+    builds in one session do not see each other. A model is analysed on first
+    access. ``given`` frames (a raw table, written marts) take the place of
+    their model."""
 
-    def __init__(self, spark: SparkSession, built: dict[str, DataFrame]):
+    def __init__(self, spark: SparkSession, **given: DataFrame):
         self._spark = spark
-        self._built = built
-        self._sql = dict(MODELS)
+        self._built = dict(given)
+        self._published: set[str] = set()
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            if name not in self._sql:
-                raise KeyError(name)
-            for dep in DEPENDS[name]:
-                self[dep]
-            df = self._spark.sql(self._sql[name])
-            df.createOrReplaceTempView(name)
-            self._built[name] = df
+            if name == "ssa_state_codes":
+                self._built[name] = state_seed(self._spark)
+            else:
+                text, reads = MODELS[name]
+                self._built[name] = self._spark.sql(text, **{k: self[m] for k, m in reads.items()})
         return self._built[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter(["ssa_state_codes", "stg_beneficiary_summary", *self._sql])
+        return iter(MODEL_NAMES)
 
     def __len__(self) -> int:
-        return 2 + len(self._sql)
+        return len(MODEL_NAMES)
 
+    def having(self, **given: DataFrame) -> Models:
+        """The same inputs with ``given`` marts in place of their models."""
+        fixed = ("raw", "ssa_state_codes", *VIEW_NAMES)
+        kept = {k: v for k, v in self._built.items() if k in fixed or k in self._published}
+        out = Models(self._spark, **{**kept, **given})
+        out._published = self._published | set(given)
+        return out
 
-def register_models(spark: SparkSession, loaded_raw: DataFrame) -> Models:
-    """Register seed and staging as temp views and return the model mapping
-    (intermediate models and marts are built on access, in dependency order).
 
-    ``loaded_raw`` is the typed raw table (see ``inferred_load``)."""
-    state_seed(spark).createOrReplaceTempView("ssa_state_codes")
-    loaded_raw.createOrReplaceTempView("wh_raw_beneficiary_summary")
-    stg = spark.sql(STAGING_SQL.format(raw="wh_raw_beneficiary_summary"))
-    stg.createOrReplaceTempView("stg_beneficiary_summary")
-    return Models(spark, {"ssa_state_codes": spark.table("ssa_state_codes"), "stg_beneficiary_summary": stg})
+def register_models(spark: SparkSession, loaded_raw: DataFrame) -> Models:
+    """The models over ``loaded_raw``, the typed raw table (``inferred_load``)."""
+    return Models(spark, raw=loaded_raw)
 
 
 def build_from_raw(spark: SparkSession, raw_text: DataFrame) -> Models:
     """Convenience: raw text -> inferred load -> all models."""
     return register_models(spark, inferred_load(raw_text))
+
+
+def create_views(spark: SparkSession, namespace: str, raw_table: str) -> None:
+    """Keep the seed as a table, and staging and the intermediate models as
+    views of ``namespace`` over ``raw_table``, for other sessions to read."""
+    state_seed(spark).coalesce(1).write.mode("overwrite").saveAsTable(f"{namespace}.ssa_state_codes")
+    for name in VIEW_NAMES:
+        text, reads = MODELS[name]
+        tables = {k: raw_table if m == "raw" else f"{namespace}.{m}" for k, m in reads.items()}
+        spark.sql(f"CREATE OR REPLACE VIEW {namespace}.{name} AS {text.format(**tables)}")
+
+
+def catalog_models(spark: SparkSession, namespace: str) -> Models:
+    """The models as an earlier session left them in ``namespace``."""
+    return Models(spark, **{name: spark.table(f"{namespace}.{name}") for name in MODEL_NAMES})

@@ -196,14 +196,8 @@ def q_reconcile_report(spark, d):
 def q_reconcile_report_mutated(spark, d):
     gold = lakehouse.gold_cost_summary(_silver(spark, d))
     target = gold.agg(F.min("desynpuf_id")).scalar()
-    mutated = gold.withColumn(
-        "total_medicare_reimbursement",
-        F.when(F.col("desynpuf_id") == target, F.col("total_medicare_reimbursement") + MUTATION_AMOUNT).otherwise(
-            F.col("total_medicare_reimbursement")
-        ),
-    )
-    fct = _models(spark, d)["fct_beneficiary_annual_cost"]
-    return reconcile.report(mutated, fct)
+    mutated = reconcile.mutate_one(gold, "desynpuf_id", target, MUTATION_AMOUNT)
+    return reconcile.report(mutated, _models(spark, d)["fct_beneficiary_annual_cost"])
 
 
 # ---------------------------------------------------------------------------
@@ -323,8 +317,7 @@ DEMOGRAPHIC_CODES = ["BENE_SEX_IDENT_CD", "BENE_RACE_CD", "BENE_ESRD_IND"]
 
 
 def q_value_counts_demographics(spark, d):
-    long = profiling.to_long(_member(spark, d), DEMOGRAPHIC_CODES, "string").filter(F.col("value").isNotNull())
-    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    return profiling.value_counts_by_column(_member(spark, d), DEMOGRAPHIC_CODES)
 
 
 def q_describe_total_cost(spark, d):
@@ -354,6 +347,11 @@ def q_describe_lineitem(spark, d):
     return profiling.describe(read_table(spark, d, "lineitem", cols), cols)
 
 
+def q_describe_ratio(spark, d):
+    li = read_table(spark, d, "lineitem", ["l_quantity", "l_tax"])
+    return profiling.describe(li.select((F.col("l_tax") / F.col("l_quantity")).alias("tax_per_unit")), ["tax_per_unit"])
+
+
 def q_negative_amounts(spark, d):
     return profiling.negative_amounts(_bronze(spark, d), MONEY_COLUMNS)
 
@@ -373,9 +371,7 @@ def q_under65_share(spark, d):
 
 
 def q_raw_flag_prevalence(spark, d):
-    m = _member(spark, d)
-    wide = m.agg(*[money.share(F.col(c) == "1").alias(c) for c in SP_COLUMNS])
-    return wide.unpivot([], SP_COLUMNS, "column_name", "prevalence")
+    return profiling.text_shares(_member(spark, d), SP_COLUMNS, "1")
 
 
 def q_raw_flag_count_describe(spark, d):
@@ -431,11 +427,9 @@ def q_dq_not_null(spark, d):
     c = read_table(spark, d, "customer", ["c_custkey", "c_name"])
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber"])
     return quality.run_suite([
-        quality.not_null(o, "o_orderkey", "orders"),
-        quality.not_null(o, "o_custkey", "orders"),
-        quality.not_null(c, "c_custkey", "customer"),
-        quality.not_null(c, "c_name", "customer"),
-        quality.not_null(li, "l_orderkey", "lineitem"),
+        quality.column_checks(o, "orders", ["o_orderkey", "o_custkey"]),
+        quality.column_checks(c, "customer", ["c_custkey", "c_name"]),
+        quality.column_checks(li, "lineitem", ["l_orderkey"]),
     ])
 
 
@@ -455,13 +449,11 @@ def q_dq_accepted_values(spark, d):
     o = read_table(spark, d, "orders", ["o_orderstatus", "o_orderpriority"])
     c = read_table(spark, d, "customer", ["c_mktsegment"])
     li = read_table(spark, d, "lineitem", ["l_returnflag", "l_linestatus"])
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     return quality.run_suite([
-        quality.accepted_values(o, "o_orderstatus", ["F", "O", "P"], "orders"),
-        quality.accepted_values(o, "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM"], "orders"),
-        quality.accepted_values(c, "c_mktsegment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
-                                "customer"),
-        quality.accepted_values(li, "l_returnflag", ["A", "N", "R"], "lineitem"),
-        quality.accepted_values(li, "l_linestatus", ["O"], "lineitem"),
+        quality.column_checks(o, "orders", accepted={"o_orderstatus": ["F", "O", "P"], "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]}),
+        quality.column_checks(c, "customer", accepted={"c_mktsegment": segments}),
+        quality.column_checks(li, "lineitem", accepted={"l_returnflag": ["A", "N", "R"], "l_linestatus": ["O"]}),
     ])
 
 
@@ -480,9 +472,7 @@ def q_dq_relationships(spark, d):
 def q_warehouse_data_tests(spark, d):
     from .plans.pipeline import data_tests
 
-    raw = _member(spark, d)
-    loaded = warehouse.inferred_load(raw)
-    return data_tests(warehouse.register_models(spark, loaded), loaded)
+    return data_tests(_models(spark, d))
 
 
 # ---------------------------------------------------------------------------
@@ -495,17 +485,18 @@ def q_landing_gate(spark, d):
 
 
 def q_manifest(spark, d):
-    return writers.manifest(spark, table_path(d, "customer"))
+    path = table_path(d, "lineitem")
+    return writers.manifest(spark, path, spark.read.parquet(path)).drop("ingested_at")
 
 
 def q_deceased_raw_text(spark, d):
-    m = _member(spark, d)
     # Blank text for ids ending in 7, to exercise the "blank is alive" rule.
     death = F.when(F.col(ID_COLUMN).endswith("7"), F.lit("")).otherwise(F.col("BENE_DEATH_DT"))
+    m = _member(spark, d).withColumn("BENE_DEATH_DT", death)
     return m.select(
         F.col(ID_COLUMN).alias("desynpuf_id"),
-        death.isNotNull().alias("death_text_present"),
-        (death.isNotNull() & (death != "")).alias("is_deceased"),
+        F.col("BENE_DEATH_DT").isNotNull().alias("death_text_present"),
+        explore.is_deceased("BENE_DEATH_DT").alias("is_deceased"),
     )
 
 
@@ -569,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "describe_money": q_describe_money,
     "describe_months": q_describe_months,
     "describe_lineitem": q_describe_lineitem,
+    "describe_ratio": q_describe_ratio,
     "describe_total_cost": q_describe_total_cost,
     "describe_age": q_describe_age,
     "negative_amounts": q_negative_amounts,

@@ -24,21 +24,6 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, min_partitions: int = 200,
-               max_partitions: int = 50_000) -> dict[str, str]:
-    """Partition sizing for a given input size: shuffle partitions so each
-    holds about ``partition_bytes`` (capped: map-status bookkeeping grows with
-    maps x reducers; AQE coalesces small partitions and splits skewed ones
-    at run time), scan splits of the same size."""
-    partitions = min(max_partitions, max(min_partitions, -(-input_bytes // partition_bytes)))
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
-    }
-
-
 def build_session(
     master: str | None = None,
     app_name: str = "benelake",
@@ -80,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="benelake-ckpt-", dir=os.environ.get("BENELAKE_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", scratch)
     sc.setCheckpointDir(scratch)

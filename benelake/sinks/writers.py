@@ -1,11 +1,17 @@
-"""Writers. Every write is a full overwrite, so re-running a job with the
-same input gives the same table and never duplicates rows."""
+"""Writers. Every write replaces the whole table, so re-running a job with the
+same input gives the same table and never duplicates rows. A table that others
+read is written aside and swapped in when it is complete."""
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,49 +47,60 @@ def overwrite_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None
     return df.sparkSession.table(name)
 
 
-def create_table_as_select(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
-    """Create-or-replace a table from a SQL query (the session catalog has no
-    ``CREATE OR REPLACE TABLE ... AS SELECT``, so drop then create)."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet AS {select_sql}")
+def staged_name(name: str) -> str:
+    """Where the next version of a table is written before it is published."""
+    return f"{name}__next"
+
+
+def publish(spark: SparkSession, staged: str, name: str) -> DataFrame:
+    """Put the finished table ``staged`` in the place of ``name``. The old
+    table is set aside first and only dropped when the new one is in place;
+    if that fails it is put back."""
+    aside = f"{name}__previous"
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    replaced = spark.catalog.tableExists(name)
+    if replaced:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except Exception:
+        if replaced:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
     return spark.table(name)
 
 
-def write_observed(
-    df: DataFrame, name: str, metrics: dict[str, Column] | None = None, bucket_by: tuple[int, str] | None = None
-) -> tuple[DataFrame, dict]:
-    """Write a table and collect ``rows`` plus any extra aggregate
-    ``metrics`` in the same pass (``DataFrame.observe``): no second job
-    over the data just to count it."""
-    obs = Observation(f"write:{name}")
-    aggs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (metrics or {}).items()]
-    table = overwrite_table(df.observe(obs, *aggs), name, bucket_by)
-    return table, dict(obs.get)
+def replace_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None = None) -> DataFrame:
+    """Write the whole table aside, then publish it."""
+    overwrite_table(df, staged_name(name), bucket_by)
+    return publish(df.sparkSession, staged_name(name), name)
 
 
-def write_and_count(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write, returning the table read back and the number of rows written
-    (observed during the write)."""
-    table, m = write_observed(df, name)
-    return table, int(m["rows"])
+def create_table_as_select(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
+    """Create or replace a table from a SQL query."""
+    return replace_table(spark.sql(select_sql), name)
 
 
-def promote_table(spark: SparkSession, source: str, target: str, expected_rows: int) -> int:
-    """Replace ``target`` with the already-written ``source`` table (a
-    metadata rename, no data copy) and check the promoted row count."""
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {source} RENAME TO {target}")
-    n = spark.table(target).count()
-    if n != expected_rows:
-        raise LoadCheckError(f"table {target} has {n} rows, expected {expected_rows}")
-    return n
+def measured(table: DataFrame, metrics: dict[str, Column] | None = None) -> dict:
+    """Row count and extra aggregates of a written table, in one pass over
+    the columns they name."""
+    return table.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()]).first().asDict()
+
+
+def write_and_count(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Replace a table; the table read back and its number of rows."""
+    table = replace_table(df, name)
+    return table, int(measured(table)["rows"])
 
 
-def load_with_count_check(df: DataFrame, name: str, expected_rows: int) -> int:
-    """Full-refresh load, then verify the written table's row count."""
-    table, n = write_and_count(df, name)
+def promote_table(spark: SparkSession, source: str, target: str, expected_rows: int) -> int:
+    """Publish the already-written ``source`` as ``target`` if it has the
+    expected number of rows (a rename, no copy)."""
+    n = spark.table(source).count()
     if n != expected_rows:
-        raise LoadCheckError(f"table {name} has {n} rows, expected {expected_rows}")
+        raise LoadCheckError(f"{source} holds {n} rows instead of {expected_rows}")
+    publish(spark, source, target)
     return n
 
 
@@ -92,23 +109,43 @@ def single_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def manifest(spark: SparkSession, path: str, row_count: int | None = None) -> DataFrame:
+_BLOCK = 8 << 20
+
+
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of each file, read in blocks: a file of any size takes one
+    block of memory."""
+    for batch in batches:
+        digests = []
+        for path in batch.column(0).to_pylist():
+            local = re.sub("^file:/+", "/", path)
+            store, place = (pafs.LocalFileSystem(), local) if local.startswith("/") else pafs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with store.open_input_stream(place) as source:
+                while block := source.read(_BLOCK):
+                    digest.update(block)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], ["path", "bytes", "sha256"])
+
+
+def manifest(spark: SparkSession, path: str, rows: DataFrame | None = None) -> DataFrame:
     """Checksum manifest of a landed file or folder: one row per data file
-    ``(file, sha256, bytes, row_count, ingested_at)``. Hashing runs on the
-    executors (one file per row, part files for folders)."""
-    files = spark.read.format("binaryFile").load(path)
+    ``(file, sha256, bytes, row_count, ingested_at)``. Files are hashed on the
+    executors, in blocks. ``rows`` is the data read from ``path`` by a file
+    source; each file gets its own row count from it."""
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"))
     name = F.element_at(F.split("path", "/"), -1)
     # Skip markers and hidden files (_SUCCESS, .crc) on any file system.
     files = files.filter(~name.startswith("_") & ~name.startswith("."))
+    hashed = files.mapInArrow(_digest, "path string, bytes long, sha256 string").select(name.alias("file"), "sha256", "bytes")
+    if rows is None:
+        counted = hashed.withColumn("row_count", F.lit(None).cast("long"))
+    else:
+        counts = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("row_count"))
+        counted = hashed.join(counts, "file", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
     now = _dt.datetime.now(_dt.UTC).isoformat()
-    return files.select(
-        name.alias("file"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
-        F.col("length").alias("bytes"),
-        F.lit(row_count).cast("long").alias("row_count"),
-        F.lit(now).alias("ingested_at"),
-    )
+    return counted.select("file", "sha256", "bytes", "row_count", F.lit(now).alias("ingested_at"))
 
 
 def write_manifest(manifest_df: DataFrame, path: str) -> None:
-    manifest_df.coalesce(1).write.mode("overwrite").json(path)
+    manifest_df.write.mode("overwrite").json(path)

@@ -29,8 +29,15 @@ def test_both_sources_same_frame(frames):
     assert ex_raw.exceptAll(ex_marts).count() == 0 and ex_marts.exceptAll(ex_raw).count() == 0
 
 
+def test_two_builds_in_one_session_do_not_mix(spark):
+    small = warehouse.build_from_raw(spark, member_raw(spark, SF))
+    large = warehouse.build_from_raw(spark, member_raw(spark, "/root/testdata/sf0.01"))
+    assert (small["dim_beneficiary"].count(), large["dim_beneficiary"].count()) == (150, 1500)
+    assert small["mart_state_cost_summary"].agg(F.sum("beneficiary_count")).first()[0] == 150
+
+
 def test_unknown_source(spark):
-    with pytest.raises(ValueError, match="Unknown explorer source"):
+    with pytest.raises(ValueError, match="no explorer source"):
         explore.load_explorer(spark, "snowflake")
 
 
@@ -185,15 +192,6 @@ def test_exact_quantiles_match_numpy(spark, partitions):
             assert got[g][f"q{i}"] == pytest.approx(want[i], abs=1e-9), (g, p)
 
 
-def test_persisted_explorer_views(frames):
-    ex = explore.persist_explorer(frames[3])
-    try:
-        assert cohort.kpis(ex).first()["beneficiaries"] == ex.count()
-        assert ex.storageLevel.useMemory
-    finally:
-        ex.unpersist()
-
-
 @pytest.mark.parametrize("which", [2, 3])
 def test_explorer_deceased_count_matches_raw(frames, which):
     raw, ex = frames[0], frames[which]

@@ -84,19 +84,10 @@ def test_bucketed_write_one_file_per_bucket(spark, tmp_dir):
     assert len(files) == 4 and spark.table("bk.t").count() == 5000
 
 
-def test_scale_conf():
-    from benelake.session import scale_conf
-
-    conf = scale_conf(100 * (1 << 40))
-    assert int(conf["spark.sql.shuffle.partitions"]) == 50_000
-    assert scale_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
-    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
-
-
 def test_profile_job(spark, tmp_dir):
     src = _member_csv(spark, tmp_dir)
     out = jobs.run_profile(spark, src, os.path.join(tmp_dir, "profile"))
-    assert len(out) == 18
+    assert len(out) == 16
     shape = spark.read.json(out["shape"]).first()
     assert shape["rows"] == member_raw(spark, SF).count() and shape["columns"] == 32
     nulls = {r["column_name"] for r in spark.read.json(out["null_counts"]).collect()}
@@ -129,10 +120,21 @@ def test_create_table_as_select(spark):
 def test_bucket_count_follows_table_size():
     from benelake.plans.pipeline import bucket_count
 
-    assert bucket_count(116_352, 50_000) == 8  # small table: the parallelism floor
-    assert bucket_count(65_000_000, 50_000) == 97  # ~26 GB at 400 B/row -> 256 MB buckets
-    assert bucket_count(10**12, 50_000) == 50_000  # capped by the shuffle partitions
-    assert bucket_count(None, 200) == 200 and bucket_count(10, 4) == 4
+    assert bucket_count(116_352) == 8  # small table: the parallelism floor
+    assert bucket_count(65_000_000) == 97  # ~26 GB at 400 B/row -> 256 MB buckets
+    assert bucket_count(250 * 10**9) == 372_530  # 100 TB: no cap, 256 MB each
+    assert bucket_count(0) == 8
+
+
+def test_explore_job_reads_the_catalog(spark, tmp_dir):
+    from benelake.plans import pipeline
+
+    state = F.when(F.col("SP_STATE_CODE") == "40", F.lit("54")).otherwise(F.col("SP_STATE_CODE"))
+    raw = member_raw(spark, SF).fillna({"SP_STRKETIA": "2"}).withColumn("SP_STATE_CODE", state)
+    ns = pipeline.Namespaces(raw="ex_raw", bronze="ex_b", silver="ex_s", gold="ex_g", marts="ex_m")
+    pipeline.run_warehouse(spark, raw, ns, run_tests=False)
+    out = jobs.run_explore(spark.newSession(), "ex_m", os.path.join(tmp_dir, "explore"))
+    assert spark.read.json(out["kpis"]).first()["beneficiaries"] == raw.count()
 
 
 def test_cli_main_sample(spark, tmp_dir, capsys):

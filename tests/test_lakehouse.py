@@ -23,7 +23,7 @@ def test_bronze_types(raw_rows):
     assert types["BENE_BIRTH_DT"] == "date" and types["BENE_HI_CVRAGE_TOT_MONS"] == "int"
     assert types["MEDREIMB_IP"] == "double" and types["_ingested_at"] == "timestamp"
     r = b.first()
-    assert r["BENE_BIRTH_DT"] == dt.date(1940, 3, 15)
+    assert r["BENE_BIRTH_DT"] == dt.date(1931, 7, 9)
     assert r["BENE_DEATH_DT"] is None
     assert r["BENE_HI_CVRAGE_TOT_MONS"] == 12
     assert isinstance(r["MEDREIMB_IP"], float)
@@ -32,7 +32,7 @@ def test_bronze_types(raw_rows):
 
 def test_age_and_band(raw_rows):
     r = _silver(raw_rows()).first()
-    assert (r["age_2008"], r["age_band"]) == (68, "65-74")
+    assert (r["age_2008"], r["age_band"]) == (77, "75-84")
 
 
 @pytest.mark.parametrize(
@@ -171,7 +171,7 @@ def test_stable_dedupe_keeps_first_copy(raw_rows):
     raw = raw_rows({"MEDREIMB_IP": "9.00"}, {"MEDREIMB_IP": "1.00"}, {"DESYNPUF_ID": "other"})
     s = lakehouse.to_silver(lakehouse.to_bronze(raw), stable=True)
     got = {r["DESYNPUF_ID"]: r["MEDREIMB_IP"] for r in s.collect()}
-    assert got == {"SYN0000001": 1.0, "other": 0.0}
+    assert got == {"T-77": 1.0, "other": 0.0}
     assert s.columns == _silver(raw).columns
     ts = {r["_ingested_at"] for r in s.collect()}
     assert len(ts) == 1 and None not in ts

@@ -53,9 +53,10 @@ def test_bucketed_pipeline_joins_need_no_exchange(spark):
     try:
         dim = spark.table("ps_m.dim_beneficiary")
         fct = spark.table("ps_m.fct_beneficiary_annual_cost")
-        ex = explore.from_marts(dim, fct, spark.table("stg_beneficiary_summary"))
+        ex = explore.from_marts(dim, fct, spark.table("ps_m.stg_beneficiary_summary"))
         assert "SortMergeJoin" in _plan(ex) and "Exchange hashpartitioning" not in _plan(ex)
-        mart = spark.sql(dict(warehouse.MODELS)["mart_state_cost_summary"])
+        cost = warehouse.catalog_models(spark, "ps_m")["int_beneficiary_annual_cost"]
+        mart = spark.sql(warehouse.MODELS["mart_state_cost_summary"][0], dim=dim, cost=cost)
         # only the final aggregate shuffles; the dim x cost join does not
         assert len(re.findall(r"Exchange hashpartitioning", _plan(mart))) == 1
         # id-keyed data tests group and join bucketed scans without a shuffle

@@ -119,10 +119,9 @@ def test_state_summary_totals(spark, raw_rows):
     assert r["avg_medicare_reimbursement_per_beneficiary"] == 10.01
 
 
-def test_enforce_contract(spark, raw_rows):
+def test_contract_names_types_and_nulls(spark, raw_rows):
     m = _models(spark, raw_rows())
-    ok = quality.enforce_contract(m["mart_state_cost_summary"], MART_CONTRACTS["mart_state_cost_summary"], "s")
-    assert ok.count() == 1
+    quality.check_contract(m["mart_state_cost_summary"], MART_CONTRACTS["mart_state_cost_summary"], "s")
     nulls = m["dim_beneficiary"].withColumn("chronic_condition_count", F.lit(None).cast("bigint"))
     with pytest.raises(quality.DataQualityError, match="chronic_condition_count"):
-        quality.enforce_contract(nulls, MART_CONTRACTS["dim_beneficiary"], "dim_beneficiary")
+        quality.raise_on_failures(quality.contract_not_null(nulls, MART_CONTRACTS["dim_beneficiary"], "dim_beneficiary"))

@@ -84,12 +84,13 @@ def main(argv):
     row("silver <- bronze", lakehouse.to_silver(bronze))
     row("gold_cost <- silver", lakehouse.gold_cost_summary(silver))
     row("gold_prevalence <- silver", lakehouse.gold_prevalence(silver))
+    typed = warehouse.register_models(spark, spark.table("claims_raw.beneficiary_summary_typed"))
     for name in ("dim_beneficiary", "fct_beneficiary_annual_cost", "mart_state_cost_summary",
                  "mart_chronic_condition_prevalence"):
-        row(f"{name} <- typed raw (bucketed)", spark.sql(dict(warehouse.MODELS)[name]))
-    dim = spark.table("medicare_marts.dim_beneficiary")
-    fct = spark.table("medicare_marts.fct_beneficiary_annual_cost")
-    stg = spark.table("stg_beneficiary_summary")
+        row(f"{name} <- typed raw (bucketed)", typed[name])
+    dim = spark.table("claims_marts.dim_beneficiary")
+    fct = spark.table("claims_marts.fct_beneficiary_annual_cost")
+    stg = spark.table("claims_marts.stg_beneficiary_summary")
     ex = explore.from_marts(dim, fct, stg)
     row("explorer <- dim x fct x stg", ex)
     row("cohort KPIs <- explorer", cohort.kpis(cohort.cohort_filter(ex, ["CA"], ["65-74"], ["has_chf"], "Alive")))
