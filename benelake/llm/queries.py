@@ -12,6 +12,7 @@ from benelake.llm.fingerprints import compare_edited
 from benelake.llm.html_extract import extract_text
 from benelake.llm.jaccard_join import near_duplicate_components
 from benelake.llm.language_id import fit_languages, predict_languages
+from benelake.llm.oracle import ORACLE_SQL  # noqa: F401  registered with the queries
 from benelake.llm.packing import pack_documents
 from benelake.llm.quality import fit_quality, score_quality, with_statistics
 from benelake.llm.substring_dedup import remove_repeats
@@ -110,6 +111,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
 }
-
-#: DuckDB SQL, where SQL states the same rows within the time of the check.
-ORACLE_SQL: dict[str, str] = {}
