@@ -28,6 +28,7 @@ from benelake.llm.tables import free_name, partitions
 
 BINS = 128  # a power of two, at most 128
 _IDS = 24  # bits of a sample's identity
+RANGE_BYTES = 32 << 20  # text of a range of ids that one task orders
 
 
 def let(name: str, value: str, body: str) -> str:
@@ -87,7 +88,8 @@ def with_next(docs: DataFrame, columns: list[str], id_column: str = "doc_id") ->
     key, part = free_name(docs, "order_key"), free_name(docs, "order_part")
     lowest = -(2**63)
     keyed = docs.withColumn(key, F.coalesce(F.col(id_column).cast("long"), F.lit(lowest)))
-    n = partitions(spark)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(columns[0])), F.lit(0))).first()[0] if dict(docs.dtypes)[columns[0]] in ("string", "binary") else 0
+    n = max(partitions(spark), -(-size // RANGE_BYTES))
     bounds = keyed.agg(F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], 10000).alias("b")).first()["b"]
     bounds = sorted(set(bounds or []))
     dealt = keyed.withColumn(part, F.expr(f"size(filter(array({', '.join(f'{b}L' if b > lowest else '(-9223372036854775807L - 1L)' for b in bounds)}), b -> b <= `{key}`))") if bounds else F.lit(0))
