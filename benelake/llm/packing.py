@@ -197,7 +197,7 @@ def pack_pieces(pieces: DataFrame, most: int = MOST) -> DataFrame:
     # the number of a piece among those of its length: buckets are counted
     # first, so no task sorts all pieces of a length
     buckets = max(partitions(spark), -(-int(histogram.sum()) // BUCKET_ROWS))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

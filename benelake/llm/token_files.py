@@ -126,7 +126,9 @@ def write_token_files(docs: DataFrame, path: str, end: int, folder: str | None =
     folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ids-{uuid.uuid4().hex}"
     files = max(partitions(spark), -(-text_bytes(docs, column) // file_bytes))
     bare = docs.select(F.col(id_column).cast("long").alias("id"), F.col(column).alias("text"))
-    dealt = bare.repartitionByRange(files, F.col("id")).sortWithinPartitions("id", F.xxhash64("text"), "text")
+    # the hash belongs to the ranges too, so many rows of one id make many files
+    tied = bare.withColumn("tie", F.xxhash64("text"))
+    dealt = tied.repartitionByRange(files, "id", "tie").sortWithinPartitions("id", "tie", "text").drop("tie")
 
     def write(stream):
         from pyarrow.fs import FileSystem
