@@ -58,11 +58,11 @@ def enrich(df: DataFrame) -> DataFrame:
     return df.withColumns(derived)
 
 
-def to_silver(bronze: DataFrame, stable: bool = False) -> DataFrame:
+def to_silver(bronze: DataFrame, stable: bool = True) -> DataFrame:
     """Dedupe on the beneficiary id (before the projections: fewer columns in
-    the aggregate), then decode and enrich. The survivor of a duplicated id
-    is arbitrary (as ``dropDuplicates``); ``stable=True`` keeps the copy that
-    sorts first over all columns, the same on every run and layout."""
+    the aggregate), then decode and enrich. Of a duplicated id the copy that
+    sorts first over all columns survives, the same on every run and layout;
+    ``stable=False`` keeps any copy."""
     if stable:
         # Order copies by their data columns; the ingest instant is carried.
         order = [c for c in bronze.columns if c not in (ID_COLUMN, "_ingested_at")]
