@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 from benelake.llm import text
 from benelake.llm.tables import partitions, written
-from benelake.llm.tokens import Encoder
+from benelake.llm.tokens import BLOCK, Encoder
 
 MOST = 1024
 SWEEPS = 150
 SCALES = (1.0, 0.95, 0.9, 0.8, 0.7, 0.5)
 BUCKET_ROWS = 50_000
+PIECES = 1_000_000  # distinct pieces of text that a worker remembers
 
 Pattern = tuple[int, ...]
 
@@ -42,8 +43,8 @@ def token_pieces(docs: DataFrame, path: str, end: int, most: int = MOST, id_colu
     ``ids_crc32`` and, on demand, ``ids``."""
 
     def run(stream):
-        coder = Encoder.of(path)
-        for batch, data, offsets in text.batches(stream, "text"):
+        coder = Encoder.of(path, PIECES)
+        for batch, data, offsets in text.batches(stream, "text", BLOCK):
             ids, rows = coder.encode(data, offsets, end)
             n = np.diff(rows)
             pieces = -(-n // most)

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 SEGMENT = 1 << 20
-BLOCK = 4 << 20  # text of a block of rows
+BLOCK = 2 << 20  # text of a block of rows
 _BASE = 0x9E3779B97F4A7C15  # odd: has an inverse modulo 2**64
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
 

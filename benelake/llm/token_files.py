@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from benelake.llm import range_coder, text
 from benelake.llm.tables import importable, partitions, text_bytes
-from benelake.llm.tokens import Encoder
+from benelake.llm.tokens import BLOCK, Encoder
 from benelake.session import ensure_checkpoint_dir
 
 MAGIC = b"CMRC"
@@ -136,7 +136,7 @@ def write_token_files(docs: DataFrame, path: str, end: int, folder: str | None =
         store, place = FileSystem.from_uri(folder)
         store.create_dir(place, recursive=True)
         coder, out = Encoder.of(path), _Writer()
-        for batch, data, offsets in text.batches(stream, "text"):
+        for batch, data, offsets in text.batches(stream, "text", BLOCK):
             out.add(batch.column(0), *coder.encode(data, offsets, end))
         context = TaskContext.get()
         number = context.partitionId()

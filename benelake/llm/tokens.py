@@ -4,7 +4,7 @@ A text is cut where no token can reach across: before a blank that follows
 visible text, and between an ASCII letter and a mark. Most pieces repeat, so each worker encodes every distinct piece
 once and looks the rest up by a 64-bit hash; the ids of a text are those of its
 pieces in order, the same as of the whole text. The store of pieces starts anew
-when it holds ``MOST`` of them.
+when it holds a stated number of them.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import numpy as np
 from benelake.llm import text
 
 MOST = 2_000_000
+BLOCK = 4 << 20  # text that is encoded at once
 
 _WHITE = ~text.SPACED
 _LETTER = np.zeros(256, bool)
@@ -68,12 +69,15 @@ class Encoder:
     _known: dict[str, Encoder] = {}
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, path: str, most: int = MOST) -> Encoder:
+        """The worker's encoder for ``path``, storing at most ``most`` pieces."""
         if path not in cls._known:
             cls._known[path] = cls(path)
+        cls._known[path].most = most
         return cls._known[path]
 
     def __init__(self, path: str):
+        self.most = MOST
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
@@ -100,7 +104,7 @@ class Encoder:
         inside = place < len(self.keys)
         there[inside] = self.keys[place[inside]] == keys[inside]
         if not there.all():
-            if len(self.keys) + (~there).sum() > MOST:
+            if len(self.keys) + (~there).sum() > self.most:
                 self._clear()
                 there[:] = False
                 place[:] = 0

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from benelake.llm import packed, text
 
 SAMPLE_ROWS = 8000
-SAMPLE_BYTES = 12 << 20
+SAMPLE_BYTES = 8 << 20
 FEATURE_BITS = 18
 PREFIXES = (4, 5, 6)
 ROUNDS = 80
