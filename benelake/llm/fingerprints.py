@@ -1,17 +1,19 @@
 """Document fingerprints by consistent weighted sampling, in SQL functions only.
 
 A text's terms are its words, each with the word before it; a term's weight is
-how often it occurs. For a term and its weight, hashes give two Gamma(2, 1)
-variables r, c and a uniform b; t = floor(ln w / r + b) and
-a = c exp(-r (t - b + 1)): the sample is the pair (term, t) with the least a,
-and two weighted sets have the same sample with the probability of their
-generalised Jaccard similarity. The terms are dealt by a hash into ``BINS``
-bins and each bin gives one sample of its own, so a text costs one draw for
-each term and not one for each term and sample. The share of equal samples
-among the bins that either text fills estimates the similarity.
-
-Everything is one expression for each text, evaluated row by row without a
-shuffle. ``let`` binds a value by a lambda, so that no part is computed twice.
+how often it occurs. Weights are whole numbers, so a term of weight w stands
+for the units (term, 0) to (term, w - 1), each of weight one. Each of the
+``SAMPLES`` samples hashes every unit anew and keeps the least: the sample lies
+under a term with a probability in proportion to its weight, and two weighted
+sets have the same sample with the probability of their generalised Jaccard
+similarity (sum of lesser weights by sum of greater ones), whatever the weights.
+The share of equal samples estimates the similarity.
+
+``signature`` is one expression for a text. ``compare_edited`` needs the
+samples of two texts that share most units, so it deals the units out as rows
+(common ones once) and takes the least hashes by an aggregate, inside the
+ranges in which the documents are ordered anyway, without a further shuffle.
+``let`` binds a value by a lambda, so that no part is computed twice.
 
 Edge cases: a null or empty text, or one of blanks, has the empty fingerprint;
 two empty fingerprints have likeness 1, an empty and another one 0; a null id
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from benelake.llm.tables import free_name, partitions
 
-BINS = 128  # a power of two, at most 128
+SAMPLES = 128  # at most 128
 _IDS = 24  # bits of a sample's identity
 RANGE_BYTES = 32 << 20  # text of a range of ids that one task orders
 
@@ -35,34 +37,37 @@ def let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _high(h: str) -> str:
-    return f"((shiftrightunsigned({h}, 32) + 0.5D) / 4294967296D)"
+def _seed(k: int) -> int:
+    """The constant of sample ``k``: spread over 64 bits, signed."""
+    x = (k + 1) * 0x9E3779B97F4A7C15 % 2**64
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return (x ^ x >> 31) - 2**63
 
 
-def _low(h: str) -> str:
-    return f"(({h} & 4294967295L) + 0.5D) / 4294967296D"
-
-
-def signature(column: str, bins: int = BINS) -> Column:
-    """The samples of a text as sorted integers, bin * 2**24 + identity."""
+def _units(column: str) -> str:
+    """The hashes of a text's units, all different."""
     words = f"filter(split(coalesce({column}, ''), '[ \t\n\x0b\f\r]+'), w -> w <> '')"
     hashes = f"transform({words}, w -> xxhash64(w))"
     terms = "sort_array(transform(h, (x, i) -> xxhash64(x, if(i = 0, 0L, h[i - 1]))))"
     starts = "filter(transform(s, (x, i) -> if(i > 0 and x = s[i - 1], -1, i)), i -> i >= 0)"
-    distinct = "transform(p, i -> s[i])"
-    r = f"transform(transform(x, e -> xxhash64(e, 1L)), k -> -ln({_high('k')} * {_low('k')}))"
-    ln_c = f"transform(transform(x, e -> xxhash64(e, 2L)), k -> ln(-ln({_high('k')} * {_low('k')})))"
-    third = "transform(x, e -> xxhash64(e, 3L))"  # its high half is b, its low bits the bin
-    t = f"transform(r, (e, i) -> floor(ln(coalesce(get(p, i + 1), size(s)) - p[i]) / e + {_high('u[i]')}))"
-    ln_a = f"c[i] - r[i] * (e - {_high('u[i]')} + 1D)"
-    # bin, then ln a in 25 bits (-96 to 32), then the identity of (term, t)
-    draw = f"shiftleft(u[i] & {bins - 1}L, 56) + shiftleft(cast((greatest(least({ln_a}, 31.9D), -95.9D) + 96D) * 262144D as bigint), 31) + (xxhash64(x[i], e) & 2147483647L)"
-    least = "filter(v, (e, i) -> i = 0 or shiftright(e, 56) <> shiftright(v[i - 1], 56))"
-    samples = f"transform({least}, e -> cast(shiftleft(shiftright(e, 56), {_IDS}) + (e & {(1 << _IDS) - 1}L) as int))"
-    body = let("v", f"sort_array(transform(t, (e, i) -> {draw}))", samples)
-    for name, value in (("t", t), ("u", third), ("c", ln_c), ("r", r), ("x", distinct), ("p", starts), ("s", terms), ("h", hashes)):
+    several = "transform(sequence(0, coalesce(get(p, k + 1), size(s)) - i - 1), j -> if(j = 0, s[i], xxhash64(s[i], j)))"
+    body = f"if(size(p) = size(s), s, flatten(transform(p, (i, k) -> if(coalesce(get(p, k + 1), size(s)) = i + 1, array(s[i]), {several}))))"
+    for name, value in (("p", starts), ("s", terms), ("h", hashes)):
         body = let(name, value, body)
-    return F.expr(body)
+    return body
+
+
+def _samples(least: str) -> str:
+    """The least hash of each sample as integers, sample * 2**24 + identity."""
+    return f"transform({least}, (e, i) -> cast(shiftleft(cast(i as bigint), {_IDS}) + (e & {(1 << _IDS) - 1}L) as int))"
+
+
+def signature(column: str, samples: int = SAMPLES) -> Column:
+    """The samples of a text as sorted integers, sample * 2**24 + identity."""
+    seeds = f"array({', '.join(f'{_seed(k)}L' for k in range(samples))})"
+    least = f"transform({seeds}, c -> array_min(transform(u, e -> xxhash64(e ^ c))))"
+    return F.expr(let("u", _units(column), f"if(size(u) = 0, cast(array() as array<int>), {_samples(least)})"))
 
 
 def fingerprint(samples: str) -> Column:
@@ -71,19 +76,18 @@ def fingerprint(samples: str) -> Column:
 
 
 def likeness(a: str, b: str) -> Column:
-    """Share of equal samples among the bins that either signature fills."""
-    bins = lambda x: f"transform({x}, e -> shiftright(e, {_IDS}))"
-    filled = f"size(array_union({bins(a)}, {bins(b)}))"
-    return F.expr(f"if(size({a}) + size({b}) = 0, 1D, size(array_intersect({a}, {b})) / cast({let('n', filled, 'greatest(n, 1)')} as double))")
+    """Share of equal samples; of an empty and another signature 0."""
+    return F.expr(f"if(size({a}) + size({b}) = 0, 1D, size(array_intersect({a}, {b})) / cast(greatest(size({a}), size({b}), 1) as double))")
 
 
-def with_next(docs: DataFrame, columns: list[str], id_column: str = "doc_id") -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], id_column: str = "doc_id", place: tuple[str, str, str] | None = None) -> DataFrame:
     """``docs`` with ``next_<name>`` for each of ``columns``: that of the row
     with the next smaller id (after the last: of the first). Ties follow the
     first of ``columns``, downwards; it has no nulls.
 
     Ids are dealt into ranges of about equal size, each ordered by one task;
-    the last row of a range takes the first of the next range."""
+    the last row of a range takes the first of the next range. ``place`` names
+    columns for a row's range, its number in it, and whether it is the last."""
     spark = docs.sparkSession
     key, part = free_name(docs, "order_key"), free_name(docs, "order_part")
     lowest = -(2**63)
@@ -99,27 +103,51 @@ def with_next(docs: DataFrame, columns: list[str], id_column: str = "doc_id") ->
     after = {r[0]: tops[i - 1][0] for i, r in enumerate(tops)}
     for name in columns:
         ordered = ordered.withColumn(f"next_{name}", F.lead(name).over(order))
+    if place:
+        ordered = ordered.withColumn(place[0], F.col(part)).withColumn(place[1], F.row_number().over(order)).withColumn(place[2], F.lead(F.lit(1)).over(order).isNull())
     heads = dealt.where(F.col(key).isin([r["top"] for r in tops]) if tops else F.lit(False))
     heads = heads.groupBy(part).agg(F.max(F.struct(*columns)).alias("head"))
     before = spark.createDataFrame([(b, a) for a, b in after.items()], "of int, into int") if after else spark.createDataFrame([], "of int, into int")
     heads = heads.join(F.broadcast(before), F.col(part) == F.col("of")).select(F.col("into"), "head")
     joined = ordered.join(heads, F.col(part) == F.col("into"), "left")
-    return joined.select(*docs.columns, *[F.coalesce(f"next_{c}", F.col(f"head.{c}")).alias(f"next_{c}") for c in columns])
+    return joined.select(*docs.columns, *(place or ()), *[F.coalesce(f"next_{c}", F.col(f"head.{c}")).alias(f"next_{c}") for c in columns])
 
 
 def compare_edited(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
     """For each document its id, ``n_chars``, and fingerprints of its text and
     of the text whose last third is replaced by the beginning of the next
     document; with the likeness to the edited text and to the next document."""
-    own = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(column), F.lit("")).alias("body")).withColumn("samples", signature("body"))
-    paired = with_next(own, ["body", "samples"])
+    own = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(column), F.lit("")).alias("body"))
+    paired = with_next(own, ["body"], place=("range", "place", "last"))
     third = "cast(floor(char_length(body) / 3) as int)"
     edited = F.expr(f"concat(substring(body, 1, char_length(body) - {third}), substring(next_body, 1, {third}))")
-    both = paired.withColumn("edited", edited).withColumn("edited_samples", signature("edited"))
-    return both.select(
+    both = paired.withColumn("edited", edited)
+    kept = ["range", "place", "doc_id", "n_chars", "edited_sha256", "after"]
+    units = both.select(
+        "range",
+        "place",
         "doc_id",
         F.char_length("body").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
+        F.when(F.col("last"), F.col("next_body")).alias("after"),
+        F.expr(_units("body")).alias("x"),
+        F.expr(_units("edited")).alias("y"),
+    )
+    # units of both texts, of the own text only, of the edited text only
+    parts = units.select(*kept, F.array_intersect("x", "y").alias("xy"), F.array_except("x", "y").alias("x"), F.array_except("y", "x").alias("y"))
+    dealt = parts.select(*kept, F.size("xy").alias("i"), F.expr("size(xy) + size(x)").alias("j"), F.posexplode_outer(F.concat("xy", "x", "y")).alias("at", "unit"))
+    kind = F.expr("if(at < i, 0, if(at < j, 1, 2))").alias("kind")
+    least = dealt.groupBy(*kept, kind).agg(*[F.expr(f"min(xxhash64(unit ^ {_seed(k)}L))").alias(f"s{k}") for k in range(SAMPLES)], F.expr("count(unit) > 0").alias("some"))
+    whole = least.select(*kept, "kind", F.when(F.col("some"), F.array(*[f"s{k}" for k in range(SAMPLES)])).alias("s"))
+    sides = whole.groupBy(*kept).agg(*[F.max(F.when(F.col("kind") == k, F.col("s"))).alias(f"of{k}") for k in range(3)])
+    sampled = lambda k: F.expr(_samples(f"coalesce(zip_with(of0, of{k}, (a, b) -> least(a, b)), of0, of{k}, array())"))
+    signed = sides.select(*kept, sampled(1).alias("samples"), sampled(2).alias("edited_samples"))
+    following = F.lead("samples").over(Window.partitionBy("range").orderBy("place"))
+    followed = signed.withColumn("next_samples", F.coalesce(following, signature("after")))
+    return followed.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
         fingerprint("samples").alias("fingerprint"),
         fingerprint("edited_samples").alias("edited_fingerprint"),
         likeness("samples", "edited_samples").alias("near_edited"),

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from benelake.llm.fingerprints import compare_edited, likeness, signature, with_next
+from benelake.llm.fingerprints import compare_edited, fingerprint, likeness, signature, with_next
 
 
 def weights(text):
@@ -33,6 +33,32 @@ def test_collisions_estimate_the_generalised_jaccard_similarity(spark):
     assert abs(error.mean()) < 0.015 and np.sqrt((error**2).mean()) < 0.06
 
 
+def test_repeated_passages_weigh_what_they_hold(docs, spark):
+    def repeated(own, of, times, line):
+        return " ".join([f"{own}{i}" for i in range(of)] + [f"line{i}" for i in range(line)] * times)
+
+    pairs = [(repeated(f"a{k}x", 500, 200, 20), repeated(f"b{k}x", 500, 200, 20)) for k in range(6)]
+    pairs += [(repeated(f"a{k}y", 300, 100, 10), repeated(f"b{k}y", 300, 100, 10)) for k in range(6)]
+    pairs += [(repeated(f"c{k}", 300, 0, 10), repeated(f"c{k}", 300, 100, 10)) for k in range(6)]
+    frame = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, a string, b string").select("k", signature("a").alias("x"), signature("b").alias("y"))
+    got = [r[1] for r in frame.select("k", likeness("x", "y")).orderBy("k").collect()]
+    exact = [jaccard(a, b) for a, b in pairs]
+    for at in (0, 6, 12):
+        assert abs(np.mean(got[at : at + 6]) - np.mean(exact[at : at + 6])) < 0.06
+
+
+def test_compared_texts_have_the_samples_of_their_signatures(docs, spark):
+    chance = np.random.default_rng(3)
+    rows = [(k, " ".join(f"w{x}" for x in chance.integers(0, 30, k))) for k in range(60)]
+    texts = dict(rows)
+    got = {r["doc_id"]: r for r in compare_edited(docs(rows)).collect()}
+    edited = {k: t[: len(t) - len(t) // 3] + texts[(k - 1) % 60][: len(t) // 3] for k, t in rows}
+    frame = spark.createDataFrame([(k, t, edited[k], texts[(k - 1) % 60]) for k, t in rows], "k int, a string, b string, c string")
+    signed = frame.select("k", signature("a").alias("a"), signature("b").alias("b"), signature("c").alias("c"))
+    for k, x, y, near, after in signed.select("k", fingerprint("a"), fingerprint("b"), likeness("a", "b"), likeness("a", "c")).collect():
+        assert (x, y, near, after) == (got[k]["fingerprint"], got[k]["edited_fingerprint"], got[k]["near_edited"], got[k]["near_next"])
+
+
 def plain(rows):
     order = sorted(((i if i is not None else -(2**63), t or "") for i, t in rows), reverse=True)
     out = {}
