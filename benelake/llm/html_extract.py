@@ -9,8 +9,9 @@ best container is kept with those siblings that score well too or hold running
 text; inside ``article`` or ``main`` the whole of that element is the container.
 
 Left out wherever they stand: scripts, styles, forms, embedded objects, menus,
-page headers and footers, asides, hidden elements, and elements whose class,
-id or role names clutter (adverts, notices, sidebars, shares, comments, ...).
+page headers and footers, asides, hidden elements, and elements whose role names
+clutter. A class or id that names it (adverts, sidebars, comments, ...) is weighed
+against what the element holds: see ``_is_cut``.
 
 Edge cases: null or empty html, or a page without text, gives the empty text;
 end tags without a start are ignored, missing end tags are implied by what
@@ -46,14 +47,18 @@ _CLUTTER_TAGS = frozenset("script style noscript template textarea title head fo
 _CLUTTER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar tablist form".split())
 _CLUTTER_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense adslot adbox sponsor sponsored promo promotion promoted banner cookie cookies consent gdpr notice notices nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidenav rail widget widgets footer masthead comment comments commentlist disqus reply replies respond share sharing social related recommended recommendations newsletter subscribe subscription signup login popup modal overlay toolbar pagination pager skip hidden outbrain taboola topbar".split())
 _HEADER_NAMES = frozenset("header topnav siteheader".split())
+_MODIFIERS = frozenset("no non not has have with without free".split())  # has-sidebar, ad-free: about another element
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_LOWERED = 0.25  # share of the points that text under a name of clutter passes on
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "order", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "order", "score", "chars", "linked", "named", "inside", "holds", "prose")
 
     def __init__(self, tag: str, parent, order: int):
         self.tag, self.parent, self.order = tag, parent, order
         self.score, self.chars, self.linked = 0.0, 0, 0
+        self.named, self.inside, self.holds, self.prose = 0, False, False, False
 
 
 def _is_clutter(tag: str, attributes: str, in_article: bool) -> bool:
@@ -71,13 +76,61 @@ def _is_clutter(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id"):
-            parts = {p.lower() for p in _PART.findall(value)}
-            if parts & _CLUTTER_NAMES or not in_article and parts & _HEADER_NAMES:
-                return True
     return False
 
 
+def _named(tag: str, attributes: str, in_article: bool) -> int:
+    """2 if a class or an id is a name of clutter, 1 if one has such a part."""
+    if not attributes or tag in ("html", "body") or tag in _HEADINGS:
+        return 0
+    names, found = _CLUTTER_NAMES if in_article else _CLUTTER_NAMES | _HEADER_NAMES, 0
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for word in next((v for v in values if v), "").split():
+                parts = {p.lower() for p in _PART.findall(word)}
+                if parts & names and not parts & _MODIFIERS:
+                    found = max(found, 2 if parts <= names or word.lower() in names else 1)
+    return found
+
+
+def _is_cut(node: _Node, unlinked: int) -> bool:
+    """Whether an element goes for its name; ``unlinked``: text of the page
+    outside links. None goes that holds the article, or most of that text; one
+    of which the name is only a part goes if it is links, or, outside of the
+    article, without running text."""
+    if not node.named or not node.inside and (node.holds or node.tag in ("article", "main")):
+        return False
+    if 2 * (node.chars - node.linked) > unlinked:
+        return False
+    if node.named == 2 or node.linked * 4 >= node.chars:
+        return True
+    return not node.inside and not (node.prose and node.chars - node.linked > 80)
+
+
+def _up(node: _Node | None):
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _uncluttered(blocks: list[tuple[_Node, str, int]]) -> list[tuple[_Node, str, int]]:
+    """The blocks outside of elements that go for their names; all if none is left."""
+    if not any(n.named for own, _, _ in blocks for n in _up(own)):
+        return blocks
+    for own, text, linked in blocks:
+        prose = linked * 4 < len(text) and (len(text) > 80 or re.search(r"\.( |$)", text) is not None)
+        for at in _up(own):
+            at.chars += len(text)
+            at.linked += min(linked, len(text))
+            at.prose |= prose
+    unlinked = sum(len(t) - min(n, len(t)) for _, t, n in blocks)
+    left = [b for b in blocks if not any(_is_cut(n, unlinked) for n in _up(b[0]))]
+    for own, _, _ in blocks:
+        for at in _up(own):
+            at.chars = at.linked = 0
+    return left or blocks
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page, its blocks joined by an empty line."""
     if not page:
@@ -169,15 +222,21 @@ def main_text(page: str | None) -> str:
             order += 1
             node = _Node(tag, node, order)
             stack.append((tag, node))
+            if not skipped:
+                node.named, node.inside = _named(tag, attributes, articles > 0), articles > 0
+                if tag in ("article", "main"):
+                    for above in _up(node.parent):
+                        above.holds = True
             articles += tag in ("article", "main")
         else:
             stack.append((tag, None))
             in_link += tag == "a"
-        if not skipped and _is_clutter(tag, attributes, articles > 0):
+        named = tag not in _BLOCK and "-" not in tag and _named(tag, attributes, articles > 0) == 2  # a block is weighed at the end
+        if not skipped and (named or _is_clutter(tag, attributes, articles > 0)):
             skipped = len(stack)
     pop_to(0)
     finish()
-    return _best(blocks)
+    return _best(_uncluttered(blocks))
 
 
 def _best(blocks: list[tuple[_Node, str, int]]) -> str:
@@ -185,6 +244,8 @@ def _best(blocks: list[tuple[_Node, str, int]]) -> str:
     scored: dict[int, _Node] = {}
     for own, text, linked in blocks:
         points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - min(linked / len(text), 1))
+        if any(n.named and not n.inside for n in _up(own)):
+            points *= _LOWERED
         at = own if own.tag in ("div", "section", "article", "main", "body", "#") else own.parent
         for share in (1, 2, 3):
             if at is None or at.tag == "#":

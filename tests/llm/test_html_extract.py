@@ -31,6 +31,24 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div class='layout has-sidebar'><article><p>A</p></article></div>", "A"),
+        ("<div class='sidebar layout'><article><p>A</p></article></div>", "A"),
+        ("<div id='main' class='content no-sidebar'><p>Text, more of it.</p></div>", "Text, more of it."),
+        ("<article class='post ad-free'><p>A</p></article>", "A"),
+        ("<article><p>A longer text.</p><section class='related-work'><h2>Related work</h2><ul><li>B</ul></section></article>", "A longer text.\n\nRelated work\n\nB"),
+        ("<article><h2 id='comments'>Comments in C</h2><p>A</p></article>", "Comments in C\n\nA"),
+        ("<div class='menu-page'><p>Only text here</p></div>", "Only text here"),
+        ("<article><p>A text of some length.</p><div class='ad'>Buy</div><ul class='share-links'><li><a href=x>Mail</a></ul></article>", "A text of some length."),
+        ("<article><p>The text itself, longer.</p><section class='comments'><article class='comment'><p>Hm.</p></article></section></article>", "The text itself, longer."),
+    ],
+)
+def test_names_of_clutter_are_weighed(page, text):
+    assert main_text(page) == text
+
+
 def test_siblings_and_link_density():
     links = "<div>" + "<p><a href=x>some link text, more, of it, all linked, yes</a></p>" * 6 + "</div>"
     body = "<div>" + "<p>Running text with commas, several of them, that goes on, and on.</p>" * 4 + "</div>"
