@@ -5,8 +5,9 @@ two block boundaries is a paragraph. Each paragraph passes points for its
 length and commas to its parent element, half of them to the grandparent, a
 third to the next, both less the share of linked text; a container's score is
 discounted by its link density again. The
-best container is kept with those siblings that score well too or hold running
-text; inside ``article`` or ``main`` the whole of that element is the container.
+best container is kept with all that stands next to it and isn't links (under a
+name of clutter: that scores well too); inside ``article`` or ``main`` the whole of
+that element is the container, an ``article`` with the articles next to it.
 
 Left out wherever they stand: scripts, styles, forms, embedded objects, menus,
 page headers and footers, asides, hidden elements, and elements whose role names
@@ -267,21 +268,31 @@ def _best(blocks: list[tuple[_Node, str, int]]) -> str:
         if at.tag in ("article", "main"):
             whole = at
         at = at.parent
+
+    def outer(at: _Node) -> _Node:
+        """The outermost element that holds no more text than ``at``."""
+        while at.parent is not None and at.parent.tag not in ("html", "#") and at.parent.chars == at.chars:
+            at = at.parent
+        return at
+
+    own_name = lambda n: n.named and n.parent is not None and not any(x is n for x in _up(best))
+    top = outer(whole or best)
     kept = {id(whole or best)}
-    if whole is None:
-        least = max(10, value(best) * 0.2)
-        for other in scored.values():
-            if other.parent is best.parent and value(other) >= least:
-                kept.add(id(other))
+    if whole is not None and whole.tag == "article":  # and the articles next to it
+        for at in {id(x): x for own, _, _ in blocks for x in _up(own) if x.tag == "article" and not x.inside}.values():
+            if outer(at).parent is top.parent and at.linked * 2 < at.chars and not any(own_name(n) for n in _up(at)):
+                kept.add(id(at))
     out = []
     for own, text, linked in blocks:
-        at = own
-        while at is not None and id(at) not in kept:
-            if whole is None and at.parent is best.parent and at.tag in ("p", "h1", "h2", "pre", "blockquote") and at is own and linked * 4 < len(text) and (len(text) > 80 or re.search(r"\.( |$)", text)):
-                break  # a sibling of the best container that holds running text
-            at = at.parent
-        if at is not None:
+        if any(id(n) in kept for n in _up(own)):
             out.append(text)
+        elif whole is None and linked * 4 < len(text):
+            # next to the best container: all that isn't links; under a name of clutter only what scores well too
+            at, part, named = own, None, False
+            while at is not None and at is not top.parent:
+                at, part, named = at.parent, at, named or own_name(at)
+            if at is not None and (part is None or part.linked * 4 < part.chars) and (not named or value(part) >= 0.2 * value(best)):
+                out.append(text)
     return "\n\n".join(out)
 
 

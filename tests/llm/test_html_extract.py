@@ -49,6 +49,31 @@ def test_names_of_clutter_are_weighed(page, text):
     assert main_text(page) == text
 
 
+LONG = "<p>Running text with commas, several of them, that goes on, and on.</p>" * 5
+
+
+@pytest.mark.parametrize(
+    ("before", "after"),
+    [
+        ("", "<div><p>Short closing sentence.</p></div>"),
+        ("<h1>No full stop</h1>", "<h3>Nor here</h3><ul><li>one<li>two</ul><table><tr><td>a<td>b</table>"),
+        ("<div><h2>Title</h2></div>", "<p>End</p><div><p><a href=x>all of it linked</a></p></div>"),
+    ],
+)
+def test_all_next_to_the_best_container_stays(before, after):
+    page = f"<body><div><p><a href=y>away</a></p></div><div id=content>{before}<div>{LONG}</div>{after}</div></body>"
+    wanted = [x for x in re.sub(r"<a .*?</a>", "", before + LONG + after).replace("<", "\n<").split("\n")]
+    wanted = [x for x in (re.sub(r"<[^>]*>", "", w).strip() for w in wanted) if x]
+    assert main_text(page).split("\n\n") == wanted
+
+
+def test_articles_next_to_each_other_stay():
+    page = f"<body><div><article>{LONG}</article><article><p>Second one</p></article><article class='ad'><p>Buy this</p></article></div></body>"
+    assert main_text(page).endswith("\n\nSecond one")
+    page = f"<ul><li><article>{LONG}</article><li><article><p>Second one</p></article></ul>"
+    assert main_text(page).endswith("\n\nSecond one")
+
+
 def test_siblings_and_link_density():
     links = "<div>" + "<p><a href=x>some link text, more, of it, all linked, yes</a></p>" * 6 + "</div>"
     body = "<div>" + "<p>Running text with commas, several of them, that goes on, and on.</p>" * 4 + "</div>"
