@@ -1,16 +1,13 @@
-"""Exact substring dedup with prefix-partitioned suffix trees.
-
-The suffixes of all texts (in words) are split by variable-length prefixes: a
-suffix belongs to the group of its first word; where that prefix heads more
-suffixes than a group may hold, of its first two words, and so on, so that each
-group fits in a task's memory. A group's subtree is truncated at ``window``
-words: deeper levels are not needed, since every repeat of at least ``window``
-words is a chain of nodes of that depth, each the suffix link of the one
-before, and following the chain (adjacent windows of one text) gives the
-maximal repeat. A node of that depth is kept under a 64-bit fingerprint of its
-path, with the smallest document id below it; equal fingerprints are only ever
-compared inside one group. Internal nodes of depth ``window`` with leaves of
-several documents are the repeats.
+"""Exact substring dedup by hashed windows in prefix-partitioned groups.
+
+Every repeat of at least ``window`` words is a chain of repeated windows, so no
+suffix tree is built: equal windows, with the smallest document id of each, say
+all that the result needs. The windows of all texts are split by variable-length
+prefixes: a window belongs to the group of its first word; where that prefix
+heads more of them than a group may hold, of its first two words, and so on, so
+that each group fits in a task's memory. A window is kept as a 64-bit hash,
+called its path below; equal hashes count as equal windows, and are only ever
+compared inside one group.
 
 Documents are dealt into slices by a hash. A slice sends each distinct path
 once, with the smallest id in the slice, so a passage that a third of all rows
