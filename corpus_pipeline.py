@@ -18,7 +18,7 @@ from benelake.llm.jaccard_join import near_duplicate_components
 from benelake.llm.packing import pack_documents
 from benelake.llm.queries import tokenizer_path
 from benelake.llm.substring_dedup import remove_repeats
-from benelake.llm.tables import table, written
+from benelake.llm.tables import free_name, table, written
 from benelake.llm.toxicity import fit_toxicity, score_toxicity
 
 TOXIC = 0.7  # score from which a document goes
@@ -37,13 +37,26 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each group of near copies the document with the smallest id. A
-    document without words, or without an id, is a group of its own."""
-    found = near_duplicate_components(docs, shingle=SHINGLE, share=SIMILAR)
-    kept = found.where(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select(docs.columns)
+    document without words, or without an id, is a group of its own. Of an id
+    with several texts each is a document: it goes only for a text like its own."""
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if repeated:  # rows of one id are one document: the others would shuffle for nothing
-        kept = kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return kept
+    if repeated:
+        return _near_duplicates_of_rows(docs)
+    found = near_duplicate_components(docs, shingle=SHINGLE, share=SIMILAR)
+    return found.where(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select(docs.columns)
+
+
+def _near_duplicates_of_rows(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` where ids repeat: rows are linked under numbers of
+    their own; of a group the row stays that is first by id, text and the rest."""
+    row = free_name(docs, "row_number")
+    numbered = written(docs.withColumn(row, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())))
+    found = written(near_duplicate_components(numbered, id_column=row, shingle=SHINGLE, share=SIMILAR))
+    with_id = found.where(F.col(row).isNotNull())
+    group = [F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("g"), F.when(F.col("n_shingles") == 0, F.struct("doc_id", "text")).alias("same")]
+    first = F.min(F.struct("doc_id", F.sha2("text", 256).alias("t"), F.xxhash64(*docs.columns).alias("h"), F.col(row).alias("row"))).alias("first")
+    kept = with_id.groupBy(*group).agg(first).select(F.col("first.row").alias("kept_row"))
+    return found.where(F.col(row).isNull()).select(docs.columns).unionByName(with_id.join(kept, F.col(row) == F.col("kept_row"), "left_semi").select(docs.columns))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

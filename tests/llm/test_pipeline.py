@@ -83,3 +83,14 @@ def test_stages_on_odd_tables(spark):
                 assert got.columns == frame.columns
             n = got.count()
             assert n >= len(given) - (name == "near_duplicates") and (given or not n)
+
+
+def test_texts_of_one_id_go_only_for_texts_like_their_own(spark):
+    words = lambda k, n=40: " ".join(f"{k}{i}" for i in range(n))
+    given = [(1, words("a")), (1, words("b")), (2, words("b")), (5, words("c")), (5, words("a") + " more"), (6, words("d")), (6, words("d")), (7, ""), (7, ""), (7, None), (None, words("d"))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows_ = [(i, t, "en", "s", len(t or "")) for i, t in given]
+    wanted = [(1, words("a")), (1, words("b")), (5, words("c")), (6, words("d")), (7, ""), (7, None), (None, words("d"))]
+    for order in (rows_, rows_[::-1]):
+        got = rows(corpus_pipeline.near_duplicates(spark, spark.createDataFrame(order, schema).repartition(3), SF))
+        assert sorted(got, key=str) == sorted(wanted, key=str)
