@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from benelake.llm.byte_bpe import decode_ids, encode_texts
 from benelake.llm.decontaminate import find_contamination
 from benelake.llm.fingerprints import compare_edited
 from benelake.llm.html_extract import extract_text
@@ -99,6 +100,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
+    encoded = encode_texts(docs, ranks, ends=None, ids_sha256="ids_sha256", keep_text=False)
+    decoded = decode_ids(encoded, ranks)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -110,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
+    "op13_byte_bpe": op13_byte_bpe,
 }
