@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from benelake.llm.alignment import align_tokenizers
 from benelake.llm.byte_bpe import decode_ids, encode_texts
 from benelake.llm.decontaminate import find_contamination
 from benelake.llm.fingerprints import compare_edited
@@ -100,6 +101,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = align_tokenizers(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = tokenizer_path("byte_bpe_50k.tiktoken")
@@ -119,5 +126,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
     "op13_byte_bpe": op13_byte_bpe,
 }
