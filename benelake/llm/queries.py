@@ -11,6 +11,7 @@ from benelake.llm.alignment import align_tokenizers
 from benelake.llm.byte_bpe import decode_ids, encode_texts
 from benelake.llm.decontaminate import find_contamination
 from benelake.llm.fingerprints import compare_edited
+from benelake.llm.hard_negatives import mine_hard_negatives
 from benelake.llm.html_extract import extract_text
 from benelake.llm.jaccard_join import near_duplicate_components
 from benelake.llm.language_id import fit_languages, predict_languages
@@ -101,6 +102,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows, "vec_id", label, "embedding", F.col("vec_id") % 100 == 0)
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = align_tokenizers(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
@@ -126,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
     "op13_byte_bpe": op13_byte_bpe,
 }
