@@ -121,7 +121,11 @@ def validate_landing(df: DataFrame, min_expected_rows: int = MIN_EXPECTED_ROWS,
     """Row and column counts of a landing, or the first failure: columns, then
     size, then repeated ids. Extra columns are allowed."""
     require_columns(df, expected_columns)
-    found = gate_metrics(df).first().asDict()
+    return check_gate(gate_metrics(df).first().asDict(), min_expected_rows)
+
+
+def check_gate(found: dict, min_expected_rows: int = MIN_EXPECTED_ROWS) -> dict:
+    """The figures of ``gate_metrics`` if they pass."""
     rows, repeated = found["row_count"], found.pop("duplicate_ids")
     for failed, why in ((rows < min_expected_rows, f"the landing has {rows} rows; the floor is {min_expected_rows}"), (repeated, f"{repeated} rows of the landing repeat an id ({ID_COLUMN})")):
         if failed:

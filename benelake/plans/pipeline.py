@@ -8,7 +8,7 @@ re-runs the current stage, and lineage never grows across stages.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -21,13 +21,13 @@ from ..schemas import (
     ACCEPTED_SEX,
     AGE_BAND_LABELS,
     CONDITION_LABELS,
+    ID_COLUMN,
     MART_CONTRACTS,
     MIN_EXPECTED_ROWS,
     RAW_COLUMNS,
 )
-from ..sinks import writers
-from ..sources.csv import read_raw_csv
-from . import lakehouse, warehouse
+from ..sinks import versions, writers
+from . import landing, lakehouse, warehouse
 
 
 @dataclass
@@ -59,57 +59,79 @@ def bucket_count(rows: int, row_bytes: int = 400, target_bytes: int = 256 << 20,
 
 
 def ensure_namespaces(spark: SparkSession, ns: Namespaces) -> None:
+    """Create the databases; bring what an earlier run left to rest."""
     for db in ns.all():
         writers.ensure_database(spark, db)
+        versions.recover(spark, db)
 
 
 def run_ingest(spark: SparkSession, raw: DataFrame, ns: Namespaces, min_expected_rows: int = MIN_EXPECTED_ROWS,
                source_path: str | None = None) -> RunResult:
-    """Gate -> manifest -> full-refresh load with a row-count check.
-
-    The raw file is parsed once into a landing table; the gate runs on that
-    columnar copy (its duplicate check reads only the id column), and only a
-    passing landing takes the place of the raw table. A failing landing is
-    dropped and the previous raw table is left untouched."""
+    """Checksums -> id-clustered landing -> gate -> manifest -> raw table.
+
+    The raw text is parsed once, into the next version of the raw table
+    (``plans.landing``); the gate reads that version's counts of copies, and
+    only a passing landing is published. A failing one is dropped and the
+    published raw table is left untouched. With ``source_path`` the files'
+    checksums name the run: if the published raw table came from the same
+    files, nothing is parsed again."""
     ensure_namespaces(spark, ns)
     quality.require_columns(raw, RAW_COLUMNS)
-    landing = f"{ns.raw}.beneficiary_summary__landing"
-    landed = writers.overwrite_table(raw, landing)
+    table, run, files = f"{ns.raw}.beneficiary_summary", None, None
+    result = RunResult(tables={"raw": table})
+    if source_path:
+        files = writers.replace_table(writers.checksums(spark, source_path), f"{ns.raw}.landing_files")
+        run = f"{landing.run_key(files)}:{min_expected_rows}"
+        result.tables["manifest"] = f"{ns.raw}.landing_manifest"
+    result.extra["run"] = run
+    if known := landing.published_notes(spark, table, run):
+        rows, result.extra["buckets"] = int(known["rows"]), int(known["buckets"])
+        result.counts["raw"] = rows
+        result.extra |= {"gate": {"row_count": rows, "column_count": len(raw.columns)}, "landed_rows": rows, "manifest_files": files.count()}
+        return result
+    # about 256 MB of the file, or of rows, a bucket
+    buckets = bucket_count(landing.landed_bytes(files), 1) if files else bucket_count(raw.select(ID_COLUMN).count())
+    staged, buckets = landing.land(raw, table, buckets, from_files=files is not None)
+    landed = spark.table(staged)
     try:
-        gate = quality.validate_landing(landed, min_expected_rows)
+        gate = quality.check_gate(landing.gate_metrics(landed, len(raw.columns)).first().asDict(), min_expected_rows)
+        if files:
+            # One manifest row per landed data file, written as a table (nothing
+            # per-file passes through the driver).
+            listed = writers.with_row_counts(files, landing.file_counts(landed))
+            _, result.extra["manifest_files"] = writers.write_and_count(listed, result.tables["manifest"])
     except quality.DataQualityError:
-        spark.sql(f"DROP TABLE IF EXISTS {landing}")
+        versions.abandon(spark, staged)
         raise
-    result = RunResult(extra={"gate": gate, "landed_rows": gate["row_count"]})
-    if source_path:
-        # One manifest row per landed data file, written as a table (hashing
-        # runs on the executors; nothing per-file passes through the driver).
-        manifest_table = f"{ns.raw}.landing_manifest"
-        listed = writers.manifest(spark, source_path, read_raw_csv(spark, source_path))
-        _, files = writers.write_and_count(listed, manifest_table)
-        result.tables["manifest"] = manifest_table
-        result.extra["manifest_files"] = files
-    table = f"{ns.raw}.beneficiary_summary"
-    result.counts["raw"] = writers.promote_table(spark, landing, table, gate["row_count"])
-    result.tables["raw"] = table
+    writers.publish(spark, staged, table, {"rows": gate["row_count"], "buckets": buckets, "run": run}, list(raw.columns))
+    result.counts["raw"] = gate["row_count"]
+    result.extra |= {"gate": gate, "landed_rows": gate["row_count"], "buckets": buckets}
     return result
 
 
-def run_lakehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces) -> RunResult:
+def _written(spark: SparkSession, name: str, build: Callable[[], DataFrame], bucket_by: tuple[int, str] | None, run: str | None) -> tuple[DataFrame, int]:
+    """Write and publish a table, unless this run's input already gave the
+    published one; the table and its number of rows."""
+    if known := landing.published_notes(spark, name, run):
+        return spark.table(name), int(known["rows"])
+    return writers.write_and_count(build(), name, bucket_by, {"run": run})
+
+
+def run_lakehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, buckets: int | None = None, run: str | None = None) -> RunResult:
     """raw -> bronze -> silver -> two gold tables, each stage read back from
-    storage; the gold tables are written concurrently."""
-    ensure_namespaces(spark, ns)
+    storage; the gold tables are written concurrently. With ``buckets`` bronze
+    and silver keep the landing's clustering, so the dedupe needs no exchange.
+    Tables that ``run`` already published are kept."""
+    if run is None:
+        ensure_namespaces(spark, ns)
     res = RunResult()
-    bronze, res.counts["bronze"] = writers.write_and_count(lakehouse.to_bronze(raw), f"{ns.bronze}.beneficiary_summary")
-    silver, res.counts["silver"] = writers.write_and_count(lakehouse.to_silver(bronze), f"{ns.silver}.beneficiary")
+    by_id = (buckets, ID_COLUMN) if buckets else None
+    bronze, res.counts["bronze"] = _written(spark, f"{ns.bronze}.beneficiary_summary", lambda: lakehouse.to_bronze(raw), by_id, run)
+    silver, res.counts["silver"] = _written(spark, f"{ns.silver}.beneficiary", lambda: lakehouse.to_silver(bronze), by_id, run)
     # The two gold tables read only silver: submit them together.
     with ThreadPoolExecutor(max_workers=2, thread_name_prefix="benelake-gold") as pool:
-        cost_f = pool.submit(
-            writers.write_and_count, lakehouse.gold_cost_summary(silver), f"{ns.gold}.beneficiary_cost_summary"
-        )
-        prev_f = pool.submit(
-            writers.write_and_count, lakehouse.gold_prevalence(silver), f"{ns.gold}.chronic_condition_prevalence"
-        )
+        cost_f = pool.submit(_written, spark, f"{ns.gold}.beneficiary_cost_summary", lambda: lakehouse.gold_cost_summary(silver), None, run)
+        prev_f = pool.submit(_written, spark, f"{ns.gold}.chronic_condition_prevalence", lambda: lakehouse.gold_prevalence(silver), None, run)
         res.counts["gold_cost"], res.counts["gold_prevalence"] = cost_f.result()[1], prev_f.result()[1]
     res.tables = {
         "bronze": f"{ns.bronze}.beneficiary_summary",
@@ -162,7 +184,7 @@ def data_tests(models: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_contracts: bool = True,
-                  run_tests: bool = True, buckets: int | None = None) -> RunResult:
+                  run_tests: bool = True, buckets: int | None = None, run: str | None = None) -> RunResult:
     """Seed -> staging -> intermediate -> marts, each model tested before
     anything reads it.
 
@@ -172,12 +194,14 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
     dim and fct are bucketed by the id (``buckets``; by default from the row
     count), so the marts' joins and later joins of them need no shuffle.
 
-    A mart is written aside; its contract (names and types on the plan,
-    not-null constraints on the written rows) and its data tests are checked
-    there, and only then it takes the place of the published one. A failing
-    mart is dropped, the published tables stay, and later marts are not built.
+    A mart is written as its next version; its contract (names and types on the
+    plan, not-null constraints on the written rows) and its data tests are
+    checked there, and only then it is published. A failing mart's version is
+    dropped, the published tables stay, and later marts are not built. Tables
+    that ``run`` already published, and so passed their tests, are kept.
     Staging and intermediate models stay as views of the marts' namespace."""
-    ensure_namespaces(spark, ns)
+    if run is None:
+        ensure_namespaces(spark, ns)
     res = RunResult()
     passed: list[dict] = []
 
@@ -185,31 +209,41 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
         if run_tests:
             passed.extend(quality.raise_on_failures(quality.run_suite(model_tests(name, models))))
 
-    test("raw", {"raw": raw})
-    buckets = buckets or bucket_count(raw.count())
     typed = f"{ns.raw}.beneficiary_summary_typed"
-    loaded = writers.replace_table(warehouse.inferred_load(raw), typed, bucket_by=(buckets, "DESYNPUF_ID"))
-    models = warehouse.register_models(spark, loaded)
-    for name in UPSTREAM:
-        test(name, models)
-    warehouse.create_views(spark, ns.marts, typed)
+    if known := landing.published_notes(spark, typed, run):
+        loaded, buckets = spark.table(typed), int(known["buckets"])
+        models = warehouse.register_models(spark, loaded)
+    else:
+        test("raw", {"raw": raw})
+        buckets = buckets or bucket_count(raw.count())
+        loaded = writers.publish(spark, versions.begin(warehouse.inferred_load(raw), typed, (buckets, ID_COLUMN)), typed)
+        models = warehouse.register_models(spark, loaded)
+        for name in UPSTREAM:
+            test(name, models)
+        warehouse.create_views(spark, ns.marts, typed)
+        versions.annotate(spark, typed, {"run": run, "buckets": buckets})  # loaded and tested
     bucketed = {"dim_beneficiary", "fct_beneficiary_annual_cost"}
     for name in warehouse.MART_NAMES:
         contract, table = MART_CONTRACTS[name], f"{ns.marts}.{name}"
-        staged = writers.staged_name(table)
+        res.tables[name] = table
+        if known := landing.published_notes(spark, table, run):
+            models = models.having(**{name: spark.table(table)})
+            res.counts[name] = int(known["rows"])
+            continue
         if enforce_contracts:
             quality.check_contract(models[name], contract, name)
-        bucket_by = (buckets, "desynpuf_id") if name in bucketed else None
-        written = writers.overwrite_table(models[name], staged, bucket_by)
+        staged = versions.begin(models[name], table, (buckets, "desynpuf_id") if name in bucketed else None)
+        written = spark.table(staged)
         try:
             found = writers.measured(written, quality.not_null_metrics(contract) if enforce_contracts else {})
             quality.check_not_null_metrics(found, name)
             test(name, models.having(**{name: written}))
         except Exception:
-            spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            versions.abandon(spark, staged)
             raise
-        models = models.having(**{name: writers.publish(spark, staged, table)})
-        res.counts[name], res.tables[name] = int(found["rows"]), table
+        published = writers.publish(spark, staged, table, {"rows": found["rows"], "run": run})
+        models = models.having(**{name: published})
+        res.counts[name] = int(found["rows"])
     res.extra["tests"] = passed
     return res
 
@@ -219,22 +253,27 @@ def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None,
     """Ingest, then the two paths (independent Spark actions, submitted from
     two driver threads so the scheduler overlaps them), then reconcile the
     gold cost summary against the fact table (raises on mismatch). Stage
-    wall times are returned in ``extra["stage_seconds"]``."""
+    wall times are returned in ``extra["stage_seconds"]``.
+
+    With ``source_path`` each published table notes the checksums of the files
+    it came from: a run that failed starts again at the first table that is
+    missing, reading what is published."""
     ns = ns or Namespaces()
     clock = {}
     t = time.perf_counter()
     ingest = run_ingest(spark, raw, ns, min_expected_rows, source_path)
     clock["ingest"] = time.perf_counter() - t
     landed = spark.table(ingest.tables["raw"])
+    given = {"buckets": ingest.extra["buckets"], "run": ingest.extra["run"]}
     t = time.perf_counter()
     if parallel:
         with ThreadPoolExecutor(max_workers=2, thread_name_prefix="benelake-path") as pool:
-            lake_f = pool.submit(_timed, run_lakehouse, spark, landed, ns)
-            wh_f = pool.submit(_timed, run_warehouse, spark, landed, ns)
+            lake_f = pool.submit(_timed, run_lakehouse, spark, landed, ns, **given)
+            wh_f = pool.submit(_timed, run_warehouse, spark, landed, ns, **given)
             (lake, clock["lakehouse"]), (wh, clock["warehouse"]) = lake_f.result(), wh_f.result()
     else:
-        lake, clock["lakehouse"] = _timed(run_lakehouse, spark, landed, ns)
-        wh, clock["warehouse"] = _timed(run_warehouse, spark, landed, ns)
+        lake, clock["lakehouse"] = _timed(run_lakehouse, spark, landed, ns, **given)
+        wh, clock["warehouse"] = _timed(run_warehouse, spark, landed, ns, **given)
     clock["paths"] = time.perf_counter() - t
     t = time.perf_counter()
     agreed = rec.reconcile(

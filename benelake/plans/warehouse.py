@@ -35,6 +35,7 @@ from ..schemas import (
     SSA_STATES,
     STATE_SEED_SCHEMA,
 )
+from ..sinks.writers import replace_table
 
 # Column types the warehouse's type-inferring load gives the raw file: codes,
 # dates and counts become integers (dropping the zero of "05"), amounts
@@ -269,7 +270,7 @@ def build_from_raw(spark: SparkSession, raw_text: DataFrame) -> Models:
 def create_views(spark: SparkSession, namespace: str, raw_table: str) -> None:
     """Keep the seed as a table, and staging and the intermediate models as
     views of ``namespace`` over ``raw_table``, for other sessions to read."""
-    state_seed(spark).coalesce(1).write.mode("overwrite").saveAsTable(f"{namespace}.ssa_state_codes")
+    replace_table(state_seed(spark).coalesce(1), f"{namespace}.ssa_state_codes")
     for name in VIEW_NAMES:
         text, reads = MODELS[name]
         tables = {k: raw_table if m == "raw" else f"{namespace}.{m}" for k, m in reads.items()}

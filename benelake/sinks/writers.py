@@ -1,6 +1,7 @@
 """Writers. Every write replaces the whole table, so re-running a job with the
 same input gives the same table and never duplicates rows. A table that others
-read is written aside and swapped in when it is complete."""
+read is written as a new version and published when it is complete
+(``versions``)."""
 
 from __future__ import annotations
 
@@ -14,15 +15,14 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import versions
+from .versions import ensure_database, publish  # noqa: F401  part of this module's interface
+
 
 class LoadCheckError(ValueError):
     pass
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
-
-
 def overwrite_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     writer = df.write.mode("overwrite")
     if partition_by:
@@ -47,34 +47,9 @@ def overwrite_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None
     return df.sparkSession.table(name)
 
 
-def staged_name(name: str) -> str:
-    """Where the next version of a table is written before it is published."""
-    return f"{name}__next"
-
-
-def publish(spark: SparkSession, staged: str, name: str) -> DataFrame:
-    """Put the finished table ``staged`` in the place of ``name``. The old
-    table is set aside first and only dropped when the new one is in place;
-    if that fails it is put back."""
-    aside = f"{name}__previous"
-    spark.sql(f"DROP TABLE IF EXISTS {aside}")
-    replaced = spark.catalog.tableExists(name)
-    if replaced:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
-    try:
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
-    except Exception:
-        if replaced:
-            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
-        raise
-    spark.sql(f"DROP TABLE IF EXISTS {aside}")
-    return spark.table(name)
-
-
 def replace_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None = None) -> DataFrame:
-    """Write the whole table aside, then publish it."""
-    overwrite_table(df, staged_name(name), bucket_by)
-    return publish(df.sparkSession, staged_name(name), name)
+    """Write the whole table as a new version, then publish it."""
+    return publish(df.sparkSession, versions.begin(df, name, bucket_by), name)
 
 
 def create_table_as_select(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
@@ -88,19 +63,22 @@ def measured(table: DataFrame, metrics: dict[str, Column] | None = None) -> dict
     return table.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()]).first().asDict()
 
 
-def write_and_count(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Replace a table; the table read back and its number of rows."""
-    table = replace_table(df, name)
-    return table, int(measured(table)["rows"])
+def write_and_count(df: DataFrame, name: str, bucket_by: tuple[int, str] | None = None, note: dict | None = None) -> tuple[DataFrame, int]:
+    """Replace a table; the table read back and its number of rows, which is
+    noted with the version."""
+    spark = df.sparkSession
+    staged = versions.begin(df, name, bucket_by)
+    rows = int(measured(spark.table(staged))["rows"])
+    return publish(spark, staged, name, {**(note or {}), "rows": rows}), rows
 
 
 def promote_table(spark: SparkSession, source: str, target: str, expected_rows: int) -> int:
     """Publish the already-written ``source`` as ``target`` if it has the
-    expected number of rows (a rename, no copy)."""
+    expected number of rows (nothing is copied)."""
     n = spark.table(source).count()
     if n != expected_rows:
         raise LoadCheckError(f"{source} holds {n} rows instead of {expected_rows}")
-    publish(spark, source, target)
+    publish(spark, source, target, {"rows": n})
     return n
 
 
@@ -128,24 +106,37 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], ["path", "bytes", "sha256"])
 
 
-def manifest(spark: SparkSession, path: str, rows: DataFrame | None = None) -> DataFrame:
-    """Checksum manifest of a landed file or folder: one row per data file
-    ``(file, sha256, bytes, row_count, ingested_at)``. Files are hashed on the
-    executors, in blocks. ``rows`` is the data read from ``path`` by a file
-    source; each file gets its own row count from it."""
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, sha256, bytes)`` of each data file of a landed file or folder,
+    hashed on the executors, in blocks."""
     files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"))
     name = F.element_at(F.split("path", "/"), -1)
     # Skip markers and hidden files (_SUCCESS, .crc) on any file system.
     files = files.filter(~name.startswith("_") & ~name.startswith("."))
-    hashed = files.mapInArrow(_digest, "path string, bytes long, sha256 string").select(name.alias("file"), "sha256", "bytes")
-    if rows is None:
-        counted = hashed.withColumn("row_count", F.lit(None).cast("long"))
+    return files.mapInArrow(_digest, "path string, bytes long, sha256 string").select(name.alias("file"), "sha256", "bytes")
+
+
+def with_row_counts(files: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """The manifest of ``files`` (``checksums``): each with its number of rows
+    from ``counts`` (file, row_count), and the time."""
+    if counts is None:
+        counted = files.withColumn("row_count", F.lit(None).cast("long"))
     else:
-        counts = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("row_count"))
-        counted = hashed.join(counts, "file", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+        counted = files.join(counts, "file", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
     now = _dt.datetime.now(_dt.UTC).isoformat()
     return counted.select("file", "sha256", "bytes", "row_count", F.lit(now).alias("ingested_at"))
 
 
+def manifest(spark: SparkSession, path: str, rows: DataFrame | None = None) -> DataFrame:
+    """Checksum manifest of a landed file or folder: one row per data file
+    ``(file, sha256, bytes, row_count, ingested_at)``. ``rows`` is the data
+    read from ``path`` by a file source; each file gets its own row count from
+    it."""
+    counts = None
+    if rows is not None:
+        counts = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("row_count"))
+    return with_row_counts(checksums(spark, path), counts)
+
+
 def write_manifest(manifest_df: DataFrame, path: str) -> None:
     manifest_df.write.mode("overwrite").json(path)
