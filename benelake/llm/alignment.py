@@ -45,6 +45,10 @@ from benelake.llm.tokens import _cuts
 
 #: Bytes of a range of a long text.
 CHUNK = 1 << 16
+#: Text of a block of rows.
+BLOCK = 1 << 20
+#: Pieces that a worker stores of each tokenizer.
+STORED = 1_000_000
 #: Neighbouring fragments that one task composes.
 FAN = 16
 #: Bytes of text whose links look up their counts together.
@@ -62,6 +66,12 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _spelled(pieces: list[bytes], ids: list[list[int]], names: dict[int, bytes]) -> list[list[int]]:
+    """The ids of each piece that they spell byte for byte, of others none: the
+    tokens of a text with such a piece are shorter than the text."""
+    return [x if b"".join([names[i] for i in x]) == p else [] for p, x in zip(pieces, ids, strict=True)]
+
+
 class ByteLevel:
     """Tokenizer A: a file of the tokenizers library with a byte-level vocabulary."""
 
@@ -74,13 +84,15 @@ class ByteLevel:
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
         letters = _byte_letters()
-        self.vocabulary = Vocabulary({i: bytes(letters[c] for c in token) for token, i in vocabulary.items()})
-        self.store = PieceStore(lambda pieces: [x.ids for x in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)])
+        names = {i: bytes(letters[c] for c in token) for token, i in vocabulary.items()}
+        self.vocabulary = Vocabulary(names)
+        self.store = PieceStore(lambda pieces: _spelled(pieces, [x.ids for x in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)], names), STORED)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and byte ends of the tokens of rows that begin with a blank."""
-        ids, _ = self.store.ids(data, _cuts(data, offsets))
-        return ids, np.cumsum(self.vocabulary.lengths(ids))
+        """Ids of rows that begin with a blank, and the offsets of each row's."""
+        starts = _cuts(data, offsets)
+        ids, before = self.store.ids(data, starts)
+        return ids, before[np.searchsorted(starts, offsets)]
 
 
 class Pieces:
@@ -93,21 +105,28 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         blank = "▁"
-        names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
-        self.vocabulary = Vocabulary({i: bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(blank, " ").encode() for i, p in enumerate(names)})
+        pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        names = {i: bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(blank, " ").encode() for i, p in enumerate(pieces)}
+        self.vocabulary = Vocabulary(names)
         probe = " a  b c "
         kept = self.vocabulary.join(np.array(model.encode(probe[1:]))).tobytes().decode() == probe
-        self.cut = kept and not any(blank in p.lstrip(blank) for p in names)
+        self.cut = kept and not any(blank in p.lstrip(blank) for p in pieces)
         alone = [model.piece_to_id(blank)]
-        self.store = PieceStore(lambda pieces: [x if p != b" " else alone for p, x in zip(pieces, model.encode([p[1:].decode() for p in pieces], num_threads=1), strict=True)])
+
+        def encode(parts: list[bytes]) -> list[list[int]]:
+            found = model.encode([p[1:].decode() for p in parts], num_threads=1)
+            return _spelled(parts, [x if p != b" " else alone for p, x in zip(parts, found, strict=True)], names)
+
+        self.store = PieceStore(encode, STORED)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = np.zeros(len(data), bool)
         if self.cut:
             starts[1:] = (data[1:] == 0x20) & (data[:-1] != 0x20)
         starts[offsets[:-1][np.diff(offsets) > 0]] = True
-        ids, _ = self.store.ids(data, np.flatnonzero(starts))
-        return ids, np.cumsum(self.vocabulary.lengths(ids))
+        starts = np.flatnonzero(starts)
+        ids, before = self.store.ids(data, starts)
+        return ids, before[np.searchsorted(starts, offsets)]
 
 
 @cache
@@ -116,9 +135,16 @@ def _tokenizers(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
 
 
 @cache
-def _decimals(size: int) -> Vocabulary:
-    """Each id in decimal, with room for the sign after it."""
-    return Vocabulary({i: b"%d," % i for i in range(size)})
+def _decimals(digits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of up to so many digits in decimal, right-aligned with room for
+    a sign after them, and which of these bytes are in use."""
+    n = np.arange(10**digits)
+    places = 10 ** np.arange(digits - 1, -1, -1)
+    signs = np.full((len(n), digits + 1), 0x2C, np.uint8)
+    signs[:, :-1] = n[:, None] // places % 10 + 0x30
+    used = np.ones(signs.shape, bool)
+    used[:, : digits - 1] = n[:, None] >= places[:-1]
+    return signs, used
 
 
 @dataclass
@@ -142,39 +168,58 @@ class Tokens:
     def fields(self) -> tuple[np.ndarray, ...]:
         return self.a, self.a_ends, self.b, self.b_ends
 
+    def marks(self) -> tuple[int, np.ndarray, np.ndarray]:
+        """Where tokens of either end, as flags over the bytes from a first one."""
+        low = int(min(x[0] for x in (self.a_ends, self.b_ends) if len(x))) if len(self.a) or len(self.b) else 0
+        high = int(max(x[-1] for x in (self.a_ends, self.b_ends) if len(x))) if len(self.a) or len(self.b) else -1
+        flags = np.zeros((2, high - low + 1), bool)
+        flags[0, self.a_ends - low] = True
+        flags[1, self.b_ends - low] = True
+        return low, flags[0], flags[1]
+
     def cuts(self) -> np.ndarray:
-        return np.intersect1d(self.a_ends, self.b_ends, assume_unique=True)
+        low, in_a, in_b = self.marks()
+        return np.flatnonzero(in_a & in_b) + low
 
 
 def _no_tokens() -> Tokens:
     return Tokens(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))
 
 
-def links(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """Of tokens between cuts: where each link ends, and its pair of ids as one
-    number. Every end of either tokenizer closes exactly one link."""
-    ends = np.union1d(tokens.a_ends, tokens.b_ends)
-    a = tokens.a[np.searchsorted(tokens.a_ends, ends)].astype(np.uint64)
-    b = tokens.b[np.searchsorted(tokens.b_ends, ends)].astype(np.uint64)
-    return ends, a << np.uint64(32) | b
-
-
-def group_text(tokens: Tokens, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``a1,a2|b1;a3|b2,b3;`` of tokens between cuts, as bytes, and where the
-    text of each group ends (with its sign)."""
-    group_a, group_b = np.searchsorted(cuts, tokens.a_ends), np.searchsorted(cuts, tokens.b_ends)
-    upto_a, upto_b = np.searchsorted(tokens.a_ends, cuts, "right"), np.searchsorted(tokens.b_ends, cuts, "right")
-    n = len(tokens.a) + len(tokens.b)
-    ids, sign = np.empty(n, np.int64), np.full(n, ord(","), np.uint8)
-    ids[np.arange(len(tokens.a)) + np.concatenate(([0], upto_b))[group_a]] = tokens.a
-    ids[np.arange(len(tokens.b)) + upto_a[group_b]] = tokens.b
+def links(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of tokens between cuts: where each link ends, and its A and B id. Every
+    end of either tokenizer closes exactly one link."""
+    low, in_a, in_b = tokens.marks()
+    ends = np.flatnonzero(in_a | in_b)
+    a, b = (ids[(np.cumsum(flags, dtype=np.int32) - flags)[ends]] for ids, flags in ((tokens.a, in_a), (tokens.b, in_b)))
+    return ends + low, a, b
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+
+
+def group_text(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``a1,a2|b1;a3|b2,b3;`` of tokens between cuts, as bytes; the cuts, and
+    where the text of the group before each ends (with its sign)."""
+    low, in_a, in_b = tokens.marks()
+    cut = in_a & in_b
+    cuts = np.flatnonzero(cut)
+    if not len(cuts):
+        return np.zeros(0, np.uint8), cuts, cuts
+    upto_a, upto_b = (np.cumsum(x, dtype=np.int32)[cuts] for x in (in_a, in_b))
+    group = np.cumsum(cut, dtype=np.int32) - cut  # cuts before each byte
+    ids = np.empty(len(tokens.a) + len(tokens.b), np.int32)
+    before_b = np.concatenate((upto_b[:1] * 0, upto_b))
+    ids[np.arange(len(tokens.a), dtype=np.int32) + before_b[group[tokens.a_ends - low]]] = tokens.a
+    ids[np.arange(len(tokens.b), dtype=np.int32) + upto_a[group[tokens.b_ends - low]]] = tokens.b
+    digits, used = _decimals(max(5, len(str(int(ids.max())))))
+    spelled = digits[ids]
+    spelled[upto_a + before_b[:-1] - 1, -1] = ord("|")
     last = upto_a + upto_b - 1
-    sign[upto_a + np.concatenate(([0], upto_b[:-1])) - 1 if len(cuts) else []] = ord("|")
-    sign[last] = ord(";")
-    table = _decimals(1 << max(16, int(ids.max()).bit_length())) if n else _decimals(1 << 16)
-    data, ends = table.join(ids), np.cumsum(table.lengths(ids))
-    data[ends - 1] = sign
-    return data, ends[last]
+    spelled[last, -1] = ord(";")
+    kept = used[ids]
+    return spelled[kept], cuts + low, np.cumsum(kept.sum(axis=1))[last]
 
 
 @dataclass
@@ -207,11 +252,11 @@ class Fragment:
         """With the groups of ``tokens``, which begin and end at cuts, added."""
         if not len(tokens.a):
             return self
-        cuts = tokens.cuts()
-        _, found = links(tokens)
-        pairs, times = np.unique(found, return_counts=True)
-        self.counts = self.counts + (len(tokens.a), len(tokens.b), len(cuts), len(found))
-        self.text += group_text(tokens, cuts)[0].tobytes()
+        spelled, cuts, _ = group_text(tokens)
+        _, a, b = links(tokens)
+        pairs, times = _counted(_pairs(a, b))
+        self.counts = self.counts + (len(tokens.a), len(tokens.b), len(cuts), len(a))
+        self.text += spelled.tobytes()
         self.pairs, self.times = _merged([(self.pairs, self.times), (pairs, times)])
         return self
 
@@ -244,6 +289,13 @@ class Fragment:
         return cls(cut, Tokens(*arrays[:4]), Tokens(*arrays[4:8]), arrays[8], zstandard.ZstdDecompressor().decompress(parts[11]), arrays[9], arrays[10], broken)
 
 
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order, and how often each occurs."""
+    values = np.sort(values)
+    new = np.flatnonzero(np.concatenate((values[:1] == values[:1], values[1:] != values[:-1])))
+    return values[new], np.diff(np.append(new, len(values)))
+
+
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and their times, equal numbers added up."""
     parts = [p for p in parts if len(p[0])]
@@ -260,23 +312,18 @@ START = Fragment(cut=True)
 def _tokens(data: np.ndarray, offsets: np.ndarray, path_a: str, path_b: str) -> tuple[Tokens, np.ndarray]:
     """Tokens of the rows that both tokenizers spell byte for byte, with ends in
     the bytes of those rows alone, and which rows they are."""
-    a, b = _tokenizers(path_a, path_b)
-    good = np.diff(offsets) > 0
-    (ids_a, ends_a), (ids_b, ends_b) = a.encode(data, offsets), b.encode(data, offsets)
-    whole = [len(ends) and ends[-1] == len(data) and np.array_equal(x.vocabulary.join(ids), data) for x, ids, ends in ((a, ids_a, ends_a), (b, ids_b, ends_b))]
-    edges = offsets[1:][good]
-    if all(whole) and all(np.isin(edges, ends, assume_unique=True).all() for ends in (ends_a, ends_b)):
-        return Tokens(ids_a, ends_a, ids_b, ends_b), good
-    found, base = [_no_tokens()], 0
-    for i in np.flatnonzero(good).tolist():  # rows one by one, where one of them isn't spelled
-        row = data[offsets[i] : offsets[i + 1]]
-        one = np.array([0, len(row)])
-        pairs = [x.encode(row, one) for x in (a, b)]
-        good[i] = all(np.array_equal(x.vocabulary.join(ids), row) for x, (ids, _) in zip((a, b), pairs, strict=True))
-        if good[i]:
-            found.append(Tokens(pairs[0][0], pairs[0][1] + base, pairs[1][0], pairs[1][1] + base))
-            base += len(row)
-    return Tokens(*[np.concatenate(x) for x in zip(*[t.fields() for t in found], strict=True)]), good
+    sides = []
+    for tokenizer in _tokenizers(path_a, path_b):
+        ids, rows = tokenizer.encode(data, offsets)
+        lengths = tokenizer.vocabulary.lengths(ids)
+        sides.append((ids, rows, lengths, np.diff(np.concatenate(([0], np.cumsum(lengths)))[rows])))
+    size = np.diff(offsets)
+    good = (size > 0) & (sides[0][3] == size) & (sides[1][3] == size)
+    fields = []
+    for ids, rows, lengths, _ in sides:
+        kept = np.repeat(good, np.diff(rows)) if not good.all() else slice(None)
+        fields += [ids[kept], np.cumsum(lengths[kept])]
+    return Tokens(*fields), good
 
 
 def _with_blank(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -318,18 +365,22 @@ def _aligned(data: np.ndarray, offsets: np.ndarray, path_a: str, path_b: str) ->
     tokens, good = _tokens(data, offsets, path_a, path_b)
     n = len(good)
     edges = np.cumsum(np.where(good, np.diff(offsets), 0))  # ends of the rows in the bytes of good rows
-    cuts = tokens.cuts()
-    ends, found = links(tokens)
-    row_of = np.searchsorted(edges, ends)
+    spelled, cuts, stops = group_text(tokens)
+    ends, a, b = links(tokens)
     upto = lambda x: np.searchsorted(x, edges, "right")
-    counts = np.diff([upto(x) for x in (tokens.a_ends, tokens.b_ends, cuts, ends)], axis=1, prepend=0).T
-    spelled, stops = group_text(tokens, cuts)
+    counts = np.diff([upto(x) for x in (tokens.a_ends, tokens.b_ends, cuts, ends)], axis=1, prepend=0).T.reshape(n, 4)
     at = np.concatenate(([0], stops))[np.concatenate(([0], upto(cuts)))]
     view = spelled.tobytes()
-    texts = [view[a : max(a, b - 1)] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-    pairs, place = np.unique(found, return_inverse=True)
-    keys, times = np.unique(row_of * max(1, len(pairs)) + place, return_counts=True)
-    return Block(counts.reshape(n, 4), texts, pairs, *np.divmod(keys, max(1, len(pairs))), times)
+    texts = [view[x : max(x, y - 1)] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    # row, A and B id in one number, so that one sort counts the links
+    width_a, width_b = (max(1, int(x.max(initial=0)).bit_length()) for x in (a, b))
+    if n.bit_length() + width_a + width_b > 63:
+        raise ValueError("ids too large")
+    row = np.repeat(np.arange(n), counts[:, 3])
+    keys, times = _counted((row << width_a | a) << width_b | b)
+    rows, pairs = keys >> (width_a + width_b), _pairs(keys >> width_b & (1 << width_a) - 1, keys & (1 << width_b) - 1)
+    pairs, place = np.unique(pairs, return_inverse=True)
+    return Block(counts, texts, pairs, rows, place, times)
 
 
 def _closed(fragments: list[Fragment]) -> Block:
@@ -441,7 +492,7 @@ def align(df: DataFrame, path_a: str, path_b: str, column: str = "text", groups:
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to = _Results(groups)
-        for batch, data, offsets in text.batches(stream, free):
+        for batch, data, offsets in text.batches(stream, free, BLOCK):
             columns = to.columns(_aligned(data, offsets, path_a, path_b), len(data))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*carried, *[f.name for f in fields]])
 

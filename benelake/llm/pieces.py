@@ -12,6 +12,7 @@ from benelake.llm import text
 from benelake.llm.tokens import _hashes
 
 MOST = 2_000_000
+AT_ONCE = 8_192  # pieces encoded at a time
 
 
 class PieceStore:
@@ -53,7 +54,10 @@ class PieceStore:
 
     def _add(self, data, starts, keys, sample, place, miss):
         view, ends = memoryview(np.ascontiguousarray(data)), np.append(starts[1:], len(data))
-        found = self.encode([bytes(view[a:b]) for a, b in zip(starts[sample[miss]].tolist(), ends[sample[miss]].tolist(), strict=True)])
+        spans = list(zip(starts[sample[miss]].tolist(), ends[sample[miss]].tolist(), strict=True))
+        found = []
+        for i in range(0, len(spans), AT_ONCE):
+            found += self.encode([bytes(view[a:b]) for a, b in spans[i : i + AT_ONCE]])
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         fresh = len(self.at) - 1 + np.arange(len(found))
         self.at = np.concatenate((self.at, self.at[-1] + np.cumsum(sizes)))
