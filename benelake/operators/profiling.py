@@ -7,11 +7,13 @@ column - never a driver loop issuing one job per column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money
-from .quantiles import exact_quantiles
+from ..session import scratch_table
+from .doubles import digit_counts, from_key, moments, partial_sums
+from .quantiles import interpolated, select_ranks, wanted_ranks
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -81,27 +83,40 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return wide.unpivot([], cols, "column_name", "n_distinct")
 
 
-def describe_measures(value: Column, scale: int = 4) -> list[Column]:
-    """count, mean, std (sample), min, max of doubles, at their own scale."""
-    return [
-        F.count(value).alias("count"),
-        F.round(F.avg(value), scale).alias("mean"),
-        F.round(F.stddev_samp(value), scale).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    ]
-
-
-def describe(df: DataFrame, columns: list[str], scale: int = 4) -> DataFrame:
-    """Transposed describe: one row per column - count, mean, std, min,
-    linearly interpolated quartiles (``operators.quantiles``: exact, and no
-    task holds a whole column), max."""
-    long = to_long(df, columns, "double")
-    stats = long.groupBy("column_name").agg(*describe_measures(F.col("value"), scale))
-    names = ["p25", "p50", "p75"]
-    quartiles = exact_quantiles(long, "column_name", "value", list(PERCENTILES), names)
-    return stats.join(quartiles, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", *[F.round(F.col(n), scale).alias(n) for n in names], "max"
+def describe(df: DataFrame, columns: list[str], scale: int | None = None, stored: bool = False) -> DataFrame:
+    """Transposed describe: one row per column - count, mean, std (sample),
+    min, linearly interpolated quartiles, max. Nulls and NaN count as missing;
+    no rows give no rows.
+
+    Sums are exact (``doubles``), so mean and std are the correctly rounded ones
+    on any partitioning; quartiles come from digit histograms (``quantiles``).
+    Nothing is rounded unless ``scale`` asks for so many decimals. The columns
+    are written to the scratch folder first, unless ``df`` reads ``stored``
+    ones and can as well be scanned again. The first pass gives the sums and
+    the first digit of every quartile; only counts come to the driver."""
+    spark, names = df.sparkSession, ["p25", "p50", "p75"]
+    doubles_ = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    values = doubles_ if stored else scratch_table(doubles_)
+    parts: dict[str, list[dict]] = {c: [] for c in columns}
+    for r in partial_sums(values).collect():
+        parts[r["column_name"]].append(r.asDict())
+    if not any(parts.values()) and values.isEmpty():
+        parts = {}
+    rows = [(c, *moments(own), min((p["least"] for p in own), default=None), max((p["greatest"] for p in own), default=None)) for c, own in parts.items()]
+    found = spark.createDataFrame(rows, "column_name string, count long, mean double, std double, _least long, _greatest long")
+    counts = found.where("count > 0").select(F.col("column_name").alias("_group"), F.col("count").alias("_n"))
+
+    def histogram(wanted: DataFrame, few: list, done: int, bits: int) -> DataFrame:
+        if done:
+            return digit_counts(values, [(r["_group"], r["_prefix"]) for r in few], done, bits)
+        first = [(c, 0, p["digit"], p["values"]) for c, own in parts.items() for p in own]
+        return spark.createDataFrame(first, "_g string, _p long, _digit long, _count long").groupBy("_g", "_p", "_digit").agg(F.sum("_count").alias("_count"))
+
+    ps = list(PERCENTILES)
+    quartiles = interpolated(select_ranks(histogram, wanted_ranks(counts, ps)), "column_name", ps, names)
+    shown = lambda c: F.round(F.col(c), scale).alias(c) if scale is not None else F.col(c)
+    return found.join(quartiles, "column_name", "left").select(
+        "column_name", "count", shown("mean"), shown("std"), from_key(F.col("_least")).alias("min"), *map(shown, names), from_key(F.col("_greatest")).alias("max")
     )
 
 

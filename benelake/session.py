@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for every plan this package builds.
 DEFAULT_CONF: dict[str, str] = {
@@ -71,3 +72,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     spark.conf.set("spark.checkpoint.dir", scratch)
     sc.setCheckpointDir(scratch)
     return scratch
+
+
+def scratch_table(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read back:
+    computed once, columnar, and there for every executor."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/benelake-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did. On a
+    cluster it is shipped with --py-files; a local session needs only this."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    if root not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join((root, path))
