@@ -17,8 +17,9 @@ def prevalence_by_group(df: DataFrame, keys: list[str], labels: dict[str, str],
     condition. Groups without a known flag have no row, as unpivoting the
     flags and dropping nulls would give."""
     columns = []
+    df = df.withColumn("_paid", money.as_money(cost))
     for flag in labels:
-        paid = money.as_money(F.when(F.col(flag), F.col(cost)))
+        paid = F.when(F.col(flag), F.col("_paid"))
         columns += [
             F.count(flag).alias(f"known_{flag}"),
             F.count_if(F.col(flag)).alias(f"with_{flag}"),

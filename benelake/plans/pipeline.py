@@ -117,12 +117,14 @@ def _written(spark: SparkSession, name: str, build: Callable[[], DataFrame], buc
     return writers.write_and_count(build(), name, bucket_by, {"run": run})
 
 
-def run_lakehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, buckets: int | None = None, run: str | None = None) -> RunResult:
+def run_lakehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, buckets: int | None = None, run: str | None = None,
+                  prepared: bool = False) -> RunResult:
     """raw -> bronze -> silver -> two gold tables, each stage read back from
     storage; the gold tables are written concurrently. With ``buckets`` bronze
     and silver keep the landing's clustering, so the dedupe needs no exchange.
-    Tables that ``run`` already published are kept."""
-    if run is None:
+    Tables that ``run`` already published are kept; ``prepared``: the namespaces
+    are (recovery must not meet the other path's writes)."""
+    if not prepared:
         ensure_namespaces(spark, ns)
     res = RunResult()
     by_id = (buckets, ID_COLUMN) if buckets else None
@@ -184,7 +186,7 @@ def data_tests(models: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_contracts: bool = True,
-                  run_tests: bool = True, buckets: int | None = None, run: str | None = None) -> RunResult:
+                  run_tests: bool = True, buckets: int | None = None, run: str | None = None, prepared: bool = False) -> RunResult:
     """Seed -> staging -> intermediate -> marts, each model tested before
     anything reads it.
 
@@ -200,7 +202,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
     dropped, the published tables stay, and later marts are not built. Tables
     that ``run`` already published, and so passed their tests, are kept.
     Staging and intermediate models stay as views of the marts' namespace."""
-    if run is None:
+    if not prepared:
         ensure_namespaces(spark, ns)
     res = RunResult()
     passed: list[dict] = []
@@ -264,7 +266,7 @@ def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None,
     ingest = run_ingest(spark, raw, ns, min_expected_rows, source_path)
     clock["ingest"] = time.perf_counter() - t
     landed = spark.table(ingest.tables["raw"])
-    given = {"buckets": ingest.extra["buckets"], "run": ingest.extra["run"]}
+    given = {"buckets": ingest.extra["buckets"], "run": ingest.extra["run"], "prepared": True}
     t = time.perf_counter()
     if parallel:
         with ThreadPoolExecutor(max_workers=2, thread_name_prefix="benelake-path") as pool:

@@ -148,25 +148,27 @@ SELECT
 FROM {cost}
 """
 
-MART_STATE_SUMMARY_SQL = """
+# The decimal of 15 digits that an amount stands for, exact to add up.
+_PAID = "CASE WHEN total_cost_2008 IS NOT NULL THEN CAST(format_string('%.14e', total_cost_2008) AS DECIMAL(38,18)) END AS paid"
+
+MART_STATE_SUMMARY_SQL = f"""
 SELECT
     b.state_code,
     b.state_abbr,
     b.state_name,
     COUNT(*) AS beneficiary_count,
-    CAST(SUM(CAST(cost.total_cost_2008 AS DECIMAL(18,2))) AS DOUBLE) AS total_medicare_reimbursement,
-    CAST(ROUND(try_divide(SUM(CAST(cost.total_cost_2008 AS DECIMAL(18,2))),
-                          CAST(COUNT(cost.total_cost_2008) AS DECIMAL(20,0))), 2) AS DOUBLE)
+    CAST(SUM(cost.paid) AS DOUBLE) AS total_medicare_reimbursement,
+    CAST(ROUND(try_divide(SUM(cost.paid), CAST(COUNT(cost.paid) AS DECIMAL(20,0))), 2) AS DOUBLE)
         AS avg_medicare_reimbursement_per_beneficiary
-FROM {dim} AS b
-LEFT JOIN {cost} AS cost ON b.desynpuf_id = cost.desynpuf_id
+FROM {{dim}} AS b
+LEFT JOIN (SELECT desynpuf_id, {_PAID} FROM {{cost}}) AS cost ON b.desynpuf_id = cost.desynpuf_id
 GROUP BY b.state_code, b.state_abbr, b.state_name
 """
 
 _KNOWN = ",\n        ".join(
     f"COUNT(s.{flag}) AS known_{flag}, COUNT_IF(s.{flag}) AS with_{flag}, "
-    f"SUM(CASE WHEN s.{flag} THEN CAST(c.total_cost_2008 AS DECIMAL(18,2)) END) AS paid_{flag}, "
-    f"COUNT(CASE WHEN s.{flag} THEN c.total_cost_2008 END) AS payers_{flag}"
+    f"SUM(CASE WHEN s.{flag} THEN c.paid END) AS paid_{flag}, "
+    f"COUNT(CASE WHEN s.{flag} THEN c.paid END) AS payers_{flag}"
     for flag in FLAG_COLUMNS
 )
 _STACK = ", ".join(f"'{label}', known_{flag}, with_{flag}, paid_{flag}, payers_{flag}" for flag, label in CONDITION_LABELS.items())
@@ -181,7 +183,7 @@ WITH by_state AS (
         {_KNOWN}
     FROM {{stg}} AS s
     LEFT JOIN {{dim}} AS d ON s.desynpuf_id = d.desynpuf_id
-    LEFT JOIN {{cost}} AS c ON s.desynpuf_id = c.desynpuf_id
+    LEFT JOIN (SELECT desynpuf_id, {_PAID} FROM {{cost}}) AS c ON s.desynpuf_id = c.desynpuf_id
     GROUP BY d.state_abbr, d.state_name
 ),
 by_condition AS (
@@ -198,7 +200,7 @@ SELECT
     SUM(positive) AS beneficiaries_with_condition,
     CAST(ROUND(try_divide(CAST(SUM(positive) AS DECIMAL(30,4)), CAST(SUM(known) AS DECIMAL(20,0))), 4) AS DOUBLE)
         AS prevalence_rate,
-    CAST(ROUND(try_divide(CAST(SUM(paid) AS DECIMAL(28,2)), CAST(SUM(payers) AS DECIMAL(20,0))), 2) AS DOUBLE)
+    CAST(ROUND(try_divide(SUM(paid), CAST(SUM(payers) AS DECIMAL(20,0))), 2) AS DOUBLE)
         AS avg_total_cost_with_condition
 FROM by_condition
 GROUP BY GROUPING SETS ((condition, state_abbr, state_name), (condition))

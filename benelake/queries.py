@@ -200,6 +200,14 @@ def q_reconcile_report_mutated(spark, d):
     return reconcile.report(mutated, _models(spark, d)["fct_beneficiary_annual_cost"])
 
 
+def q_reconcile_three_decimals(spark, d):
+    """Both paths over amounts of a tenth, which have three decimals."""
+    tenth = lambda c: (F.col(c).cast("decimal(18,2)") / 10).cast("decimal(18,3)").cast("string")
+    raw = _member(spark, d).withColumns({c: tenth(c) for c in MONEY_COLUMNS})
+    gold = lakehouse.gold_cost_summary(lakehouse.to_silver(lakehouse.to_bronze(raw)))
+    return reconcile.report(gold, warehouse.build_from_raw(spark, raw)["fct_beneficiary_annual_cost"])
+
+
 # ---------------------------------------------------------------------------
 # explorer
 # ---------------------------------------------------------------------------
@@ -534,6 +542,7 @@ QUERIES: dict[str, Query] = {
     # reconcile
     "reconcile_report": q_reconcile_report,
     "reconcile_report_mutated": q_reconcile_report_mutated,
+    "reconcile_three_decimals": q_reconcile_three_decimals,
     # explorer
     "explorer_frame": q_explorer_frame,
     "explorer_frame_raw": q_explorer_frame_raw,

@@ -44,9 +44,7 @@ def table_of(name: str, number: int) -> str:
 
 def current(spark: SparkSession, name: str) -> int | None:
     """The published version of ``name``; None if there is none."""
-    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "VIEW":
-        return None
-    number = _properties(spark, name).get(VERSION)
+    number = _properties(spark, name).get(VERSION) if spark.catalog.tableExists(name) else None
     return int(number) if number else None
 
 
@@ -137,16 +135,17 @@ def recover(spark: SparkSession, database: str) -> dict[str, int]:
             found.setdefault(m[1], []).append(int(m[2]))
     moved = {}
     for base, numbers in found.items():
-        name = f"{database}.{base}"
-        properties = {n: _properties(spark, table_of(name, n)) for n in sorted(numbers)}
-        ready = [n for n, p in properties.items() if p.get(STATE) == "ready"]
-        for n in numbers:
-            if n not in ready:
-                abandon(spark, table_of(name, n))
-        if ready and current(spark, name) != ready[-1]:
-            shown = properties[ready[-1]].get(NOTE + "columns")
-            _point(spark, name, ready[-1], shown.split(",") if shown else None)
-            moved[name] = ready[-1]
-        if ready:
-            _sweep(spark, name, ready[-1])
+        name, numbers = f"{database}.{base}", sorted(numbers)
+        newest = _properties(spark, table_of(name, numbers[-1]))
+        while newest.get(STATE) != "ready":  # unfinished
+            abandon(spark, table_of(name, numbers.pop()))
+            if not numbers:
+                break
+            newest = _properties(spark, table_of(name, numbers[-1]))
+        if numbers and current(spark, name) != numbers[-1]:
+            shown = newest.get(NOTE + "columns")
+            _point(spark, name, numbers[-1], shown.split(",") if shown else None)
+            moved[name] = numbers[-1]
+        for n in numbers[:-2]:
+            abandon(spark, table_of(name, n))
     return moved

@@ -108,3 +108,31 @@ def test_describe_keeps_small_values(spark):
     assert (row["mean"], row["min"], row["p50"]) == (0.002333, 0.001, 0.002)
     large = profiling.describe(spark.createDataFrame([(2e17,), (4e17,)], "x double"), ["x"]).first()
     assert large["mean"] == 3e17
+
+
+@pytest.mark.parametrize(("amounts", "total"), [([0.004] * 1000, 4.0), ([0.1, 0.2] * 500 + [1e-9], 150.000000001), ([123456789.125, -0.0005], 123456789.1245), ([None, 2.5e-12], 2.5e-12)])
+def test_amounts_keep_their_own_scale(spark, raw_rows, amounts, total):
+    frame = spark.createDataFrame([(f"i{k}", a) for k, a in enumerate(amounts)], "desynpuf_id string, total_medicare_reimbursement double")
+    assert reconcile.path_metrics(frame).first()["total_medicare_reimbursement"] == total
+    assert cohort.kpis(frame).first()["total_cost"] == total
+
+
+def test_small_amounts_on_both_paths(spark, raw_rows):
+    from benelake.plans import lakehouse, warehouse
+
+    raw = raw_rows(*[{"DESYNPUF_ID": f"i{k}", "MEDREIMB_IP": "0.004", "SP_CHF": "1"} for k in range(1000)])
+    silver = lakehouse.to_silver(lakehouse.to_bronze(raw))
+    models = warehouse.build_from_raw(spark, raw)
+    figures = reconcile.reconcile(lakehouse.gold_cost_summary(silver), models["fct_beneficiary_annual_cost"])
+    assert figures["total_medicare_reimbursement"] == 4.0
+    state = models["mart_state_cost_summary"].first()
+    assert state["total_medicare_reimbursement"] == 4.0 and state["avg_medicare_reimbursement_per_beneficiary"] == 0.0
+    mart = models["mart_chronic_condition_prevalence"].where("condition = 'chf'").collect()
+    gold = lakehouse.gold_prevalence(silver).where("condition = 'chf'").collect()
+    assert {r["avg_total_cost_with_condition"] for r in [*mart, *gold]} == {0.0}
+
+
+def test_a_difference_just_beyond_the_tolerance_fails(spark):
+    frame = lambda x: spark.createDataFrame([("i", x)], "desynpuf_id string, total_medicare_reimbursement double")
+    found = {r["metric"]: r for r in reconcile.report(frame(10.0), frame(11.004)).collect()}["total_medicare_reimbursement"]
+    assert (found["difference"], found["ok"]) == (1.004, False)
