@@ -33,13 +33,16 @@ _MASK = U(0xFFFF)
 
 
 class _Model:
-    """A prediction is stored as (id + 1) * 4 + confidence; 0: none."""
+    """A prediction is stored as (id + 1) * 4 + confidence; 0: none. Ids below
+    2**16 take 32 bits each, so that the tables of a group stay near the cores."""
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, wide: bool):
+        self.kind = np.uint64 if wide else np.uint32
+        self.one, self.two, self.three = (self.kind(x) for x in (1, 2, 3))
         self.block = np.arange(n)
         self.base1, self.base2, self.base0, self.base4 = (self.block << b for b in (_ORDER1, _ORDER2, 8, 2))
-        self.table1, self.table2 = (np.zeros(n << b, np.uint64) for b in (_ORDER1, _ORDER2))
-        self.table0 = np.zeros(n << 8, np.uint32)
+        self.table1, self.table2 = (np.zeros(n << b, self.kind) for b in (_ORDER1, _ORDER2))
+        self.table0 = np.zeros(n << 8, self.kind)
         self.counts0, self.counts1, self.counts2 = np.zeros(n, U), np.zeros(4 * n, U), np.zeros(4 * n, U)
         self.last1 = self.last2 = np.zeros(n, np.uint32)
 
@@ -50,23 +53,23 @@ class _Model:
         self.at1 = self.base1[:k] + (first >> np.uint32(32 - _ORDER1))
         self.at2 = self.base2[:k] + ((first + self.last2[:k] * np.uint32(2246822519)) * np.uint32(3266489917) >> np.uint32(32 - _ORDER2))
         self.e1, self.e2 = self.table1.take(self.at1), self.table2.take(self.at2)
-        self.c1, self.c2 = self.e1 & U(3), self.e2 & U(3)
-        self.p1, self.p2 = self.e1 >> U(2), self.e2 >> U(2)
-        self.row1, self.row2 = self.base4[:k] + self.c1.view(np.int64), self.base4[:k] + self.c2.view(np.int64)
+        self.c1, self.c2 = self.e1 & self.three, self.e2 & self.three
+        self.p1, self.p2 = self.e1 >> self.two, self.e2 >> self.two
+        self.row1, self.row2 = self.base4[:k] + self.c1.astype(np.int64), self.base4[:k] + self.c2.astype(np.int64)
         self.n1, self.n2 = self.counts1.take(self.row1), self.counts2.take(self.row2)
         # the product adds the lanes up: no lane reaches 2**16
         return (self.n1 + self.n2 + self.counts0[:k] + _ONES) * _ONES
 
     def update(self, k: int, ids: np.ndarray, new: np.ndarray, event: np.ndarray):
-        """``new``: the ids plus 1 as 64 bits."""
+        """``new``: the ids plus 1, of the tables' kind."""
         step = _STEP.take(event)
         self.counts1[self.row1] = self.n1 + step
         self.counts2[self.row2] = self.n2 + step
         self.counts0[:k] += step
-        fresh = (new << U(2)) | U(1)
+        fresh = (new << self.two) | self.one
         for table, at, e, p, c in ((self.table1, self.at1, self.e1, self.p1, self.c1), (self.table2, self.at2, self.e2, self.p2, self.c2)):
             hit = p == new
-            table[at] = np.where(hit, e + (c < U(3)), np.where(c > U(1), e - U(1), fresh))
+            table[at] = np.where(hit, e + (c < self.three), np.where(c > self.one, e - self.one, fresh))
         self.table0[self.base0[:k] + (ids & np.uint32(255))] = new
         self.last2, self.last1 = self.last1[:k], ids
 
@@ -88,7 +91,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, list[bytes]
     padded[: len(ids)] = ids
     steps = np.ascontiguousarray(padded.reshape(n, block).T)  # only the last block can be short, so order is given
     wide = bool(len(ids)) and int(ids.max()) >= 1 << 16
-    model = _Model(n)
+    model = _Model(n, wide)
     low, span = np.zeros(n, U), np.full(n, ~U(0))
     room = block * (5 if wide else 3) + 8
     out, at = np.zeros((n, room), np.uint16), np.zeros(n, np.int64)
@@ -97,7 +100,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, list[bytes]
         own = steps[t, :k]
         cum = model.predict(k)
         slot = own & np.uint32(255)
-        new = own.astype(U) + U(1)
+        new = own.astype(model.kind, copy=False) + model.one
         miss2, miss1 = model.p2 != new, model.p1 != new
         event = miss2 * (1 + miss1 * (1 + (model.table0.take(model.base0[:k] + slot) != new)))
         lane = _LANE.take(event)
@@ -161,7 +164,7 @@ def decode(lengths: np.ndarray, codes: list[bytes], sums: np.ndarray, wide: bool
         code = code << U(16) | flat[base + i]
     steps = int(ran[0]) if n else 0
     out = np.zeros((steps, n), np.uint32)
-    model = _Model(n)
+    model = _Model(n, wide)
     running = np.searchsorted(-ran, -np.arange(steps), "left")  # blocks longer than t
 
     def refill(k: int) -> None:
@@ -204,8 +207,8 @@ def decode(lengths: np.ndarray, codes: list[bytes], sums: np.ndarray, wide: bool
             refill(k)
             literal = literal | more.astype(np.uint32) << np.uint32(16)
         order0 = model.table0.take(model.base0[:k] + (tail & U(255)).view(np.int64))
-        new = np.where(event == 0, model.p2, np.where(event == 1, model.p1, np.where(event == 2, order0, literal.astype(U) + U(1))))
-        ids = (new - U(1)).astype(np.uint32)
+        new = np.where(event == 0, model.p2, np.where(event == 1, model.p1, np.where(event == 2, order0, literal.astype(model.kind, copy=False) + model.one)))
+        ids = (new - model.one).astype(np.uint32, copy=False)
         model.update(k, ids, new, event)
         out[t, :k] = ids
     found: list[np.ndarray] = [None] * n

@@ -44,7 +44,7 @@ from benelake.session import ensure_checkpoint_dir
 
 MAGIC = b"CMRC"
 FILE_BYTES = 32 << 20  # text that goes into a file
-GROUP_IDS = 2048 * range_coder.BLOCK  # ids that are coded in step
+GROUP_IDS = 4096 * range_coder.BLOCK  # ids that are coded in step
 
 
 def _group(ids: np.ndarray) -> bytes:
