@@ -31,7 +31,7 @@ from benelake.llm.tokens import BLOCK, Encoder
 
 MOST = 1024
 SWEEPS = 150
-SCALES = (1.0, 0.95, 0.9, 0.8, 0.7, 0.5)
+SCALES = (1.0, 0.95, 0.9, 0.8, 0.7, 0.5, 0.0)
 BUCKET_ROWS = 50_000
 PIECES = 1_000_000  # distinct pieces of text that a worker remembers
 
@@ -148,7 +148,7 @@ def pack_histogram(histogram: np.ndarray, most: int = MOST, sweeps: int = SWEEPS
     """Patterns with repeat counts that use exactly the pieces of the histogram
     (index: length). The fitted counts are rounded down after scaling by each
     of ``SCALES``: the less they take, the better the rest mixes; the rounding
-    that needs the fewest sequences is kept."""
+    that needs the fewest sequences is kept. With 0 all are packed best-fit."""
     whole = histogram.astype(np.int64).copy()
     whole[0] = 0
     patterns = _patterns(np.flatnonzero(whole), most)
