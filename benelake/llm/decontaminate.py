@@ -113,9 +113,10 @@ class _Items:
 def find_contamination(docs: DataFrame, benchmark: DataFrame, column: str = "text", item_id: str = "item_id", item_column: str = "text", window: int = WINDOW, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All rows of ``docs`` with ``n_words``, ``hit_spans`` (first word and
     number of words of each stretch of hit words), ``n_hit``, ``item_ids``
-    (strings, sorted), ``n_items`` and ``contaminated``."""
+    (strings, sorted), ``n_items`` and ``contaminated``. Words in windows of an
+    item without an id are hit too; such an item is in no list and count."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_column).alias("text")).where("id is not null and text is not null")
+    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_column).alias("text")).where("text is not null").distinct()
     blocks = max(1, -(-text_bytes(items) // block_bytes))
     items = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
     results = {"n_words": T.LongType(), "hit_spans": T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("n", T.LongType())])), "n_hit": T.LongType(), "item_ids": T.ArrayType(T.StringType()), "n_items": T.LongType(), "contaminated": T.BooleanType()}
@@ -135,7 +136,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, column: str = "tex
                 words = text.Words(data, offsets, text.ALNUM, text.LOWER)
                 hit, found = known.scan(words)
                 rows = words.rows
-                ids = [{known.ids[i] for i in row} for row in found]
+                ids = [{known.ids[i] for i in row} - {None} for row in found]
                 if not is_first:
                     old = batch.column(batch.schema.get_field_index(bits)).to_pylist()
                     hit |= np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=b - a) for x, a, b in zip(old, rows[:-1], rows[1:], strict=True)] or [np.zeros(0, np.uint8)]).astype(bool)

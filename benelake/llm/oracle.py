@@ -29,7 +29,7 @@ FROM d LEFT JOIN marked m USING (doc_id) GROUP BY d.doc_id""",
     "op3_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, {_words(f'translate(text, {_LETTERS})', _ALNUM)} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words(f'translate(text, {_LETTERS})', _ALNUM)} AS w FROM benchmark),
-sized AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0 AND item IS NOT NULL),
+sized AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
 runs AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS k
     FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
 sizes AS (SELECT DISTINCT n FROM runs),
@@ -37,7 +37,7 @@ starts AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, si
 hits AS (SELECT doc_id, i, n, item FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS k FROM starts) s JOIN runs USING (n, k)),
 hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
 hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-    FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
     CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AS contaminated

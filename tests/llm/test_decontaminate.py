@@ -12,9 +12,8 @@ def plain(rows, items, window=10):
     runs = {}
     for i, t in items:
         w = words(t)
-        if i is not None and w:
-            for j in range(max(1, len(w) - window + 1)):
-                runs.setdefault(tuple(w[j : j + window]), set()).add(str(i))
+        for j in range(max(1, len(w) - window + 1) if w else 0):
+            runs.setdefault(tuple(w[j : j + window]), set()).update([str(i)] if i is not None else [])
     out = []
     for i, t in rows:
         w, ids = words(t), set()
