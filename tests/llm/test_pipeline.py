@@ -2,6 +2,7 @@ import re
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from benelake.llm import queries
@@ -15,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {re.match(r"op\d+_", n)[0] for n in queries.QUERIES} == {f"op{n}_" for n in range(1, 11)}
+    assert {re.match(r"op\d+_", n)[0] for n in queries.QUERIES} == {f"op{n}_" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert set(__spark_entry__.oracle_sql()) <= set(names)
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
@@ -94,3 +95,15 @@ def test_texts_of_one_id_go_only_for_texts_like_their_own(spark):
     for order in (rows_, rows_[::-1]):
         got = rows(corpus_pipeline.near_duplicates(spark, spark.createDataFrame(order, schema).repartition(3), SF))
         assert sorted(got, key=str) == sorted(wanted, key=str)
+
+
+RESULTS = ["toxic_score", "N_Shingles", "component_id", "n_words", "n_removed", "kept_text", "n_hit", "hit_spans", "item_ids", "n_items", "contaminated", "slice", "row_number"]
+
+
+def test_a_users_columns_survive_every_stage(spark):
+    frame = table(spark, SF, "documents").limit(60).drop("n_chars").withColumns({c: F.lit(42) for c in RESULTS})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = written(stage(spark, frame, SF))
+        assert after.columns == frame.columns and after.count() > 10
+        assert after.select(*RESULTS).distinct().collect() == [(42,) * len(RESULTS)]
+        frame = after
