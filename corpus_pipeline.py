@@ -10,7 +10,7 @@ rejects them, and an empty table passes through every stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benelake.llm.decontaminate import find_contamination
@@ -27,23 +27,32 @@ PASSAGE = 50  # words of the shortest passage that counts as repeated
 SEQUENCE = 1024  # tokens
 
 
+def _beside(docs: DataFrame, results: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with columns that are named like one of an operator's
+    ``results`` set aside, and what gives the columns of ``docs`` back."""
+    aside = {c: free_name(docs, f"own_{c}") for c in docs.columns if c.lower() in results.split()}
+    return docs.withColumnsRenamed(aside), [F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that score ``TOXIC`` or more, by a model of all
     labelled documents."""
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    scored = score_toxicity(docs.withColumn("toxic_score", F.lit(0.0)), model, score="toxic_score", sentences=None)
-    return scored.where(F.col("toxic_score") < TOXIC).select(docs.columns)
+    score = free_name(docs, "toxic_score")
+    scored = score_toxicity(docs, model, score=score, sentences=None)
+    return scored.where(F.col(score) < TOXIC).select([f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each group of near copies the document with the smallest id. A
     document without words, or without an id, is a group of its own. Of an id
     with several texts each is a document: it goes only for a text like its own."""
+    docs, columns = _beside(docs, "n_shingles component_id")
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
     if repeated:
-        return _near_duplicates_of_rows(docs)
+        return _near_duplicates_of_rows(docs).select(columns)
     found = near_duplicate_components(docs, shingle=SHINGLE, share=SIMILAR)
-    return found.where(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select(docs.columns)
+    return found.where(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select(columns)
 
 
 def _near_duplicates_of_rows(docs: DataFrame) -> DataFrame:
@@ -63,18 +72,21 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Cut passages of ``PASSAGE`` words or more that a document with a smaller
     id holds too. Other texts stay as they are; a document of which nothing is
     left goes."""
-    found = remove_repeats(docs, window=PASSAGE, kept_text="kept_text")
+    beside, columns = _beside(docs, "n_words n_removed kept_text")
+    found = remove_repeats(beside, window=PASSAGE, kept_text="kept_text")
     cut = F.col("n_removed") > 0
-    text = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
-    size = F.when(cut, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    new = {"text": F.when(cut, F.col("kept_text")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(cut, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     left = found.where(~cut | (F.col("n_removed") < F.col("n_words")))
-    return left.select(*[text.alias(c) if c == "text" else size.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    return left.select(*[new[c].alias(c) if c in new else own for c, own in zip(docs.columns, columns, strict=True)])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold text of a benchmark item."""
+    docs, columns = _beside(docs, "n_words hit_spans n_hit item_ids n_items contaminated")
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select(docs.columns)
+    return found.where(~F.col("contaminated")).select(columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
