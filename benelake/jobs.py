@@ -4,7 +4,8 @@
     python -m benelake.jobs sample --input raw.csv --output DIR
     python -m benelake.jobs full --input raw.csv [--min-rows N] [--manifest-output M]
     python -m benelake.jobs profile --input raw.csv --output DIR
-    python -m benelake.jobs explore --output DIR [--namespace N]
+    python -m benelake.jobs explore --output DIR [--namespace N] [--states CA,TX] [--age-bands 65-74,85+]
+        [--conditions has_chf] [--status Alive] [--max-bins 40]
 
 The session comes from ``SparkSession.builder`` (the cluster launcher sets
 master and ``spark.checkpoint.dir``); every write is a full overwrite.
@@ -19,7 +20,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .operators import cohort
+from .operators import cohort, cube, histogram
 from .plans import explore, lakehouse, pipeline, profile, sample
 from .schemas import MIN_EXPECTED_ROWS
 from .session import build_session
@@ -66,14 +67,22 @@ def run_profile(spark: SparkSession, input_path: str, output: str) -> dict:
     return out
 
 
-def run_explore(spark: SparkSession, namespace: str, output: str) -> dict:
-    """Figures of all beneficiaries and by state, from the marts that an
-    earlier run left in the catalog."""
+def run_explore(spark: SparkSession, namespace: str, output: str, states: list[str] | None = None, age_bands: list[str] | None = None,
+                conditions: list[str] | None = None, status: str = "All", max_bins: int = 40) -> dict:
+    """Figures of a cohort: kpis, states, prevalence and the histogram of costs,
+    from the marts that an earlier run left in the catalog. The marts are joined
+    once, into the cohort cube under ``output``; the figures are sums over its
+    cells. The histogram alone reads the cohort's rows."""
     frame = explore.load_explorer(spark, "marts", namespace=namespace)
-    views = {"kpis": cohort.kpis(frame), "states": cohort.state_table(frame)}
+    writers.overwrite_parquet(cube.build(frame), f"{output}/_cube")
+    chosen = (states, age_bands, conditions, status)
+    cells = cube.cells(spark.read.parquet(f"{output}/_cube"), *chosen)
+    rows = cohort.cohort_filter(frame, *chosen)
+    views = {"kpis": cube.kpis(cells), "states": cube.state_table(cells), "prevalence": cube.condition_ranking(cells),
+             "histogram": histogram.histogram(rows, "total_medicare_reimbursement", max_bins)}
     for name, df in views.items():
         df.write.mode("overwrite").json(f"{output}/{name}")
-    return {name: f"{output}/{name}" for name in views}
+    return {name: f"{output}/{name}" for name in views} | {"cards": cohort.kpi_display(cube.kpis(cells)).first().asDict()}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -97,6 +106,10 @@ def main(argv: list[str] | None = None) -> int:
     ex = sub.add_parser("explore")
     ex.add_argument("--namespace", default=pipeline.Namespaces.marts)
     ex.add_argument("--output", required=True)
+    for name in ("states", "age-bands", "conditions"):  # comma-separated
+        ex.add_argument(f"--{name}", type=lambda text: text.split(","))
+    ex.add_argument("--status", default="All", choices=cohort.STATUSES)
+    ex.add_argument("--max-bins", type=int, default=40)
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -107,7 +120,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "profile":
         result = run_profile(spark, args.input, args.output)
     elif args.cmd == "explore":
-        result = run_explore(spark, args.namespace, args.output)
+        result = run_explore(spark, args.namespace, args.output, args.states, args.age_bands, args.conditions, args.status, args.max_bins)
     else:
         raw = csv_src.read_raw_csv(spark, args.input)
         run = pipeline.run_full(spark, raw, min_expected_rows=args.min_rows, source_path=args.input)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import codes, dates, money
-from .operators import cohort, dedupe, histogram, profiling, quality, reconcile, sampling
+from .operators import cohort, cube, dedupe, histogram, profiling, quality, reconcile, sampling
 from .plans import explore, lakehouse, sample, tiles, warehouse
 from .schemas import (
     CONDITION_FLAGS,
@@ -72,6 +72,10 @@ def _wide_cohort(spark, d):
     return cohort.cohort_filter(_explorer(spark, d), age_bands=WIDE_COHORT_BANDS)
 
 
+def _cube(spark, d):
+    return cube.build(_explorer(spark, d))
+
+
 # ---------------------------------------------------------------------------
 # lakehouse
 # ---------------------------------------------------------------------------
@@ -221,24 +225,29 @@ def q_explorer_frame_raw(spark, d):
     return _explorer(spark, d, "raw")
 
 
+def q_cohort_cube(spark, d):
+    cells = _cube(spark, d)
+    return cells.withColumn("paid", F.col("paid").cast("double"))
+
+
 def q_cohort_filter(spark, d):
     return _cohort(spark, d)
 
 
 def q_cohort_kpis(spark, d):
-    return cohort.kpis(_cohort(spark, d))
+    return cube.kpis(cube.cells(_cube(spark, d), COHORT_STATES, COHORT_BANDS, COHORT_CONDITIONS, COHORT_STATUS))
 
 
 def q_cohort_kpis_empty(spark, d):
-    return cohort.kpis(cohort.cohort_filter(_explorer(spark, d), states=EMPTY_COHORT_STATES))
+    return cube.kpis(cube.cells(_cube(spark, d), states=EMPTY_COHORT_STATES))
 
 
 def q_cohort_state_table(spark, d):
-    return cohort.state_table(_wide_cohort(spark, d))
+    return cube.state_table(cube.cells(_cube(spark, d), age_bands=WIDE_COHORT_BANDS))
 
 
 def q_cohort_prevalence(spark, d):
-    return cohort.prevalence(_wide_cohort(spark, d))
+    return cube.prevalence(cube.cells(_cube(spark, d), age_bands=WIDE_COHORT_BANDS))
 
 
 def q_cohort_histogram(spark, d):
@@ -246,11 +255,11 @@ def q_cohort_histogram(spark, d):
 
 
 def q_condition_rank_labelled(spark, d):
-    return cohort.condition_ranking(_explorer(spark, d))
+    return cube.condition_ranking(_cube(spark, d))
 
 
 def q_state_options(spark, d):
-    return cohort.state_options(_explorer(spark, d))
+    return cube.state_options(_cube(spark, d))
 
 
 # ---------------------------------------------------------------------------
@@ -546,6 +555,7 @@ QUERIES: dict[str, Query] = {
     # explorer
     "explorer_frame": q_explorer_frame,
     "explorer_frame_raw": q_explorer_frame_raw,
+    "cohort_cube": q_cohort_cube,
     "cohort_filter": q_cohort_filter,
     "cohort_kpis": q_cohort_kpis,
     "cohort_kpis_empty": q_cohort_kpis_empty,

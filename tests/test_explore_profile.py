@@ -6,7 +6,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from benelake.operators import cohort, dedupe, histogram, profiling, quality, sampling
+from benelake.operators import cohort, cube, dedupe, histogram, profiling, quality, sampling
 from benelake.plans import explore, sample, warehouse
 from benelake.sources.adapter import member_raw
 
@@ -210,3 +210,66 @@ def test_explorer_row_recomputed_from_raw(frames, which):
     want = float(first["MEDREIMB_IP"]) + float(first["MEDREIMB_OP"]) + float(first["MEDREIMB_CAR"])
     assert row["total_medicare_reimbursement"] == pytest.approx(want)
     assert row["is_deceased"] == (first["BENE_DEATH_DT"] is not None)
+
+
+COHORTS = [
+    {}, {"states": ["CA", "TX"]}, {"age_bands": ["65-74", "85+"]}, {"conditions": ["has_diabetes", "has_chf"]}, {"conditions": ["has_stroke_or_tia"]},
+    {"status": "Alive"}, {"states": ["CA", "FL", "IL"], "age_bands": ["Under 65"], "conditions": ["has_cancer"], "status": "Deceased"}, {"states": ["OTHER"]},
+]
+
+
+@pytest.mark.parametrize("chosen", COHORTS)
+def test_every_figure_from_the_cube_is_the_row_level_one(frames, chosen, spark):
+    ex = frames[2].withColumn("total_medicare_reimbursement", F.when(F.col("desynpuf_id") != "Customer#000000007", F.col("total_medicare_reimbursement")))
+    rows, cells = cohort.cohort_filter(ex, **chosen), cube.cells(cube.build(ex), **chosen)
+    for of in ("kpis", "state_table", "prevalence", "condition_ranking", "state_options"):
+        assert getattr(cube, of)(cells).collect() == getattr(cohort, of)(rows).collect(), of
+
+
+def test_cubes_of_parts_add_up(frames):
+    ex = frames[3]
+    parts = cube.build(ex.where("age_band = '85+'")).unionByName(cube.build(ex.where("age_band <> '85+'")))
+    assert cube.kpis(parts).collect() == cube.kpis(cube.build(ex)).collect()
+    with pytest.raises(ValueError, match="unknown condition"):
+        cube.cells(parts, conditions=["has_nothing"])
+    with pytest.raises(ValueError, match="status"):
+        cube.cells(parts, status="Sick")
+
+
+def plain_histogram(values, max_bins):
+    import math
+
+    lo, hi = min(values), max(values)
+    span = (hi - lo) or abs(lo) or 1.0
+    base = 10.0 ** math.floor(math.log10(span / max_bins))
+    step = next(s for s in (base * m for m in histogram.LADDER) if math.floor(hi / s) - math.floor(lo / s) + 1 <= max_bins)
+    bins = {}
+    for v in values:
+        bins[math.floor(v / step)] = bins.get(math.floor(v / step), 0) + 1
+    return {(b * step, (b + 1) * step): n for b, n in bins.items()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_ladders_fold_into_the_same_bins(spark, seed, partitions, monkeypatch):
+    import numpy as np
+
+    r = np.random.default_rng(seed)
+    values = np.round(r.normal(100.0 * seed, 10.0 ** r.integers(0, 6, 30_000)), 2).tolist() + [-250_000.0 * seed] * 100
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double").repartition(partitions)
+    got = {(x["bin_start"], x["bin_end"]): x["count"] for x in histogram.histogram(df, "v", 40).collect()}
+    assert got == plain_histogram(values, 40) and len(got) <= 40
+
+
+def test_ladder_keeps_few_counts():
+    import numpy as np
+
+    r = np.random.default_rng(9)
+    parts = [r.normal(0, 10.0**k, 5000) for k in range(-3, 9)]
+    ladder = histogram.Ladder()
+    for p in parts:
+        ladder.add(p)
+        assert len(ladder.at) <= 2 * histogram.CELLS
+    assert ladder.counts.sum() == 60_000
+    whole = np.unique(np.floor(np.concatenate(parts) / 10.0**ladder.power))
+    assert ladder.at.tolist() == whole.tolist()

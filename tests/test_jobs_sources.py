@@ -135,6 +135,12 @@ def test_explore_job_reads_the_catalog(spark, tmp_dir):
     pipeline.run_warehouse(spark, raw, ns, run_tests=False)
     out = jobs.run_explore(spark.newSession(), "ex_m", os.path.join(tmp_dir, "explore"))
     assert spark.read.json(out["kpis"]).first()["beneficiaries"] == raw.count()
+    assert spark.read.json(out["histogram"]).agg(F.sum("count")).first()[0] == raw.count()
+    some = jobs.run_explore(spark.newSession(), "ex_m", os.path.join(tmp_dir, "some"), states=["CA", "TX"], status="Alive")
+    n = spark.read.json(some["kpis"]).first()["beneficiaries"]
+    assert 0 < n < raw.count() and some["cards"]["beneficiaries"] == str(n)
+    assert {r["state_abbr"] for r in spark.read.json(some["states"]).collect()} <= {"CA", "TX"}
+    assert spark.read.json(some["prevalence"]).count() == 11
 
 
 def test_cli_main_sample(spark, tmp_dir, capsys):
