@@ -7,12 +7,15 @@ column - never a driver loop issuing one job per column.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money
 from ..session import scratch_table
 from .doubles import digit_counts, from_key, moments, partial_sums
+from .frequent import most_frequent
 from .quantiles import interpolated, select_ranks, wanted_ranks
 
 PERCENTILES = (0.25, 0.5, 0.75)
@@ -55,12 +58,14 @@ def domains(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """``(value, count)`` of non-null values, most frequent first, ties by
-    value; ``top`` keeps the first n (a top-k report)."""
+    value; ``top`` gives the first n (a top-k report) without shuffling the
+    other values (``frequent``)."""
+    if top:
+        return most_frequent(df, column, top)
     counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
         F.count(F.lit(1)).alias("count")
     )
-    ordered = counted.orderBy(F.desc("count"), F.asc("value"))
-    return ordered.limit(top) if top else ordered
+    return counted.orderBy(F.desc("count"), F.asc("value"))
 
 
 def value_counts_by_column(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -77,10 +82,17 @@ def text_shares(df: DataFrame, columns: list[str], text: str) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Exact distinct non-null counts, ``(column_name, n_distinct)``."""
+    """Exact distinct non-null counts, ``(column_name, n_distinct)``. Each
+    column is a scan of its own that reads nothing else and combines equal
+    values before the shuffle; no row is copied per column, as one aggregate
+    over several distinct columns would."""
     cols = columns or df.columns
-    wide = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols])
-    return wide.unpivot([], cols, "column_name", "n_distinct")
+    each = [
+        df.select(F.col(f"`{c}`").alias("value")).where("value is not null").distinct()
+        .agg(F.count(F.lit(1)).alias("n_distinct")).select(F.lit(c).alias("column_name"), "n_distinct")
+        for c in cols
+    ]
+    return functools.reduce(DataFrame.unionByName, each)
 
 
 def describe(df: DataFrame, columns: list[str], scale: int | None = None, stored: bool = False) -> DataFrame:

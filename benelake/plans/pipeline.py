@@ -27,6 +27,7 @@ from ..schemas import (
     RAW_COLUMNS,
 )
 from ..sinks import versions, writers
+from ..sources import infer
 from . import landing, lakehouse, warehouse
 
 
@@ -218,7 +219,8 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
     else:
         test("raw", {"raw": raw})
         buckets = buckets or bucket_count(raw.count())
-        loaded = writers.publish(spark, versions.begin(warehouse.inferred_load(raw), typed, (buckets, ID_COLUMN)), typed)
+        types = infer.infer_types(raw, RAW_COLUMNS, warehouse.PINNED_TYPES)
+        loaded = writers.publish(spark, versions.begin(warehouse.inferred_load(raw, types), typed, (buckets, ID_COLUMN)), typed)
         models = warehouse.register_models(spark, loaded)
         for name in UPSTREAM:
             test(name, models)

@@ -41,6 +41,8 @@ from ..sinks.writers import replace_table
 # dates and counts become integers (dropping the zero of "05"), amounts
 # floats, the id and the Y/0 indicator text.
 _TEXT_AFTER_LOAD = {"DESYNPUF_ID", "BENE_ESRD_IND"}
+# Text whatever the data holds: a file without a "Y" still has an indicator.
+PINNED_TYPES = dict.fromkeys(_TEXT_AFTER_LOAD, "string")
 
 
 def load_types() -> dict[str, str]:
@@ -50,9 +52,11 @@ def load_types() -> dict[str, str]:
     }
 
 
-def inferred_load(raw: DataFrame) -> DataFrame:
-    """Raw text -> the typed table an inferring load produces (strict casts)."""
-    types = load_types()
+def inferred_load(raw: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
+    """Raw text -> the typed table of an inferring load (strict casts).
+    ``types`` are those found in the data (``sources.infer``); by default the
+    ones that the annual file has."""
+    types = types or load_types()
     return raw.select(*[F.col(c).cast(types[c]).alias(c) for c in RAW_COLUMNS])
 
 
@@ -61,22 +65,22 @@ def state_seed(spark: SparkSession) -> DataFrame:
 
 
 _FLAG_SQL = ",\n    ".join(f"({raw} = 1) AS {flag}" for raw, flag in CONDITION_FLAGS.items())
-_MONEY_SQL = ",\n    ".join(f"{c} AS {c.lower()}" for c in MONEY_COLUMNS)
+_MONEY_SQL = ",\n    ".join(f"CAST({c} AS DOUBLE) AS {c.lower()}" for c in MONEY_COLUMNS)
 
 STAGING_SQL = f"""
 SELECT
     DESYNPUF_ID AS desynpuf_id,
     to_date(CAST(BENE_BIRTH_DT AS STRING), 'yyyyMMdd') AS birth_date,
     to_date(CAST(BENE_DEATH_DT AS STRING), 'yyyyMMdd') AS death_date,
-    BENE_SEX_IDENT_CD AS sex_cd,
-    BENE_RACE_CD AS race_cd,
+    CAST(BENE_SEX_IDENT_CD AS BIGINT) AS sex_cd,
+    CAST(BENE_RACE_CD AS BIGINT) AS race_cd,
     BENE_ESRD_IND AS esrd_ind,
     lpad(CAST(SP_STATE_CODE AS STRING), 2, '0') AS state_code,
-    BENE_COUNTY_CD AS county_cd,
-    BENE_HI_CVRAGE_TOT_MONS AS hi_coverage_months,
-    BENE_SMI_CVRAGE_TOT_MONS AS smi_coverage_months,
-    BENE_HMO_CVRAGE_TOT_MONS AS hmo_coverage_months,
-    PLAN_CVRG_MOS_NUM AS plan_coverage_months,
+    CAST(BENE_COUNTY_CD AS BIGINT) AS county_cd,
+    CAST(BENE_HI_CVRAGE_TOT_MONS AS BIGINT) AS hi_coverage_months,
+    CAST(BENE_SMI_CVRAGE_TOT_MONS AS BIGINT) AS smi_coverage_months,
+    CAST(BENE_HMO_CVRAGE_TOT_MONS AS BIGINT) AS hmo_coverage_months,
+    CAST(PLAN_CVRG_MOS_NUM AS BIGINT) AS plan_coverage_months,
     {_FLAG_SQL},
     {_MONEY_SQL}
 FROM {{raw}}
