@@ -38,13 +38,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benelake.llm import range_coder, text
-from benelake.llm.tables import importable, partitions, text_bytes
+from benelake.llm.tables import importable, text_bytes
 from benelake.llm.tokens import BLOCK, Encoder
 from benelake.session import ensure_checkpoint_dir
 
 MAGIC = b"CMRC"
-FILE_BYTES = 32 << 20  # text that goes into a file
-GROUP_IDS = 4096 * range_coder.BLOCK  # ids that are coded in step
+FILE_BYTES = 24 << 20  # text that goes into a file
+GROUP_IDS = 6144 * range_coder.BLOCK  # ids that are coded in step: most files are one group
 
 
 def _group(ids: np.ndarray) -> bytes:
@@ -124,7 +124,7 @@ def write_token_files(docs: DataFrame, path: str, end: int, folder: str | None =
     spark = docs.sparkSession
     importable(spark)
     folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ids-{uuid.uuid4().hex}"
-    files = max(partitions(spark), -(-text_bytes(docs, column) // file_bytes))
+    files = max(1, -(-text_bytes(docs, column) // file_bytes))
     bare = docs.select(F.col(id_column).cast("long").alias("id"), F.col(column).alias("text"))
     # the hash belongs to the ranges too, so many rows of one id make many files
     tied = bare.withColumn("tie", F.xxhash64("text"))
