@@ -2,7 +2,8 @@
 
     python -m benelake.jobs lakehouse --input raw.csv --bronze-output B --silver-output S [--gold-output G]
     python -m benelake.jobs sample --input raw.csv --output DIR
-    python -m benelake.jobs full --input raw.csv [--min-rows N] [--manifest-output M]
+    python -m benelake.jobs full --input raw.csv [--min-rows N] [--manifest-output M] [--seed states.csv]
+    python -m benelake.jobs fixtures
     python -m benelake.jobs profile --input raw.csv --output DIR
     python -m benelake.jobs explore --output DIR [--namespace N] [--states CA,TX] [--age-bands 65-74,85+]
         [--conditions has_chf] [--status Alive] [--max-bins 40]
@@ -21,7 +22,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .operators import cohort, cube, histogram
-from .plans import explore, lakehouse, pipeline, profile, sample
+from .plans import explore, fixtures, lakehouse, pipeline, profile, sample
 from .schemas import MIN_EXPECTED_ROWS
 from .session import build_session
 from .sinks import writers
@@ -100,6 +101,7 @@ def main(argv: list[str] | None = None) -> int:
     fu.add_argument("--input", required=True)
     fu.add_argument("--min-rows", type=int, default=MIN_EXPECTED_ROWS)
     fu.add_argument("--manifest-output")
+    fu.add_argument("--seed", help="CSV of state_code, state_abbr, state_name in place of the built-in list")
     pr = sub.add_parser("profile")
     pr.add_argument("--input", required=True)
     pr.add_argument("--output", required=True)
@@ -110,6 +112,7 @@ def main(argv: list[str] | None = None) -> int:
         ex.add_argument(f"--{name}", type=lambda text: text.split(","))
     ex.add_argument("--status", default="All", choices=cohort.STATUSES)
     ex.add_argument("--max-bins", type=int, default=40)
+    sub.add_parser("fixtures")
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -119,11 +122,14 @@ def main(argv: list[str] | None = None) -> int:
         result = run_sample(spark, args.input, args.output)
     elif args.cmd == "profile":
         result = run_profile(spark, args.input, args.output)
+    elif args.cmd == "fixtures":
+        result = {"models": fixtures.run_fixtures(spark)}
     elif args.cmd == "explore":
         result = run_explore(spark, args.namespace, args.output, args.states, args.age_bands, args.conditions, args.status, args.max_bins)
     else:
         raw = csv_src.read_raw_csv(spark, args.input)
-        run = pipeline.run_full(spark, raw, min_expected_rows=args.min_rows, source_path=args.input)
+        seed = csv_src.read_seed_csv(spark, args.seed) if args.seed else None
+        run = pipeline.run_full(spark, raw, min_expected_rows=args.min_rows, source_path=args.input, seed=seed)
         if args.manifest_output:
             writers.write_manifest(spark.table(run.tables["manifest"]), args.manifest_output)
         result = {"counts": run.counts, "reconciled": run.extra["reconciled"]}

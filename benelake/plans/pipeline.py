@@ -187,7 +187,8 @@ def data_tests(models: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_contracts: bool = True,
-                  run_tests: bool = True, buckets: int | None = None, run: str | None = None, prepared: bool = False) -> RunResult:
+                  run_tests: bool = True, buckets: int | None = None, run: str | None = None, prepared: bool = False,
+                  seed: DataFrame | None = None) -> RunResult:
     """Seed -> staging -> intermediate -> marts, each model tested before
     anything reads it.
 
@@ -215,16 +216,16 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
     typed = f"{ns.raw}.beneficiary_summary_typed"
     if known := landing.published_notes(spark, typed, run):
         loaded, buckets = spark.table(typed), int(known["buckets"])
-        models = warehouse.register_models(spark, loaded)
+        models = warehouse.register_models(spark, loaded, seed)
     else:
         test("raw", {"raw": raw})
         buckets = buckets or bucket_count(raw.count())
         types = infer.infer_types(raw, RAW_COLUMNS, warehouse.PINNED_TYPES)
         loaded = writers.publish(spark, versions.begin(warehouse.inferred_load(raw, types), typed, (buckets, ID_COLUMN)), typed)
-        models = warehouse.register_models(spark, loaded)
+        models = warehouse.register_models(spark, loaded, seed)
         for name in UPSTREAM:
             test(name, models)
-        warehouse.create_views(spark, ns.marts, typed)
+        warehouse.create_views(spark, ns.marts, typed, seed)
         versions.annotate(spark, typed, {"run": run, "buckets": buckets})  # loaded and tested
     bucketed = {"dim_beneficiary", "fct_beneficiary_annual_cost"}
     for name in warehouse.MART_NAMES:
@@ -253,7 +254,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, ns: Namespaces, enforce_c
 
 
 def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None, min_expected_rows: int = MIN_EXPECTED_ROWS,
-             tolerance: float = 1.0, source_path: str | None = None, parallel: bool = True) -> RunResult:
+             tolerance: float = 1.0, source_path: str | None = None, parallel: bool = True, seed: DataFrame | None = None) -> RunResult:
     """Ingest, then the two paths (independent Spark actions, submitted from
     two driver threads so the scheduler overlaps them), then reconcile the
     gold cost summary against the fact table (raises on mismatch). Stage
@@ -273,11 +274,11 @@ def run_full(spark: SparkSession, raw: DataFrame, ns: Namespaces | None = None,
     if parallel:
         with ThreadPoolExecutor(max_workers=2, thread_name_prefix="benelake-path") as pool:
             lake_f = pool.submit(_timed, run_lakehouse, spark, landed, ns, **given)
-            wh_f = pool.submit(_timed, run_warehouse, spark, landed, ns, **given)
+            wh_f = pool.submit(_timed, run_warehouse, spark, landed, ns, seed=seed, **given)
             (lake, clock["lakehouse"]), (wh, clock["warehouse"]) = lake_f.result(), wh_f.result()
     else:
         lake, clock["lakehouse"] = _timed(run_lakehouse, spark, landed, ns, **given)
-        wh, clock["warehouse"] = _timed(run_warehouse, spark, landed, ns, **given)
+        wh, clock["warehouse"] = _timed(run_warehouse, spark, landed, ns, seed=seed, **given)
     clock["paths"] = time.perf_counter() - t
     t = time.perf_counter()
     agreed = rec.reconcile(

@@ -263,9 +263,10 @@ class Models(Mapping):
         return out
 
 
-def register_models(spark: SparkSession, loaded_raw: DataFrame) -> Models:
-    """The models over ``loaded_raw``, the typed raw table (``inferred_load``)."""
-    return Models(spark, raw=loaded_raw)
+def register_models(spark: SparkSession, loaded_raw: DataFrame, seed: DataFrame | None = None) -> Models:
+    """The models over ``loaded_raw``, the typed raw table (``inferred_load``),
+    and the states of ``seed`` (by default the built-in ones)."""
+    return Models(spark, raw=loaded_raw, **({"ssa_state_codes": seed} if seed is not None else {}))
 
 
 def build_from_raw(spark: SparkSession, raw_text: DataFrame) -> Models:
@@ -273,10 +274,10 @@ def build_from_raw(spark: SparkSession, raw_text: DataFrame) -> Models:
     return register_models(spark, inferred_load(raw_text))
 
 
-def create_views(spark: SparkSession, namespace: str, raw_table: str) -> None:
+def create_views(spark: SparkSession, namespace: str, raw_table: str, seed: DataFrame | None = None) -> None:
     """Keep the seed as a table, and staging and the intermediate models as
     views of ``namespace`` over ``raw_table``, for other sessions to read."""
-    replace_table(state_seed(spark).coalesce(1), f"{namespace}.ssa_state_codes")
+    replace_table((seed if seed is not None else state_seed(spark)).coalesce(1), f"{namespace}.ssa_state_codes")
     for name in VIEW_NAMES:
         text, reads = MODELS[name]
         tables = {k: raw_table if m == "raw" else f"{namespace}.{m}" for k, m in reads.items()}

@@ -144,6 +144,10 @@ def q_gold_prevalence(spark, d):
     return lakehouse.gold_prevalence(_silver(spark, d))
 
 
+def q_gold_prevalence_ordered(spark, d):
+    return lakehouse.ordered_prevalence(lakehouse.gold_prevalence(_silver(spark, d)))
+
+
 def q_path_metrics(spark, d):
     return reconcile.path_metrics(lakehouse.gold_cost_summary(_silver(spark, d)))
 
@@ -537,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "condition_count_dist": q_condition_count_dist,
     "gold_cost_summary": q_gold_cost_summary,
     "gold_prevalence": q_gold_prevalence,
+    "gold_prevalence_ordered": q_gold_prevalence_ordered,
     "path_metrics": q_path_metrics,
     "silver_preview": q_silver_preview,
     # warehouse

@@ -150,3 +150,30 @@ def test_cli_main_sample(spark, tmp_dir, capsys):
     assert jobs.main(["sample", "--input", src, "--output", os.path.join(tmp_dir, "cli_sample")]) == 0
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["source_rows"] == member_raw(spark, SF).count() and report["sample_rows"] > 0
+
+
+def test_model_fixtures(spark, monkeypatch):
+    import pytest
+
+    from benelake.operators import quality
+    from benelake.plans import fixtures
+
+    assert fixtures.run_fixtures(spark) == list(fixtures.CASES)
+    rows, (first, *rest) = fixtures.CASES["dim_beneficiary"]
+    monkeypatch.setitem(fixtures.CASES, "dim_beneficiary", (rows, [{**first, "age_band": "85+"}, *rest]))
+    with pytest.raises(quality.DataQualityError, match="dim_beneficiary: p.age_band"):
+        fixtures.run_fixtures(spark)
+
+
+def test_a_seed_file_takes_the_place_of_the_built_in_states(spark, tmp_dir):
+    from benelake.plans import pipeline
+
+    path = os.path.join(tmp_dir, "seed.csv")
+    with open(path, "w") as fh:
+        fh.write("state_code,state_abbr,state_name\n")
+        fh.writelines(f"{c},{a.lower()},{n}\n" for c, a, n in SSA_STATES)
+    state = F.when(F.col("SP_STATE_CODE") == "40", F.lit("54")).otherwise(F.col("SP_STATE_CODE"))
+    raw = member_raw(spark, SF).fillna({"SP_STRKETIA": "2"}).withColumn("SP_STATE_CODE", state)
+    ns = pipeline.Namespaces(raw="sd_raw", bronze="sd_b", silver="sd_s", gold="sd_g", marts="sd_m")
+    pipeline.run_warehouse(spark, raw, ns, run_tests=False, seed=csv_src.read_seed_csv(spark, path))
+    assert all(r[0].islower() for r in spark.table("sd_m.dim_beneficiary").select("state_abbr").distinct().collect())
