@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>", re.S)
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # Fixed values of HTML.
@@ -47,6 +47,7 @@ _TABLES = frozenset(["table"])
 _CLUTTER_TAGS = frozenset("script style noscript template textarea title head form button select option input iframe object embed svg canvas audio video map nav menu footer aside dialog".split())
 _CLUTTER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar tablist form".split())
 _CLUTTER_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense adslot adbox sponsor sponsored promo promotion promoted banner cookie cookies consent gdpr notice notices nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidenav rail widget widgets footer masthead comment comments commentlist disqus reply replies respond share sharing social related recommended recommendations newsletter subscribe subscription signup login popup modal overlay toolbar pagination pager skip hidden outbrain taboola topbar".split())
+_COMMENT_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
 _HEADER_NAMES = frozenset("header topnav siteheader".split())
 _MODIFIERS = frozenset("no non not has have with without free".split())  # has-sidebar, ad-free: about another element
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -54,12 +55,12 @@ _LOWERED = 0.25  # share of the points that text under a name of clutter passes
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "order", "score", "chars", "linked", "named", "inside", "holds", "prose")
+    __slots__ = ("tag", "parent", "order", "score", "chars", "linked", "named", "inside", "holds", "prose", "flag")
 
     def __init__(self, tag: str, parent, order: int):
         self.tag, self.parent, self.order = tag, parent, order
         self.score, self.chars, self.linked = 0.0, 0, 0
-        self.named, self.inside, self.holds, self.prose = 0, False, False, False
+        self.named, self.inside, self.holds, self.prose, self.flag = 0, False, False, False, False
 
 
 def _is_clutter(tag: str, attributes: str, in_article: bool) -> bool:
@@ -81,7 +82,8 @@ def _is_clutter(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 def _named(tag: str, attributes: str, in_article: bool) -> int:
-    """2 if a class or an id is a name of clutter, 1 if one has such a part."""
+    """3 if a class or an id names reader comments, 2 if other clutter, 1 if
+    one has such a name as a part."""
     if not attributes or tag in ("html", "body") or tag in _HEADINGS:
         return 0
     names, found = _CLUTTER_NAMES if in_article else _CLUTTER_NAMES | _HEADER_NAMES, 0
@@ -90,17 +92,21 @@ def _named(tag: str, attributes: str, in_article: bool) -> int:
             for word in next((v for v in values if v), "").split():
                 parts = {p.lower() for p in _PART.findall(word)}
                 if parts & names and not parts & _MODIFIERS:
-                    found = max(found, 2 if parts <= names or word.lower() in names else 1)
+                    whole = (parts <= names or word.lower() in names) and parts != {"social"}  # which may be its subject
+                    found = max(found, 1 if not whole else 3 if parts & _COMMENT_NAMES else 2)
     return found
 
 
 def _is_cut(node: _Node, unlinked: int) -> bool:
     """Whether an element goes for its name; ``unlinked``: text of the page
-    outside links. None goes that holds the article, or most of that text; one
-    of which the name is only a part goes if it is links, or, outside of the
+    outside links. None goes that holds the article, and reader comments go
+    however long they are. Of the others none goes that holds most of that text;
+    one of which the name is only a part goes if it is links, or, outside of the
     article, without running text."""
     if not node.named or not node.inside and (node.holds or node.tag in ("article", "main")):
         return False
+    if node.named == 3:
+        return True
     if 2 * (node.chars - node.linked) > unlinked:
         return False
     if node.named == 2 or node.linked * 4 >= node.chars:
@@ -114,22 +120,36 @@ def _up(node: _Node | None):
         node = node.parent
 
 
-def _uncluttered(blocks: list[tuple[_Node, str, int]]) -> list[tuple[_Node, str, int]]:
+def _weigh(nodes: list[_Node], blocks: list[tuple[_Node, str, int]]) -> None:
+    """Characters of text and of linked text under each element, and whether
+    there is running text: from the leaves up, once. ``nodes`` are in the order
+    of their start tags."""
+    for at in nodes:
+        at.chars, at.linked, at.prose = 0, 0, False
+    for own, text, linked in blocks:
+        own.chars += len(text)
+        own.linked += min(linked, len(text))
+        own.prose |= linked * 4 < len(text) and (len(text) > 80 or re.search(r"\.( |$)", text) is not None)
+    for at in reversed(nodes[1:]):
+        at.parent.chars += at.chars
+        at.parent.linked += at.linked
+        at.parent.prose |= at.prose
+
+
+def _mark(nodes: list[_Node], test) -> None:
+    """Flag the elements that pass ``test`` and all below them."""
+    for at in nodes:
+        at.flag = test(at) or at.parent is not None and at.parent.flag
+
+
+def _uncluttered(nodes: list[_Node], blocks: list[tuple[_Node, str, int]]) -> list[tuple[_Node, str, int]]:
     """The blocks outside of elements that go for their names; all if none is left."""
-    if not any(n.named for own, _, _ in blocks for n in _up(own)):
+    if not any(n.named for n in nodes):
         return blocks
-    for own, text, linked in blocks:
-        prose = linked * 4 < len(text) and (len(text) > 80 or re.search(r"\.( |$)", text) is not None)
-        for at in _up(own):
-            at.chars += len(text)
-            at.linked += min(linked, len(text))
-            at.prose |= prose
+    _weigh(nodes, blocks)
     unlinked = sum(len(t) - min(n, len(t)) for _, t, n in blocks)
-    left = [b for b in blocks if not any(_is_cut(n, unlinked) for n in _up(b[0]))]
-    for own, _, _ in blocks:
-        for at in _up(own):
-            at.chars = at.linked = 0
-    return left or blocks
+    _mark(nodes, lambda n: _is_cut(n, unlinked))
+    return [b for b in blocks if not b[0].flag] or blocks
 
 
 def main_text(page: str | None) -> str:
@@ -139,6 +159,7 @@ def main_text(page: str | None) -> str:
     root = _Node("#", None, 0)
     stack: list[tuple[str, _Node | None]] = []  # open elements; inline ones without a node
     node, blocks, skipped = root, [], 0  # skipped: depth of the stack at which clutter began
+    nodes, standing = [root], []  # all elements with a node; places in the stack of the open ones
     pieces: list[str] = []
     linked, in_link, articles, order = 0, 0, 0, 0
 
@@ -156,6 +177,7 @@ def main_text(page: str | None) -> str:
         while len(stack) > depth:
             tag, own = stack.pop()
             if own is not None:
+                standing.pop()
                 finish()
                 node = own.parent
                 articles -= tag in ("article", "main")
@@ -165,7 +187,7 @@ def main_text(page: str | None) -> str:
             skipped = 0
 
     def opened(*names: str, within: frozenset = frozenset()) -> int:
-        for i in range(len(stack) - 1, -1, -1):
+        for i in reversed(standing) if names[0] in _BLOCK else range(len(stack) - 1, -1, -1):
             if stack[i][0] in names:
                 return i
             if stack[i][0] in within:
@@ -222,6 +244,8 @@ def main_text(page: str | None) -> str:
             finish()
             order += 1
             node = _Node(tag, node, order)
+            nodes.append(node)
+            standing.append(len(stack))
             stack.append((tag, node))
             if not skipped:
                 node.named, node.inside = _named(tag, attributes, articles > 0), articles > 0
@@ -232,20 +256,22 @@ def main_text(page: str | None) -> str:
         else:
             stack.append((tag, None))
             in_link += tag == "a"
-        named = tag not in _BLOCK and "-" not in tag and _named(tag, attributes, articles > 0) == 2  # a block is weighed at the end
+        named = tag not in _BLOCK and "-" not in tag and _named(tag, attributes, articles > 0) > 1  # a block is weighed at the end
         if not skipped and (named or _is_clutter(tag, attributes, articles > 0)):
             skipped = len(stack)
     pop_to(0)
     finish()
-    return _best(_uncluttered(blocks))
+    return _best(nodes, _uncluttered(nodes, blocks))
 
 
-def _best(blocks: list[tuple[_Node, str, int]]) -> str:
+def _best(nodes: list[_Node], blocks: list[tuple[_Node, str, int]]) -> str:
     """Score the containers of the blocks and keep the best one's."""
     scored: dict[int, _Node] = {}
+    _weigh(nodes, blocks)
+    _mark(nodes, lambda n: n.named and not n.inside)
     for own, text, linked in blocks:
         points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - min(linked / len(text), 1))
-        if any(n.named and not n.inside for n in _up(own)):
+        if own.flag:
             points *= _LOWERED
         at = own if own.tag in ("div", "section", "article", "main", "body", "#") else own.parent
         for share in (1, 2, 3):
@@ -254,11 +280,6 @@ def _best(blocks: list[tuple[_Node, str, int]]) -> str:
             at.score += points / share
             scored[at.order] = at
             at = at.parent
-        at = own
-        while at is not None:
-            at.chars += len(text)
-            at.linked += min(linked, len(text))
-            at = at.parent
     value = lambda n: n.score * (1 - n.linked / max(n.chars, 1))
     best = max(scored.values(), key=lambda n: (value(n), -n.order), default=None)
     if best is None or best.tag in ("html", "#"):
@@ -275,23 +296,32 @@ def _best(blocks: list[tuple[_Node, str, int]]) -> str:
             at = at.parent
         return at
 
-    own_name = lambda n: n.named and n.parent is not None and not any(x is n for x in _up(best))
+    above = {id(x) for x in _up(best)}
+    own_name = lambda n: n.named and n.parent is not None and id(n) not in above
     top = outer(whole or best)
     kept = {id(whole or best)}
     if whole is not None and whole.tag == "article":  # and the articles next to it
-        for at in {id(x): x for own, _, _ in blocks for x in _up(own) if x.tag == "article" and not x.inside}.values():
-            if outer(at).parent is top.parent and at.linked * 2 < at.chars and not any(own_name(n) for n in _up(at)):
+        _mark(nodes, own_name)
+        for at in nodes:
+            if at.tag == "article" and not at.inside and at.chars and outer(at).parent is top.parent and at.linked * 2 < at.chars and not at.flag:
                 kept.add(id(at))
+    _mark(nodes, lambda n: id(n) in kept)
+    # next to the best container stands the part of the page that each element belongs to
+    beside: dict[int, tuple[_Node | None, bool]] = {id(top.parent): (None, False)}
+    for at in nodes:
+        if at.parent is not None and id(at.parent) in beside:
+            part, named = beside[id(at.parent)]
+            beside.setdefault(id(at), (part or at, named or bool(own_name(at))))
     out = []
     for own, text, linked in blocks:
-        if any(id(n) in kept for n in _up(own)):
+        if own.flag:
             out.append(text)
-        elif whole is None and linked * 4 < len(text):
-            # next to the best container: all that isn't links; under a name of clutter only what scores well too
-            at, part, named = own, None, False
-            while at is not None and at is not top.parent:
-                at, part, named = at.parent, at, named or own_name(at)
-            if at is not None and (part is None or part.linked * 4 < part.chars) and (not named or value(part) >= 0.2 * value(best)):
+        elif whole is None and id(own) in beside:
+            # all that isn't links; under a name of clutter only what scores well too
+            part, named = beside[id(own)]
+            plain = linked * 4 < len(text) and (part is None or part.linked * 4 < part.chars)
+            sentence = own.tag == "p" and own is part and len(text) - linked > 3 and text[-1] in ".!?"
+            if (plain or sentence) and (not named or value(part) >= 0.2 * value(best)):
                 out.append(text)
     return "\n\n".join(out)
 

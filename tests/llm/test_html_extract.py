@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -97,3 +98,39 @@ def test_tables(spark):
     page = "<article>" + "<p>x</p>" * 20000
     rows = extract_text(spark.createDataFrame([(1, None, None, 4, "c"), (None, "u", page, 5, None), (None, "u", page, 5, None)], schema)).collect()
     assert [(r["page_id"], r["url"], r["n_chars"]) for r in rows] == [(1, None, 0), (None, "u", 59998), (None, "u", 59998)]
+
+
+def test_a_quote_in_an_unquoted_attribute_is_no_string():
+    page = "<article><p title=it's>Hello world's text, which goes on.</p><p data-x=a\"b class='y > z'>And more.</p></article>"
+    assert main_text(page) == "Hello world's text, which goes on.\n\nAnd more."
+
+
+LONG = "".join(f"<p>Reader {i} says, at length, what he or she thinks of this article and of others.</p>" for i in range(9))
+
+
+@pytest.mark.parametrize("name", ["class=comments", "id=comments", 'class="comment-list replies"', "class=commentlist"])
+@pytest.mark.parametrize("inside", [True, False])
+def test_reader_comments_go_however_long(name, inside):
+    comments = f"<div {name}>{LONG}</div>"
+    article = "<p>The article is short, but it is the article.</p>"
+    page = f"<body><article>{article}{comments}</article></body>" if inside else f"<body><article>{article}</article>{comments}</body>"
+    assert main_text(page) == "The article is short, but it is the article."
+
+
+def test_a_sentence_with_a_long_link_stays():
+    page = "<div id=a><p>" + "</p><p>".join(["Some long paragraph, with commas, and with words, many words, to score well."] * 4) + "</p><p>See <a href=x>the full report of the committee</a>.</p></div><p>See <a href=x>the other full report</a>.</p><p><a href=y>Home</a> | <a href=z>About</a></p>"
+    got = main_text(f"<body>{page}</body>")
+    assert "See the full report of the committee." in got and got.endswith("See the other full report.")
+
+
+@pytest.mark.parametrize("page", ["<i>" * 5000 + "<p>word.</p>" * 5000, "<div><p>some text, here.</p>" * 3000])
+def test_deep_nesting_takes_linear_time(page):
+    began = time.process_time()
+    assert main_text(page).count(".") in (5000, 3000)
+    assert time.process_time() - began < 2
+
+
+def test_a_section_on_social_matters_stays():
+    links = "<section class='social'><a href=x>Share</a> <a href=y>Post</a></section>"
+    page = f"<article><p>First part of the text.</p><section class='social'><p>Social change is slow, as this part says.</p></section>{links}</article>"
+    assert main_text(page) == "First part of the text.\n\nSocial change is slow, as this part says."
