@@ -79,8 +79,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     held_out = remainder("doc_id", 3) == 1
     model = fit_toxicity(docs, labels.where(~held_out))
-    found = score_toxicity(docs, model, sentences=None)
-    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    found = score_toxicity(docs, model, sentences="offending")
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "offending")
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

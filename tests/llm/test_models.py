@@ -100,3 +100,13 @@ def test_filters_of_more_languages_than_a_word_has_bits(docs):
 @pytest.mark.parametrize("name", ["op4_quality_classifier", "op7_toxicity", "op10_language_id"])
 def test_every_document_gets_one_row(spark, name):
     assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() == 200
+
+
+def test_toxicity_query_locates_sentences(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op7_toxicity(spark, SF).collect()
+    toxic = [r for r in rows if r["predicted"] == 1]
+    assert sum(bool(r["offending"]) for r in toxic) >= 0.9 * len(toxic) > 0
+    for r in rows:
+        size = len((docs[r["doc_id"]] or "").encode())
+        assert all(0 <= s["first"] < s["end"] <= size and 0.5 <= s["score"] <= 1 for s in r["offending"])
