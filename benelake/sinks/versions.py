@@ -34,7 +34,7 @@ def _properties(spark: SparkSession, table: str) -> dict[str, str]:
 def _numbers(spark: SparkSession, name: str) -> list[int]:
     database, _, base = name.rpartition(".")
     place = f" IN `{database}`" if database else ""
-    found = [_NUMBERED.match(r["tableName"]) for r in spark.sql(f"SHOW TABLES{place} LIKE '{base}__v*'").collect()]
+    found = [_NUMBERED.match(r["tableName"]) for r in spark.sql(f"SHOW TABLES{place} LIKE '{base}__v*'").collect() if not r["isTemporary"]]
     return sorted(int(m[2]) for m in found if m and m[1] == base.lower())
 
 
@@ -131,7 +131,7 @@ def recover(spark: SparkSession, database: str) -> dict[str, int]:
     Returns the names whose version changed. Run it while nothing else writes."""
     found: dict[str, list[int]] = {}
     for r in spark.sql(f"SHOW TABLES IN `{database}`").collect():
-        if m := _NUMBERED.match(r["tableName"]):
+        if not r["isTemporary"] and (m := _NUMBERED.match(r["tableName"])):
             found.setdefault(m[1], []).append(int(m[2]))
     moved = {}
     for base, numbers in found.items():
